@@ -203,9 +203,10 @@ query("ST4_late_data_policy", duck(_PLAUSIBLE_SQL, "parsed"))(plausibility)
 @query(
     "F3_usable_position",
     duck(
-        "SELECT count(*) AS positions, count_if(s.uri IS NULL) AS unstored, max(p.time_us) AS last_time_us "
-        "FROM v_parsed p LEFT JOIN (SELECT DISTINCT uri, time_us FROM v_stored) s ON p.uri = s.uri AND p.time_us = s.time_us",
-        "stored",
+        "SELECT count(*) AS positions, count_if(NOT coalesce(kind = 'commit' AND operation = 'create' AND tracked IS NOT NULL AND uri IS NOT NULL "
+        "AND created_at IS NOT NULL AND (tracked = 'posts' OR (tracked IN ('likes','reposts') AND subject_uri IS NOT NULL) OR (tracked = 'follows' AND subject_did IS NOT NULL)), false)) AS unstored, "
+        "max(time_us) AS last_time_us FROM v_parsed",
+        "parsed",
     ),
 )
 def usable_position(spark, sf):
