@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from starling.plans import curate_queries, ingest_queries  # noqa: F401
+from starling.plans import analytics_queries, curate_queries, ingest_queries  # noqa: F401
 from starling.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
