@@ -84,29 +84,48 @@ def derive_stats(
     keeps followers_count and cohort_followers; its own counts are those of empty lists and
     followees_count is NULL.
     """
-    observed = observed_members(members, bundles)
-    mine = records.join(observed, "did", "left_semi")
-    edges = follow_edges(records)
-    own_edges = edges.join(observed, "did", "left_semi")
-    profile = R.typed_records(mine, "profile").select(
-        "did", "display_name", F.col("description").alias("bio"), F.col("created_at").alias("account_created_at")
-    )
-    listed = [n for n in KNOWABLE_LISTS if not n.startswith("cohort_")]
-    sizes = activity_items(members, bundles, records, start, end).groupBy("did").agg(
-        *[F.count_if(F.col("list_name") == n).alias(n) for n in listed]
+    rows = R.classify_records(records.join(members.select("did"), "did", "left_semi")).select(
+        "did", "uri", "output",
+        R.in_window(R.created_text(), start, end).alias("inside"),
+        R.is_reply().alias("is_reply"),
+        (R.quoted_post_uri() != "").alias("is_quote"),
+        R.follow_row()["followed_did"].alias("followed_did"),
+        F.when(F.col("output") == "profile", F.struct(*[c.alias(n) for n, c in R.profile_row().items()])).alias("profile"),
+    )
+    inside, post = F.col("inside"), F.col("output") == "posts"
+    # Everything about a member in one grouping: a prolific account is one partial row per task.
+    own = rows.groupBy("did").agg(
+        F.count_if(inside & post & ~F.col("is_reply")).alias("original_posts"),
+        F.count_if(inside & post & F.col("is_reply")).alias("replied_posts"),
+        F.count_if(inside & post & F.col("is_quote")).alias("quoted_posts"),
+        F.count_if(inside & (F.col("output") == "likes")).alias("liked_posts"),
+        F.count_if(inside & (F.col("output") == "reposts")).alias("reposted_posts"),
+        F.count_if(inside & (F.col("output") == "follows")).alias("follow_actions"),
+        F.count_if(F.col("output") == "follows").alias("_follows"),
+        F.max_by("profile", F.when(F.col("profile").isNotNull(), F.col("uri"))).alias("_profile"),
     )
-    followees = cohort_followees(own_edges, members).groupBy("did").agg(F.count("*").alias("cohort_followees"))
-    followers = cohort_followers(edges, members, bundles).groupBy("did").agg(F.count("*").alias("cohort_followers"))
-    all_follows = own_edges.groupBy("did").agg(F.count("*").alias("_follows"))
+    pairs = cohort_followees(follow_edges(records), members)
+    outgoing = pairs.groupBy("did").agg(F.count("*").alias("cohort_followees"))
+    incoming = cohort_followers(pairs, members, bundles).groupBy("did").agg(F.count("*").alias("cohort_followers"))
+    found = bundles.filter(F.col("error").isNull()).select("did", F.lit(True).alias("_seen")).distinct()
     out = members.select("ordinal", "did", F.nullif("handle", F.lit("")).alias("handle"), "followers_count")
-    for part in (profile, sizes, followees, followers, all_follows, observed.distinct().withColumn("_seen", F.lit(True))):
+    for part in (own, outgoing, incoming, found):
         out = out.join(part, "did", "left")
     zero = F.lit(0).cast("bigint")
     seen = F.col("_seen").isNotNull()
+
+    def size(name: str) -> Column:
+        """Lists of the member's own repo are empty where it was not read."""
+        known = F.coalesce(F.col(name), zero)
+        return (known if name == "cohort_followers" else F.when(seen, known).otherwise(zero)).alias(name)
+
     return out.select(
-        "ordinal", "did", "handle", "display_name", "bio", "account_created_at",
+        "ordinal", "did", "handle",
+        F.when(seen, F.col("_profile.display_name")).alias("display_name"),
+        F.when(seen, F.col("_profile.description")).alias("bio"),
+        F.when(seen, F.col("_profile.created_at")).alias("account_created_at"),
         start.alias("window_start"), end.alias("window_end"),
-        *[F.coalesce(F.col(n), zero).alias(n) for n in KNOWABLE_LISTS],
+        *[size(n) for n in KNOWABLE_LISTS],
         *[F.lit(None).cast("bigint").alias(n) for n in UNKNOWABLE_LISTS],
         "followers_count",
         F.when(seen, F.coalesce("_follows", zero)).alias("followees_count"),

@@ -64,6 +64,8 @@ def select_features(names: Sequence[str] | str | None) -> list[FeatureSpec]:
 
 TAGGED_SCHEMA = "uri string, ok boolean, label string, error string, attempts int, task int, chunk bigint"
 
+TAGGED_COLUMNS = ["uri", "ok", "label", "error", "attempts", "task", "chunk"]
+
 
 def _valid(label: object, spec: FeatureSpec) -> bool:
     if not isinstance(label, dict) or set(label) != set(spec.values):
@@ -83,24 +85,27 @@ def score_chunks(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number, task = 0, TaskContext.get().partitionId()
         for batch in batches:
-            for start in range(0, len(batch), chunk_size):
-                part = batch.iloc[start : start + chunk_size]
+            uris, texts = batch["uri"].tolist(), batch["text"].tolist()
+            out = []
+            for start in range(0, len(uris), chunk_size):
+                part = texts[start : start + chunk_size]
                 labels, error, tried = None, None, 0
                 while labels is None and tried <= retries:
                     tried += 1
                     try:
-                        got = scorer(part["text"].tolist())
+                        got = scorer(part)
                         if len(got) != len(part) or not all(_valid(g, spec) for g in got):
                             raise ValueError("labels do not match the feature's schema")
                         labels = got
                     except Exception as problem:
                         error = str(problem)
-                texts = [None] * len(part) if labels is None else [json.dumps(g) for g in labels]
-                yield pd.DataFrame(
-                    {"uri": part["uri"].values, "ok": labels is not None, "label": texts,
-                     "error": None if labels is not None else error, "attempts": tried, "task": task, "chunk": number}
-                )
+                for i, uri in enumerate(uris[start : start + chunk_size]):
+                    if labels is None:
+                        out.append((uri, False, None, error, tried, task, number))
+                    else:
+                        out.append((uri, True, json.dumps(labels[i]), None, tried, task, number))
                 number += 1
+            yield pd.DataFrame(out, columns=TAGGED_COLUMNS)
 
     return rows.select("uri", "text").mapInPandas(run, TAGGED_SCHEMA)
 
@@ -164,21 +169,21 @@ def score_batches(rows: DataFrame, requester: Requester, chunk_size: int = C.SCO
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), chunk_size):
-                part = batch.iloc[start : start + chunk_size]
-                texts, replies = part["text"].tolist(), [None] * len(part)
-                tried = [0] * len(part)
-                open_items = list(range(len(part)))
+            uris, texts = batch["uri"].tolist(), batch["text"].tolist()
+            replies: list[str | None] = [None] * len(uris)
+            tried = [0] * len(uris)
+            for start in range(0, len(uris), chunk_size):
+                waiting = list(range(start, min(start + chunk_size, len(uris))))
                 for _ in range(attempts):
-                    if not open_items:
+                    if not waiting:
                         break
-                    got = requester([texts[i] for i in open_items])
-                    answers = got if len(got) == len(open_items) else [None] * len(open_items)
-                    for i, answer in zip(open_items, answers, strict=True):
+                    got = requester([texts[i] for i in waiting])
+                    answers = got if len(got) == len(waiting) else [None] * len(waiting)
+                    for i, answer in zip(waiting, answers, strict=True):
                         tried[i] += 1
                         replies[i] = answer
-                    open_items = [i for i in open_items if replies[i] is None]
-                yield pd.DataFrame({"uri": part["uri"].values, "response": replies, "attempts": tried})
+                    waiting = [i for i in waiting if replies[i] is None]
+            yield pd.DataFrame({"uri": uris, "response": replies, "attempts": tried})
 
     return rows.select("uri", "text").mapInPandas(run, RESPONSE_SCHEMA)
 
