@@ -25,9 +25,12 @@ RECORD_FIELDS = (
 
 
 def shred_records(records: DataFrame, record: str = "record") -> DataFrame:
-    """Add `r` (see RECORD_FIELDS) and `kind`, the record's $type."""
-    shredded = settle(records, {"r": V.shred(F.col(record), RECORD_FIELDS)}, records.columns)
-    return shredded.withColumn("kind", V.as_str(F.col("r.`$type`")))
+    """Add `r` (see RECORD_FIELDS) and `kind`, the record's $type.
+
+    `kind` is read on its own: filters on it run before a record is taken apart.
+    """
+    kind = V.as_str(F.try_variant_get(F.col(record), '$["$type"]', "variant"))
+    return records.withColumns({"kind": kind, "r": V.shred(F.col(record), RECORD_FIELDS)})
 
 
 def created_text() -> Column:
@@ -127,7 +130,7 @@ def backfill_rows(
     The account-wide rev and the fetch clock stand in for the stream's per-commit rev
     and broker clock. `days_back` of None keeps every plausible record.
     """
-    shredded = settle(records, {"r": V.shred(F.col(record), E.RECORD_FIELDS)}, records.columns)
+    shredded = records.withColumn("r", V.shred(F.col(record), E.RECORD_FIELDS))
     rows = settle(
         shredded,
         {

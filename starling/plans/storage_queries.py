@@ -254,7 +254,8 @@ def run_stamping(spark, sf):
     from starling.sources import envelopes as E
 
     rows = E.parse_envelopes(E.decode(VW.collapsing_frames(spark, sf)))
-    return IN.flush_rows(rows, "posts", "run-7", "firehose-3").groupBy("run_id", "flush_id").agg(F.count("*").alias("n_rows"))
+    window = IN.window_rows(rows, "run-7", "firehose-3")
+    return IN.type_rows(window, "posts").groupBy("run_id", "flush_id").agg(F.count("*").alias("n_rows"))
 
 
 @query(

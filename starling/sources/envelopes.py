@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,12 +54,14 @@ def decode(frames: DataFrame, column: str = "value") -> DataFrame:
     """
     text = F.col(column).cast("string")
     whole = ~text.startswith("{") | text.rlike(r"\}\s*\z")
-    return frames.withColumn("event", F.when(whole, F.try_parse_json(text)))
+    event = F.when(whole, F.try_parse_json(text))
+    # Settled, so that filters on fields of the event do not parse the text again.
+    return settle(frames, {"event": event}, frames.columns)
 
 
 def shred_frames(decoded: DataFrame) -> DataFrame:
     """Add `e`: the fields the parsers read, taken from each frame once."""
-    return settle(decoded, {"e": V.shred(F.col("event"), FRAME_FIELDS)}, decoded.columns)
+    return decoded.withColumn("e", V.shred(F.col("event"), FRAME_FIELDS))
 
 
 def read_envelopes(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
@@ -86,12 +90,8 @@ def record_type_of(collection: Column) -> Column:
 
 def tracked_type() -> Column:
     """Record type of a commit with a did and rkey on a tracked collection, any operation."""
-    whole = (
-        (V.as_str(F.col("e.kind")) == "commit")
-        & (V.as_str(F.col("e.did")) != "")
-        & (V.as_str(F.col("e.commit.rkey")) != "")
-    )
-    return F.when(whole, record_type_of(V.as_str(F.col("e.commit.collection"))))
+    whole = (F.col("kind") == "commit") & (F.col("did") != "") & (F.col("rkey") != "")
+    return F.when(whole, record_type_of(F.col("collection")))
 
 
 def at_uri(did: Column, collection: Column, rkey: Column) -> Column:
@@ -132,28 +132,32 @@ def required_present(record_type: Column) -> Column:
 
 
 def place(decoded: DataFrame) -> DataFrame:
-    """Frames with an integer position; the others have no place in the stream."""
-    placed = shred_frames(decoded).withColumn("time_us", V.as_bigint(F.col("e.time_us")))
-    return placed.filter(F.col("time_us").isNotNull())
+    """Add `time_us`; frames without an integer position have no place in the stream."""
+    position = V.as_bigint(F.try_variant_get(F.col("event"), "$.time_us", "variant"))
+    return decoded.withColumn("time_us", position).filter(F.col("time_us").isNotNull())
+
 
+def parse_common(placed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """uri, did, cid, rev, created_at (NULL when implausible), ingested_at and the payload.
 
-def parse_common(placed: DataFrame) -> DataFrame:
-    """uri, did, cid, rev, created_at (NULL when implausible), ingested_at and the payload."""
+    Each frame is read once: the typed values are settled before anything filters on them.
+    """
+    created = V.as_str(F.col("e.commit.record.createdAt"))
     raw = settle(
-        placed,
+        shred_frames(placed),
         {
             "did": V.as_str(F.col("e.did")),
+            "kind": V.as_str(F.col("e.kind")),
             "cid": V.as_str(F.col("e.commit.cid")),
             "rev": V.as_str(F.col("e.commit.rev")),
+            "operation": V.as_str(F.col("e.commit.operation")),
             "collection": V.as_str(F.col("e.commit.collection")),
             "rkey": V.as_str(F.col("e.commit.rkey")),
-            "ingested_at": V.parse_ingested_at(F.col("time_us")),
-            "created_text": V.as_str(F.col("e.commit.record.createdAt")),
-            "created_raw": V.parse_created_at(V.as_str(F.col("e.commit.record.createdAt"))),
+            "created_raw": V.parse_created_at(created),
             **payload("e.commit.record"),
         },
-        placed.columns,
-    )
+        ["time_us", *keep],
+    ).withColumn("ingested_at", V.parse_ingested_at(F.col("time_us")))
     return raw.withColumns(
         {
             "uri": at_uri(F.col("did"), F.col("collection"), F.col("rkey")),
@@ -170,7 +174,7 @@ def parse_envelopes(decoded: DataFrame) -> DataFrame:
     Frames that are dropped stay as positions: they move the cursor.
     """
     rows = parse_common(place(decoded))
-    stored = (V.as_str(F.col("e.kind")) == "commit") & (V.as_str(F.col("e.commit.operation")) == "create")
+    stored = (F.col("kind") == "commit") & (F.col("operation") == "create")
     routed = rows.withColumn("_type", F.when(stored, record_type_of(F.col("collection"))))
     kept = routed.withColumn(
         "record_type", F.when(required_present(F.col("_type")), F.col("_type"))
@@ -187,13 +191,11 @@ def rows_of(parsed: DataFrame, record_type: str) -> DataFrame:
 
 def parse_event_log(decoded: DataFrame) -> DataFrame:
     """All operations on tracked collections; an unusable created_at becomes ingested_at."""
-    tracked = shred_frames(decoded).withColumn("record_type", tracked_type()).filter(
-        F.col("record_type").isNotNull()
-    )
     rows = settle(
-        tracked,
+        shred_frames(decoded),
         {
             "did": V.as_str(F.col("e.did")),
+            "kind": V.as_str(F.col("e.kind")),
             "collection": V.as_str(F.col("e.commit.collection")),
             "rkey": V.as_str(F.col("e.commit.rkey")),
             "cid": V.as_str(F.col("e.commit.cid")),
@@ -205,8 +207,9 @@ def parse_event_log(decoded: DataFrame) -> DataFrame:
             "_created": V.parse_created_at(V.as_str(F.col("e.commit.record.createdAt"))),
             **payload("e.commit.record"),
         },
-        ["record_type"],
+        [],
     )
+    rows = rows.withColumn("record_type", tracked_type()).filter(F.col("record_type").isNotNull())
     limit = int(C.EVENT_LOG_MAX_SKEW.total_seconds() * 1_000_000)
     distance = F.abs(F.unix_micros("_created") - F.unix_micros("ingested_at"))
     usable = F.coalesce(distance <= limit, F.lit(False))

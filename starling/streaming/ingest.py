@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -73,42 +73,63 @@ def _commit(job: IngestJob, record_type: str, rows: DataFrame) -> bool:
     return False
 
 
-def flush_rows(parsed: DataFrame, record_type: str, run_id: str, flush_id: str) -> DataFrame:
-    """A type's rows of one window: first per uri, stamped, with their day."""
-    rows = window_dedupe(E.rows_of(parsed, record_type), ["ingested_at", "cid", "rev"])
+def window_rows(parsed: DataFrame, run_id: str, flush_id: str) -> DataFrame:
+    """The window's rows of all types: first per (type, uri), stamped, with their day."""
+    stored = parsed.filter(F.col("record_type").isNotNull())
+    rows = window_dedupe(stored, ["ingested_at", "cid", "rev"], ["record_type"])
     return with_day(rows).withColumns({"run_id": F.lit(run_id), "flush_id": F.lit(flush_id)})
 
 
+def type_rows(window: DataFrame, record_type: str) -> DataFrame:
+    columns = [*E.COMMON_COLUMNS, *E.PAYLOAD_COLUMNS[record_type], DAY, "run_id", "flush_id"]
+    return window.filter(F.col("record_type") == record_type).select(*columns)
+
+
+def _row_size() -> Column:
+    """Bytes of the row as JSON, with its own type's columns only."""
+    size = F.lit(None).cast("int")
+    for record_type, payload in E.PAYLOAD_COLUMNS.items():
+        whole = F.octet_length(F.to_json(F.struct(*E.COMMON_COLUMNS, *payload, "run_id")))
+        size = F.when(F.col("record_type") == record_type, whole).otherwise(size)
+    return size
+
+
 def process_batch(job: IngestJob, frames: DataFrame, batch_id: int) -> None:
-    """Parse one window and commit its four tables, flush log and cursor."""
+    """Parse one window, commit its four tables, then its flush log and cursor.
+
+    The window is parsed and deduplicated once and kept for the five writes. Lost blocks are
+    recomputed from the batch's files, which the streaming checkpoint pins.
+    """
     spark = frames.sparkSession
     flush_id = job.flush_id(batch_id)
-    parsed = E.parse_envelopes(E.decode(frames)).persist()
+    seen = Observation()
+    parsed = E.parse_envelopes(E.decode(frames)).observe(seen, F.max("time_us").alias("time_us"))
+    window = window_rows(parsed, job.run_id, flush_id).persist()
     try:
-        position = parsed.agg(F.max("time_us").alias("t"), F.count("record_type").alias("n")).first()
-        if position["t"] is None:
+        stored_rows = window.count()
+        position = seen.get["time_us"]
+        if position is None:
             return
-        sizes = None
+        dead = []
         for record_type in C.RECORD_TYPES:
-            rows = flush_rows(parsed, record_type, job.run_id, flush_id)
-            stored = _commit(job, record_type, rows)
-            if not stored:
-                day = time.strftime("%Y-%m-%d", time.gmtime(position["t"] / 1e6))
+            rows = type_rows(window, record_type)
+            if not _commit(job, record_type, rows):
+                dead.append(record_type)
+                day = time.strftime("%Y-%m-%d", time.gmtime(position / 1e6))
                 write_dead_letter(rows, f"{job.root.rstrip('/')}/_dead_letters", record_type, flush_id, day)
-            part = rows.select(
-                "flush_id", F.lit(record_type).alias("record_type"), F.lit(not stored).alias("dead"),
-                F.octet_length(F.to_json(F.struct(*[c for c in rows.columns if c != "flush_id"]))).alias("row_size"),
-            )
-            sizes = part if sizes is None else sizes.union(part)
-        if position["n"]:
+        if stored_rows:
+            sizes = window.select("flush_id", "record_type", _row_size().alias("row_size"))
             summary = flush_summary(sizes, "flush_id").drop("flush_id")
-            dead = sizes.agg(F.count_if("dead")).scalar()
-            summary.withColumn("dead_letters", dead).write.mode("overwrite").parquet(
+            lost = [F.col(f"{name}_rows") for name in dead]
+            total = F.lit(0).cast("bigint")
+            for column in lost:
+                total = total + column
+            summary.withColumn("dead_letters", total).coalesce(1).write.mode("overwrite").parquet(
                 f"{job.root}/_flush_log/flush_id={flush_id}"
             )
-        write_cursor(spark, job, batch_id, position["t"])
+        write_cursor(spark, job, batch_id, position)
     finally:
-        parsed.unpersist()
+        window.unpersist()
 
 
 def write_cursor(spark: SparkSession, job: IngestJob, batch_id: int, time_us: int) -> None:
