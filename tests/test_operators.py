@@ -184,6 +184,13 @@ def test_top_n_limits_before_the_shuffle(spark):
     assert top.count() == 6
 
 
+def test_large_top_n_equals_the_window(spark):
+    df = spark.range(4000).select((F.col("id") % 2).alias("k"), "id")
+    top = RK.top_n(df, ["k"], [F.desc("id")], 1500, "r")
+    want = df.filter("id >= 1000").withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("id"))).cast("bigint"))
+    assert top.exceptAll(want).isEmpty() and top.count() == 3000
+
+
 def percentile(values, pct):
     ordered = sorted(values)
     rank = (len(ordered) - 1) * pct / 100
