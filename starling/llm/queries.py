@@ -1,6 +1,6 @@
 """Importing this module registers the query of every operator."""
 
-from starling.llm import quality  # noqa: F401
+from starling.llm import decontaminate, quality, sharding  # noqa: F401
 from starling.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
