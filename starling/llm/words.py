@@ -103,8 +103,12 @@ def spans(piece: Piece, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, bounds
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, by polynomial prefix sums over segments of the data."""
+def byte_values(data: np.ndarray) -> np.ndarray:
+    return BYTE_VALUES[data]
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values_of=byte_values) -> np.ndarray:
+    """A 64-bit hash of each span, by polynomial prefix sums over segments of the data."""
     out = np.empty(len(starts), U64)
     at = 0
     with np.errstate(over="ignore"):
@@ -114,14 +118,14 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
             if end <= at:  # a word longer than a segment, hashed by parts
                 total, length = U64(0), int(ends[at] - origin)
                 for part in range(int(origin), int(ends[at]), SEGMENT):
-                    values = BYTE_VALUES[data[part : min(part + SEGMENT, int(ends[at]))]]
+                    values = values_of(data[part : min(part + SEGMENT, int(ends[at]))])
                     total = mix(np.array([total * U64(BASE)]))[0] + (values * POWERS[: len(values)]).sum(dtype=U64)
                 out[at] = total ^ U64(length)
                 at += 1
                 continue
             stop = int(ends[end - 1])
             sums = np.zeros(stop - origin + 1, U64)
-            np.cumsum(BYTE_VALUES[data[origin:stop]] * POWERS[: stop - origin], out=sums[1:])
+            np.cumsum(values_of(data[origin:stop]) * POWERS[: stop - origin], out=sums[1:])
             a, b = starts[at:end] - origin, ends[at:end] - origin
             out[at:end] = (sums[b] - sums[a]) * INVERSES[a] + (b - a).astype(U64)
             at = end
