@@ -1,6 +1,6 @@
 """Importing this module registers the query of every operator."""
 
-from starling.llm import decontaminate, language, quality, sharding, toxicity  # noqa: F401
+from starling.llm import decontaminate, jaccard, language, quality, sharding, toxicity  # noqa: F401
 from starling.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -88,7 +88,8 @@ def minimax_cuts(summary: PrefixSummary, largest: int, shards: int) -> tuple[int
     total = summary.total
     low = max(largest, -(-total // shards))
     high = low + largest
-    summary.load([(0, total + 1)], -(-(total + 1) // BINS))
+    whole = 1 << total.bit_length()
+    summary.load([(0, whole)], max(1, whole // BINS))
     while True:
         certain = summary.smallest(low, high, shards, hopeful=False)
         possible = summary.smallest(low, certain, shards, hopeful=True)
@@ -106,7 +107,8 @@ def minimax_cuts(summary: PrefixSummary, largest: int, shards: int) -> tuple[int
         ]
         width = max(1, sum(b[1] - b[0] for b in open_bins) // BINS)
         smallest_open = min(b[1] - b[0] for b in open_bins)
-        summary.load([(b[0], b[1]) for b in open_bins], max(1, min(width, smallest_open // 2)))
+        width = min(1 << (width - 1).bit_length(), smallest_open // 2)
+        summary.load([(b[0], b[1]) for b in open_bins], max(1, width))
     greedy = summary.chain(certain, shards, hopeful=False)[0]
     # The least end of each shard from which the rest still fits, from the back.
     ends = sorted({e for b in summary.bins for e in (b[3], b[4])} | {0, total})
@@ -141,32 +143,22 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, text: str = "text") ->
     groups = saved(
         running_total(groups, [], ["_first", "_key"], F.col("_bytes"), "_end"), "shard-groups"
     )
+    spark = docs.sparkSession
     total, largest = groups.agg(F.max("_end"), F.max("_bytes")).first()
 
     def refine(ranges, width):
-        """One job: bins of `width` inside the ranges; ranges are few against the bins."""
-        starts = [a for a, _ in ranges]
-        if len(ranges) == 1:
-            base, inside = F.lit(starts[0]), F.lit(True)
-        else:
-            edges = groups.sparkSession.createDataFrame(ranges, "_from long, _to long")
-            found = groups.join(
-                F.broadcast(edges), (F.col("_end") >= F.col("_from")) & (F.col("_end") < F.col("_to"))
-            )
-            return _bins(found, F.col("_from"), width)
-        return _bins(groups.filter(inside), base, width)
-
-    def _bins(frame, base, width):
-        bins = frame.withColumn("_base", base.cast("bigint")).groupBy(
-            "_base", F.floor((F.col("_end") - F.col("_base")) / F.lit(width)).alias("_bin")
-        )
-        rows = bins.agg(
+        """One job: the bins of `width` inside the given bins. Widths are powers of two."""
+        found = None
+        for parent in sorted({end - start for start, end in ranges}):
+            known = [(start // parent,) for start, end in ranges if end - start == parent]
+            inside = groups.select("_end", F.floor(F.col("_end") / F.lit(parent)).alias("_in"))
+            # At most BINS rows.
+            inside = inside.join(F.broadcast(spark.createDataFrame(known, "_in long")), "_in")
+            found = inside if found is None else found.unionByName(inside)
+        bins = found.groupBy(F.floor(F.col("_end") / F.lit(width)).alias("_bin")).agg(
             F.count_distinct("_end").alias("n"), F.min("_end").alias("a"), F.max("_end").alias("b")
-        ).collect()
-        return [
-            (r["_base"] + r["_bin"] * width, r["_base"] + (r["_bin"] + 1) * width, r["n"], r["a"], r["b"])
-            for r in rows
-        ]
+        )
+        return [(r["_bin"] * width, (r["_bin"] + 1) * width, r["n"], r["a"], r["b"]) for r in bins.collect()]
 
     cuts = minimax_cuts(PrefixSummary(total, refine), largest, shards)[1] if total else []
     # A group lies behind as many cuts as its own start has passed.
