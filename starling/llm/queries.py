@@ -1,6 +1,16 @@
 """Importing this module registers the query of every operator."""
 
-from starling.llm import decontaminate, jaccard, language, quality, sharding, substring, toxicity  # noqa: F401
+from starling.llm import (  # noqa: F401
+    decontaminate,
+    jaccard,
+    language,
+    lm_score,
+    quality,
+    sharding,
+    substring,
+    token_files,
+    toxicity,
+)
 from starling.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
