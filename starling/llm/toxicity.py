@@ -25,11 +25,11 @@ from starling.llm.common import with_broadcast
 from starling.llm.language import id_hash
 from starling.llm.letters import Remembered, Words, code_values, gram_ends, padded, text_pieces
 from starling.llm.registry import query
-from starling.llm.words import hash_spans
+from starling.llm.words import U64, hash_spans
 
 ORDERS = (3, 4, 5, 6)
 #: Labelled rows of each kind that the classifier is fitted on (the bound of the training sample).
-SAMPLE_ROWS = {1: 2500, 0: 5000}
+SAMPLE_ROWS = {1: 2000, 0: 4000}
 STEPS = 200
 RATE = 0.02
 SPARSITY = 1e-3
@@ -38,25 +38,17 @@ MIN_WORDS = 4
 THRESHOLD = 0.7
 
 
-def word_grams(codes, starts, ends) -> tuple[np.ndarray, np.ndarray]:
-    """(word, n-gram hash) of the distinct n-grams of each word."""
-    flat, bounds = padded(codes, starts, ends, 1, 1)
-    word = np.repeat(np.arange(len(starts)), np.diff(bounds))
+def word_grams(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word, n-gram hash) of marked words laid end to end; a whole word is an n-gram too."""
+    word = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
     offset = np.arange(len(flat)) - bounds[:-1][word]
-    found_word, found_gram = [], []
+    words = [np.arange(len(bounds) - 1, dtype=np.int32)]
+    grams = [hash_spans(flat, bounds[:-1], bounds[1:], code_values)]
     for n in ORDERS:
         place = np.flatnonzero(offset >= n - 1)
-        found_word.append(word[place])
-        found_gram.append(gram_ends(flat, n)[place])
-    # The whole word, however long, is an n-gram too.
-    found_word.append(np.arange(len(starts)))
-    found_gram.append(hash_spans(flat, bounds[:-1], bounds[1:], code_values))
-    words, grams = np.concatenate(found_word), np.concatenate(found_gram)
-    order = np.lexsort((grams, words))
-    words, grams = words[order], grams[order]
-    new = np.ones(len(words), bool)
-    new[1:] = (words[1:] != words[:-1]) | (grams[1:] != grams[:-1])
-    return words[new], grams[new]
+        words.append(word[place])
+        grams.append(gram_ends(flat, n)[place])
+    return np.concatenate(words), np.concatenate(grams)
 
 
 @dataclass
@@ -66,7 +58,7 @@ class ToxicityModel:
     bias: float
 
     def score(self, codes, starts, ends) -> np.ndarray:
-        words, grams = word_grams(codes, starts, ends)
+        words, grams = word_grams(*padded(codes, starts, ends, 1, 1))
         at = np.minimum(np.searchsorted(self.keys, grams), max(len(self.keys) - 1, 0))
         value = np.where(self.keys[at] == grams, self.weights[at], 0.0) if len(self.keys) else np.zeros(len(grams))
         return np.bincount(words, value, len(starts))[:, None]
@@ -86,14 +78,55 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+class Vocabulary:
+    """The distinct words of a sample, marked and laid end to end, read piece by piece."""
+
+    def __init__(self, texts: list[str]):
+        keys, flats, sizes, pairs, first = np.zeros(0, U64), [], [], [], 0
+        for piece in text_pieces(texts):
+            words = Words(piece)
+            text, at = _distinct_words(words)
+            pairs.append(((text + first).astype(np.int32), words.hashes[at]))
+            distinct, own = np.unique(words.hashes, return_index=True)
+            fresh = ~np.isin(distinct, keys)
+            flat, bounds = padded(words.codes, words.starts[own[fresh]], words.ends[own[fresh]], 1, 1)
+            keys = np.concatenate([keys, distinct[fresh]])
+            flats.append(flat)
+            sizes.append(np.diff(bounds))
+            first += len(piece)
+        order = np.argsort(keys)
+        self.words = len(keys)
+        self.flat = np.concatenate(flats)
+        self.bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        self.text = np.concatenate([t for t, _ in pairs])
+        self.word = order[np.searchsorted(keys[order], np.concatenate([h for _, h in pairs]))].astype(np.int32)
+
+    def grams(self, least: int, step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+        """(word, n-gram) of n-grams that may occur `least` times; a counting pass drops most others."""
+        counts = np.zeros(1 << 22, np.int32)
+        for again in (False, True):
+            words, grams = [np.zeros(0, np.int32)], [np.zeros(0, U64)]
+            for a in range(0, self.words, step):
+                bounds = self.bounds[a : a + step + 1]
+                word, gram = word_grams(self.flat[bounds[0] : bounds[-1]], bounds - bounds[0])
+                bucket = (gram >> U64(42)).astype(np.int64)
+                if again:
+                    often = counts[bucket] >= least
+                    words.append(word[often] + np.int32(a))
+                    grams.append(gram[often])
+                else:
+                    counts += np.bincount(bucket, minlength=len(counts)).astype(np.int32)
+        return np.concatenate(words), np.concatenate(grams)
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> ToxicityModel:
-    words = Words(texts)
-    text, at = _distinct_words(words)
-    _, first, word = np.unique(words.hashes[at], return_index=True, return_inverse=True)
-    own = at[first]
-    gram_word, grams = word_grams(words.codes, words.starts[own], words.ends[own])
+    vocabulary = Vocabulary(texts)
+    text, word = vocabulary.text, vocabulary.word
+    gram_word, grams = vocabulary.grams(MIN_WORDS)
     keys, gram = np.unique(grams, return_inverse=True)
-    texts_n, words_n, grams_n = len(texts), len(own), len(keys)
+    gram = gram.astype(np.int32)
+    del grams
+    texts_n, words_n, grams_n = len(texts), vocabulary.words, len(keys)
 
     def to_texts(weights):
         per_word = np.bincount(gram_word, weights[gram], words_n)
@@ -137,8 +170,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = SAMPLE_ROWS
     )
     ids = top_n(known, ["toxic"], [F.col("_h"), F.col("doc_id")], max(rows.values()), "_rank")
     ids = ids.filter(F.col("_rank") <= F.when(F.col("toxic") == 1, rows[1]).otherwise(rows[0]))
-    chosen = docs.select("doc_id", "text").filter("text IS NOT NULL").join(with_broadcast(ids.select("doc_id", "toxic")), "doc_id")
-    sample = chosen.toPandas().sort_values(["doc_id", "text"])
+    chosen = docs.select("doc_id", "text").filter("text IS NOT NULL")
+    sample = chosen.join(with_broadcast(ids.select("doc_id", "toxic")), "doc_id").toPandas().sort_values(["doc_id", "text"])
     if sample["toxic"].nunique() < 2:
         return None
     return fit(list(sample["text"]), sample["toxic"].to_numpy())
