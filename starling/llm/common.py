@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starling.functions.ranking import top_n
 from starling.session import shared_dir
 
 #: The white space between words (space and the six ASCII controls from tab to carriage return).
@@ -73,3 +74,17 @@ def head(array: str | Column, drop: int) -> Column:
 
 def names(columns: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in columns]
+
+
+def smallest_hashes(ids: DataFrame, group: str, rows: Column, most: int) -> DataFrame:
+    """(doc_id, group, _rank): of each group the rows of smallest id hash, at most `rows` (<= `most`).
+
+    A share of the hash range that holds about twice the rows wanted is cut out first, so that
+    a large group does not go through one task. With few rows it is the whole range.
+    """
+    hashed = ids.withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    sizes = hashed.groupBy(group).agg(F.count("*").alias("_n"))
+    share = F.least(F.lit(1.0), (2.0 * rows + 100.0) / F.col("_n"))
+    near = hashed.join(with_broadcast(sizes), group).filter(F.col("_h") <= share * float(1 << 40))
+    ranked = top_n(near.drop("_n"), [group], [F.col("_h"), F.col("doc_id")], most, "_rank")
+    return ranked.filter(F.col("_rank") <= rows).drop("_h")

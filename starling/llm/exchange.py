@@ -44,10 +44,8 @@ class Layout:
 
 
 def bundled(docs: DataFrame, layout: Layout) -> DataFrame:
-    """(bundle, doc_id, text); null ids share a bundle."""
-    return docs.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(layout.bundles)).cast("int").alias("bundle"), "doc_id", "text"
-    )
+    """`docs` (doc_id, text, ...) with its bundle; null ids share one."""
+    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(layout.bundles)).cast("int").alias("bundle"), "*")
 
 
 def pack(values: np.ndarray) -> bytes:

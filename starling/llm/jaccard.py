@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starling.functions.keep import keep_first
 from starling.functions.ranking import top_n
 from starling.llm.common import saved
 from starling.llm.components import components
@@ -506,13 +507,22 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
 
 
 def one_per_group(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of `docs` that name their component; of repeated rows of it, one.
+    """The rows of `docs` that name their component; of rows that repeat its doc_id, the smallest.
 
     Rows without a doc_id cannot be named and stay.
     """
     groups = jaccard_join(docs.select("doc_id", "text"), n, num, den)
     gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    twice = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_twice")).count().filter("count > 1")
+    twice = saved(twice.select("_twice"), "repeated-ids")
+    if twice.isEmpty():
+        return kept
+    same = F.col("doc_id") == F.col("_twice")
+    order = ["text", *[c for c in docs.columns if c not in ("doc_id", "text")]]
+    return kept.join(twice, same, "left_anti").unionByName(
+        keep_first(kept.join(twice, same, "left_semi"), ["doc_id"], order)
+    )
 
 
 @query("op1_ngram_jaccard_join")

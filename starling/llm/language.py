@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.functions.ranking import top_n
-from starling.llm.common import with_broadcast
+from starling.llm.common import smallest_hashes, with_broadcast
 from starling.llm.letters import Remembered, Words, gram_ends, padded, sums, text_pieces
 from starling.llm.registry import query
 from starling.llm.words import U64
@@ -133,9 +132,7 @@ def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, order: int = ORDER) -> L
     A quarter of them is kept back to fit the sharpness of the score and the limit of rejection.
     """
     known = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = top_n(
-        known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")), ["lang"], [F.col("_h"), F.col("doc_id")], rows, "_rank"
-    )
+    ids = smallest_hashes(known.select("doc_id", "lang"), "lang", F.lit(rows), rows)
     chosen = known.select("doc_id", "lang", "text").join(
         with_broadcast(ids.select("doc_id", "lang", "_rank").dropDuplicates(["doc_id", "lang"])), ["doc_id", "lang"]
     )

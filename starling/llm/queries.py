@@ -6,6 +6,7 @@ from starling.llm import (  # noqa: F401
     language,
     lm_score,
     quality,
+    sentencepiece,
     sharding,
     substring,
     token_files,

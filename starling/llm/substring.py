@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starling.llm.common import SPACES, names
 from starling.llm.exchange import (
     ASK,
     Layout,
@@ -27,6 +28,7 @@ from starling.llm.exchange import (
     ask_rows,
     ask_table,
     bundled,
+    cut,
     ordered,
     replies_of,
     unpack,
@@ -111,14 +113,20 @@ def _first_holders(asked, firsts):
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text, n_words, n_removed): `text` holds the kept words joined by one space where words
-    were removed, and the input text elsewhere."""
+    """The rows of `docs` (doc_id, text and any others) with n_words and n_removed.
+
+    `text` holds the kept words joined by one space where words were removed, and the input text
+    elsewhere. Columns named n_words or n_removed are replaced.
+    """
     layout = Layout.of(docs)
     bits = max(10, (CELLS_PER_WORD * layout.words // 2).bit_length())
     cell_slices = layout.slices(layout.words // 2)
     key_slices = layout.slices(layout.words // 8)
-    rows = bundled(docs, layout)
-    kind = dict(docs.dtypes)["doc_id"]
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_words", "n_removed")]
+    # The other columns travel as one, so that no name can clash.
+    rest = F.struct(*names(others)) if others else F.lit(None).cast("int")
+    rows = bundled(docs.select("doc_id", "text", rest.alias("rest")), layout)
+    kinds = dict(rows.dtypes)
 
     def sketch(table: pa.Table) -> pa.Table:
         bundle = table.column("bundle")[0].as_py()
@@ -212,6 +220,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 "text": pa.array(out_text, pa.string()),
                 "n_words": pa.array(n_words, pa.int64()),
                 "n_removed": pa.array(n_removed, pa.int64()),
+                "rest": texts.column("rest"),
             }
         )
 
@@ -219,20 +228,20 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     sketches = answer(asked, _merge_sketches)
     repeated = rows.groupBy("bundle").cogroup(sketches.groupBy("bundle")).applyInArrow(candidates, ASK)
     exact = answer(repeated, _first_holders, with_keys=True)
-    schema = f"doc_id {kind}, text string, n_words long, n_removed long"
-    return rows.groupBy("bundle").cogroup(exact.groupBy("bundle")).applyInArrow(remove, schema)
+    schema = f"doc_id {kinds['doc_id']}, text string, n_words long, n_removed long, rest {kinds['rest']}"
+    done = rows.groupBy("bundle").cogroup(exact.groupBy("bundle")).applyInArrow(remove, schema)
+    given = [F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in ("n_words", "n_removed")]
+    return done.select(*given, "n_words", "n_removed")
 
 
 def _slices_used(keys: np.ndarray, slices: int, bits: int):
-    from starling.llm.exchange import cut
-
     edges = cut(keys, slices, bits)
     return [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b]
 
 
 def kept_hash(text: str) -> F.Column:
     """sha256 of the words of a text joined by one space."""
-    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
     return F.sha2(F.array_join(words, " ").cast("binary"), 256)
 
 

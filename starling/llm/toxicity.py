@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.functions.ranking import top_n
-from starling.llm.common import with_broadcast
+from starling.llm.common import smallest_hashes, with_broadcast
 from starling.llm.language import id_hash
 from starling.llm.letters import Remembered, Words, code_values, gram_ends, padded, text_pieces
 from starling.llm.registry import query
@@ -166,10 +165,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = SAMPLE_ROWS
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .withColumn("_h", F.xxhash64("doc_id"))
     )
-    ids = top_n(known, ["toxic"], [F.col("_h"), F.col("doc_id")], max(rows.values()), "_rank")
-    ids = ids.filter(F.col("_rank") <= F.when(F.col("toxic") == 1, rows[1]).otherwise(rows[0]))
+    wanted = F.when(F.col("toxic") == 1, rows[1]).otherwise(rows[0])
+    ids = smallest_hashes(known, "toxic", wanted, max(rows.values()))
     chosen = docs.select("doc_id", "text").filter("text IS NOT NULL")
     sample = chosen.join(with_broadcast(ids.select("doc_id", "toxic")), "doc_id").toPandas().sort_values(["doc_id", "text"])
     if sample["toxic"].nunique() < 2:
