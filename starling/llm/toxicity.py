@@ -32,7 +32,7 @@ SAMPLE_ROWS = {1: 2000, 0: 4000}
 STEPS = 200
 RATE = 0.02
 SPARSITY = 1e-3
-#: N-grams of fewer distinct words and texts than this are not used.
+#: N-grams seen fewer times than this (once per distinct word of a text) are not used.
 MIN_WORDS = 4
 THRESHOLD = 0.7
 
@@ -101,8 +101,9 @@ class Vocabulary:
         self.word = order[np.searchsorted(keys[order], np.concatenate([h for _, h in pairs]))].astype(np.int32)
 
     def grams(self, least: int, step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
-        """(word, n-gram) of n-grams that may occur `least` times; a counting pass drops most others."""
+        """(word, n-gram) of n-grams that `least` texts may hold; a counting pass drops most others."""
         counts = np.zeros(1 << 22, np.int32)
+        texts = np.bincount(self.word, minlength=self.words)
         for again in (False, True):
             words, grams = [np.zeros(0, np.int32)], [np.zeros(0, U64)]
             for a in range(0, self.words, step):
@@ -114,7 +115,7 @@ class Vocabulary:
                     words.append(word[often] + np.int32(a))
                     grams.append(gram[often])
                 else:
-                    counts += np.bincount(bucket, minlength=len(counts)).astype(np.int32)
+                    counts += np.bincount(bucket, texts[a + word], len(counts)).astype(np.int32)
         return np.concatenate(words), np.concatenate(grams)
 
 
