@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.keep import keep_first
 from starling.functions.ranking import top_n
-from starling.llm.common import saved
+from starling.llm.common import saved, with_broadcast
 from starling.llm.components import components
 from starling.llm.registry import query
 from starling.llm.words import (
@@ -418,9 +418,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
     anchors = (
         filled.filter(F.size("anchors") > 0)
         .withColumnRenamed("doc_id", "rep")
-        .join(named, ["rep", "n_shingles", "sig_a", "sig_b"])
-        .dropDuplicates(["rep", "sig_a", "sig_b"])
-        .select("rep", "copies", F.col("n_shingles").alias("weight"), F.explode("anchors").alias("anchor"))
+        .join(named, ["rep", "n_shingles", "sig_a", "sig_b"], "left_semi")
+        .select("rep", F.explode("anchors").alias("anchor"))
     )
     cells = saved(
         anchors.groupBy("anchor")
@@ -429,13 +428,10 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
         .select("anchor", "pivot"),
         "jaccard-cells",
     )
-    members = saved(
-        anchors.join(cells, "anchor")
-        .groupBy(F.xxhash64("pivot").alias("region"), "rep")
-        .agg(F.max("copies").alias("copies"), F.max("weight").alias("weight")),
-        "jaccard-members",
-    )
-    wanted = members.select(F.col("rep").alias("_rep")).distinct()
+    placed = anchors.join(cells, "anchor").select(F.xxhash64("pivot").alias("region"), "rep").distinct()
+    sizes = named.groupBy("rep").agg(F.max("copies").alias("copies"), F.max("n_shingles").alias("weight"))
+    members = saved(placed.join(sizes, "rep"), "jaccard-members")
+    wanted = with_broadcast(saved(members.select(F.col("rep").alias("_rep")).distinct(), "jaccard-wanted"))
     near = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_rep"), "left_semi")
     sets = saved(_sets(near, n), "jaccard-sets")
     leaves = saved(leaf_regions(members, sets, threshold), "jaccard-leaves")
