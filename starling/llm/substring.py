@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starling.llm.common import SPACES, names
 from starling.llm.exchange import (
@@ -70,13 +71,15 @@ class Windows:
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct hashes, the first document of each, and whether a second one has it."""
-        order = np.lexsort((self.documents, self.hashes))
+        order = np.argsort(self.hashes)
         hashes, documents = self.hashes[order], self.documents[order]
         new = np.ones(len(hashes), bool)
         new[1:] = hashes[1:] != hashes[:-1]
-        first = np.flatnonzero(new)
-        last = np.concatenate([first[1:], [len(hashes)]]) - 1
-        return hashes[first], documents[first], documents[first] != documents[np.maximum(last, 0)] if len(first) else new
+        at = np.flatnonzero(new)
+        if not len(at):
+            return hashes, documents, new
+        first, last = np.minimum.reduceat(documents, at), np.maximum.reduceat(documents, at)
+        return hashes[at], first, first != last
 
 
 def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -100,12 +103,11 @@ def _first_holders(asked, firsts):
     """For each hash: does a bundle with a smaller document than this one's hold it?"""
     keys = np.concatenate(asked)
     ids = np.concatenate(firsts).view(np.int64)
-    owner = np.repeat(np.arange(len(asked)), [len(k) for k in asked])
-    order = np.lexsort((ids, keys))
-    keys, ids, owner = keys[order], ids[order], owner[order]
+    order = np.argsort(keys)
+    keys, ids = keys[order], ids[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
-    least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+    least = np.minimum.reduceat(ids, np.flatnonzero(new))[np.cumsum(new) - 1] if len(keys) else ids
     later = np.empty(len(keys), bool)
     later[order] = ids > least
     edges = np.concatenate([[0], np.cumsum([len(k) for k in asked])])
@@ -126,7 +128,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # The other columns travel as one, so that no name can clash.
     rest = F.struct(*names(others)) if others else F.lit(None).cast("int")
     rows = bundled(docs.select("doc_id", "text", rest.alias("rest")), layout)
-    kinds = dict(rows.dtypes)
+    kinds = {field.name: field.dataType for field in rows.schema}
 
     def sketch(table: pa.Table) -> pa.Table:
         bundle = table.column("bundle")[0].as_py()
@@ -199,9 +201,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for piece, starts, ends, bounds, places, _ in windows.parts:
             mine = places[marked[begin : begin + len(places)]]
             begin += len(places)
-            change = np.zeros(len(starts) + 1, np.int64)
-            np.add.at(change, mine, 1)
-            np.add.at(change, mine + window, -1)
+            change = np.bincount(mine, minlength=len(starts) + 1)
+            change = change - np.bincount(mine + window, minlength=len(starts) + 1)
             covered = np.cumsum(change)[:-1] > 0
             body = piece.data.tobytes()
             for i in range(len(piece)):
@@ -228,9 +229,21 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     sketches = answer(asked, _merge_sketches)
     repeated = rows.groupBy("bundle").cogroup(sketches.groupBy("bundle")).applyInArrow(candidates, ASK)
     exact = answer(repeated, _first_holders, with_keys=True)
-    schema = f"doc_id {kinds['doc_id']}, text string, n_words long, n_removed long, rest {kinds['rest']}"
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", kinds["doc_id"]),
+            T.StructField("text", T.StringType()),
+            T.StructField("n_words", T.LongType()),
+            T.StructField("n_removed", T.LongType()),
+            T.StructField("rest", kinds["rest"]),
+        ]
+    )
     done = rows.groupBy("bundle").cogroup(exact.groupBy("bundle")).applyInArrow(remove, schema)
-    given = [F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in ("n_words", "n_removed")]
+    given = [
+        F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c)
+        for c in docs.columns
+        if c not in ("n_words", "n_removed")
+    ]
     return done.select(*given, "n_words", "n_removed")
 
 
