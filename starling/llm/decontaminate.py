@@ -204,8 +204,8 @@ def decontaminate(
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` without any word of a benchmark window."""
     _, hits, _ = benchmark_hits(docs.select("doc_id", "text"), benchmark)
-    dirty = hits.select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col("_dirty")), "left_anti")
+    dirty = hits.select(F.col("doc_id").alias("__dirty")).distinct()
+    return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col("__dirty")), "left_anti")
 
 
 OP6_SQL = r"""

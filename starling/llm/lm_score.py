@@ -90,7 +90,7 @@ def lm_scores(
     layout = Layout.of(docs)
     bits = min(64, layout.words.bit_length() + SPARE_BITS)
     slices = layout.slices(layout.words // 2 * order)
-    rows = bundled(docs, layout)
+    rows = bundled(docs.select("doc_id", "text"), layout)
     kind = dict(docs.dtypes)["doc_id"]
 
     def ask(table: pa.Table) -> pa.Table:

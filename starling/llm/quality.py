@@ -86,43 +86,43 @@ def quality_signals(docs: DataFrame, text: str = "text") -> DataFrame:
     # Columns that later steps use several times stay in projections of their own.
     split = docs.select(
         *names(keep),
-        F.array_remove(F.split(content, SPACES), "").alias("_words"),
-        F.filter(F.split(content, "\n"), lambda line: line.rlike(WORD)).alias("_lines"),
+        F.array_remove(F.split(content, SPACES), "").alias("__q_words"),
+        F.filter(F.split(content, "\n"), lambda line: line.rlike(WORD)).alias("__q_lines"),
         F.regexp_count(content, F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
     )
     counted = split.select(
         *names(keep),
-        F.size("_words").cast("bigint").alias("n_words"),
-        F.length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
+        F.size("__q_words").cast("bigint").alias("n_words"),
+        F.length(F.array_join("__q_words", "")).cast("bigint").alias("word_chars"),
         "n_symbols",
-        F.size("_lines").cast("bigint").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-        F.size(F.filter("_lines", lambda x: x.rlike(r"^\s*[-•‣▪◦]"))).cast("bigint").alias("n_bullet_lines"),
-        F.size(F.filter("_lines", lambda x: x.rlike(r"(…|\.\.\.)\s*$"))).cast("bigint").alias("n_open_lines"),
-        F.size(F.filter("_words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("bigint").alias("n_stop_words"),
-        F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
+        F.size("__q_lines").cast("bigint").alias("n_lines"),
+        (F.size("__q_lines") - F.size(F.array_distinct("__q_lines"))).cast("bigint").alias("n_dup_lines"),
+        F.size(F.filter("__q_lines", lambda x: x.rlike(r"^\s*[-•‣▪◦]"))).cast("bigint").alias("n_bullet_lines"),
+        F.size(F.filter("__q_lines", lambda x: x.rlike(r"(…|\.\.\.)\s*$"))).cast("bigint").alias("n_open_lines"),
+        F.size(F.filter("__q_words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("bigint").alias("n_stop_words"),
+        F.transform("__q_words", lambda w: F.xxhash64(w)).alias("__q_hashes"),
     )
     pairs = F.zip_with(
-        "_hashes",
-        shifted("_hashes", 1),
+        "__q_hashes",
+        shifted("__q_hashes", 1),
         lambda a, b: F.shiftleft(a, 13).bitwiseXOR(F.shiftrightunsigned(a, 51)).bitwiseXOR(b),
     )
     hashed = counted.withColumn(
-        "_windows",
+        "__q_windows",
         F.slice(
-            F.zip_with(pairs, shifted("_hashes", 2), lambda a, b: F.xxhash64(a, b)),
+            F.zip_with(pairs, shifted("__q_hashes", 2), lambda a, b: F.xxhash64(a, b)),
             F.lit(1),
-            F.greatest(F.size("_hashes") - 2, F.lit(0)),
+            F.greatest(F.size("__q_hashes") - 2, F.lit(0)),
         ),
-    ).drop("_hashes")
+    ).drop("__q_hashes")
     # Sorted only where some window occurs twice.
-    repeated = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    sorted_windows = hashed.withColumn("_placed", F.when(repeated, placed)).drop("_windows")
+    repeated = F.size(F.array_distinct("__q_windows")) < F.size("__q_windows")
+    placed = F.sort_array(F.transform("__q_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    sorted_windows = hashed.withColumn("__q_placed", F.when(repeated, placed)).drop("__q_windows")
     twins = F.filter(
         F.zip_with(
-            "_placed",
-            shifted("_placed", 1),
+            "__q_placed",
+            shifted("__q_placed", 1),
             lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])),
         ),
         lambda pair: pair.isNotNull(),
