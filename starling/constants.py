@@ -67,8 +67,6 @@ FALSE_WORDS = ("false", "0", "no")
 PROFILE_MIN_FOLLOWERS = 1000
 PROFILE_MIN_RECENT_POSTS = 5
 PROFILE_FEED_ITEMS = 30
-PROFILE_TARGET = 10
-PROFILE_MAX_EVALUATED = 20_000
 
 VALID_MIN_FOLLOWERS = 10
 VALID_MIN_FOLLOWEES = 10

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from starling.session import durable
 
 PART = "_part"
-# spark.sql.optimizer.windowGroupLimitThreshold: larger limits are not pushed below the shuffle.
-GROUP_LIMIT = 1000
+#: Larger limits are not pushed below the shuffle by Spark.
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def _range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -84,11 +84,11 @@ def chunk_index(
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, out: str) -> DataFrame:
     """First `n` rows of each key with their rank; `order` ends in something unique.
 
-    Up to GROUP_LIMIT rows, each map task keeps only its own first `n` per key before the
+    Up to the session's group limit, each map task keeps only its own first `n` per key before the
     shuffle, so a hot key sends n rows per task. Beyond it Spark would sort a whole key in
     one task, so the exact distributed rank is used.
     """
-    if n > GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
         ranked = rank_within(df, keys, order, out)
         return ranked.filter(F.col(out) <= n)
     ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

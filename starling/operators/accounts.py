@@ -12,7 +12,6 @@ from starling.functions import variants as V
 from starling.functions.ranking import top_n
 from starling.functions.scalars import classify_error
 from starling.operators import records as R
-from starling.operators.membership import unique_ordered
 
 
 def activity_counts(records: DataFrame, cutoff: Column, record: str = "record") -> DataFrame:
@@ -46,8 +45,9 @@ def activity_counts(records: DataFrame, cutoff: Column, record: str = "record")
         F.min("created_text").alias("_any"),
     )
     parts = ["original_posts_6m", "replies_6m", "quotes_6m", "likes_6m", "reposts_6m", "bookmarks_6m"]
-    total = F.col(parts[0])
-    for name in parts[1:]:
+    # Original posts are what an account says, not how it interacts.
+    total = F.col(parts[1])
+    for name in parts[2:]:
         total = total + F.col(name)
     return counted.select(
         "did", "followees", "posts", *parts,
@@ -136,8 +136,8 @@ def qualify_profiles(
     profiles: DataFrame,
     feed: DataFrame,
     as_of: Column,
-    target: int | None = C.PROFILE_TARGET,
-    max_evaluated: int | None = C.PROFILE_MAX_EVALUATED,
+    target: int | None,
+    max_evaluated: int | None,
 ) -> DataFrame:
     """Followed widely and posting lately: the first `target` in order.
 
@@ -186,7 +186,3 @@ def authored_feed(feed: DataFrame, n: int, strict: bool = False) -> DataFrame:
         message = F.concat(F.lit(f"fewer than {n} posts for "), F.col("actor"))
         enough = F.when(enough, True).otherwise(F.raise_error(message))
     return taken.join(sizes, "actor").select("actor", "uri", "position", "found", enough.alias("enough"))
-
-
-def discovered(ids: DataFrame, key: str, ordinal: str, target: int | None) -> DataFrame:
-    return unique_ordered(ids, key, ordinal, target)

@@ -214,17 +214,6 @@ def backend_comparison(results: DataFrame, left: str, right: str) -> DataFrame:
     return joined.withColumn("reasons", F.array_join(reasons, ";"))
 
 
-def run_aggregates(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per configuration: the first run's latencies, the peak memory and the run count."""
-    return runs.groupBy(*keys).agg(
-        F.round(F.min_by("check_ms", "run"), 3).alias("check_ms"),
-        F.round(F.min_by("write_ms", "run"), 3).alias("write_ms"),
-        F.round(F.min_by("end_to_end_ms", "run"), 3).alias("end_to_end_ms"),
-        F.round(F.max("peak_rss_mb"), 2).alias("peak_rss_mb"),
-        F.count("*").alias("n_runs"),
-    )
-
-
 # -- flush logs ----------------------------------------------------------------
 
 

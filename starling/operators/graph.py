@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,18 +11,20 @@ from starling.functions.ranking import rank_within, top_n
 from starling.operators.records import eligible_comment
 from starling.session import durable
 
+#: Rounds of pointer doubling: 2^64 ancestors, so only a cycle gets there.
 MAX_ROUNDS = 64
 
 
 def bfs_followers(
-    edges: DataFrame, seed: str, target: int | None = None, max_depth: int = MAX_ROUNDS
+    edges: DataFrame, seed: str, target: int | None = None, max_depth: int | None = None
 ) -> DataFrame:
     """(did, depth, position): accounts by the level at which they are first found.
 
     `edges`: (account, follower, ordinal), the follower list of each account in order. The
     seed is left out, every id comes once; position counts inside a level in discovery
     order (parent's position, then place in the parent's list). A target stops the search
-    once that many are found.
+    once that many are found. Without one it runs until no account is new; a `max_depth` that
+    is reached while accounts are still missing is an error, never a silent cut.
 
     Each level is one join of the frontier with the edges and one anti join with what was
     found before; levels are written to the checkpoint folder, so lineage stays one level
@@ -32,7 +36,7 @@ def bfs_followers(
     )
     visited = frontier
     missing = target
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
         parents = frontier.select(F.col("did").alias("account"), F.col("position").alias("_parent"))
         reached = edges.filter(F.coalesce("follower", F.lit("")) != "").join(parents, "account")
         first = reached.groupBy(F.col("follower").alias("did")).agg(
@@ -46,6 +50,8 @@ def bfs_followers(
         found = frontier.count()
         if found == 0:
             break
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"accounts go on beyond depth {max_depth}")
         visited = visited.unionByName(frontier)
         if missing is not None:
             missing -= found
@@ -62,6 +68,12 @@ def bfs_summary(found: DataFrame, target: int) -> DataFrame:
     )
 
 
+def sortable(number: Column) -> Column:
+    """Text of fixed width in the order of any bigint: hexadecimal with the sign turned."""
+    turned = number.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))
+    return F.lpad(F.hex(turned), 16, "0")
+
+
 def comment_tree(comments: DataFrame) -> DataFrame:
     """Add `path` (sorts in depth-first display order inside a submission) and `depth`.
 
@@ -72,7 +84,7 @@ def comment_tree(comments: DataFrame) -> DataFrame:
     keyed = comments.select(
         "submission_id", "comment_id",
         F.col("parent_id").alias("_up"),
-        F.lpad(F.col("ordinal").cast("string"), 12, "0").alias("path"),
+        sortable(F.col("ordinal")).alias("path"),
     )
     active = durable(keyed)
     finished = active.filter(F.col("_up").isNull())

@@ -139,10 +139,6 @@ def label_coverage(posts: DataFrame, labels: DataFrame, days: Sequence[str] | No
     return rows.withColumn("interim", lowest < C.COVERAGE_COMPLETE)
 
 
-def in_domain(column: Column, domain: Sequence[str]) -> Column:
-    return F.coalesce(column.isin(*domain), F.lit(False))
-
-
 def feature_contract_violations(wide: DataFrame) -> DataFrame:
     """Labelled values outside their domain, counted per feature."""
     def bad(name: str, domain: Sequence[str]) -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.ranking import chunk_index, running_total, top_n
-from starling.operators.membership import validate_resume_sets
 
 
 def task_ledger_status(tasks: DataFrame, run: str) -> DataFrame:
@@ -89,10 +88,6 @@ def resume_run(metadata: DataFrame, group: Sequence[str]) -> DataFrame:
     return newest.withColumn("status", F.lit("in_progress"))
 
 
-def check_resumable(stored: DataFrame, current: DataFrame, key: str) -> DataFrame:
-    return validate_resume_sets(stored, current, key)
-
-
 def row_budget(
     rows: DataFrame, tasks: DataFrame, per_task: int, max_rows: int | None, order: Sequence[Column],
     already: int = 0,

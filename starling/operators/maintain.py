@@ -189,7 +189,7 @@ def run_all(spark: SparkSession, jobs: dict[str, Callable[[], object]]) -> DataF
             job()
             rows.append((name, False, None))
         except Exception as error:  # every table gets its turn
-            rows.append((name, True, str(error)[:500]))
+            rows.append((name, True, str(error)))
     return spark.createDataFrame(rows, "table_name string, failed boolean, error string")
 
 

@@ -137,9 +137,3 @@ def stream_backfill_union(
     newer = stream.filter(F.col("created_at") >= cutoff).withColumn("origin", F.lit("stream"))
     older = backfill.filter(F.col("created_at") < cutoff).withColumn("origin", F.lit("backfill"))
     return keep_last(newer.unionByName(older), ["uri"], ["origin", *order])
-
-
-def sizes_match(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(rows_before, rows_after) as one row."""
-    counted = before.agg(F.count("*").alias("rows_before"))
-    return counted.withColumn("rows_after", after.agg(F.count("*")).scalar())

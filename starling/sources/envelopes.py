@@ -52,6 +52,8 @@ def decode(frames: DataFrame, column: str = "value") -> DataFrame:
     The JSON reader stops after the first value, so a frame that goes on after its closing
     brace is caught by its last character.
     """
+    # A frame that repeats a key keeps its last value, whoever built the session.
+    frames.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     text = F.col(column).cast("string")
     whole = ~text.startswith("{") | text.rlike(r"\}\s*\z")
     event = F.when(whole, F.try_parse_json(text))

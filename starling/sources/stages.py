@@ -27,17 +27,6 @@ def load_stage(
     return strings
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Add (file_path, ordinal): a row's place among the rows of its own file.
-
-    Row order exists only inside a file; the id grows inside a partition, and a partition
-    reads a file from front to back.
-    """
-    return df.withColumn("file_path", F.col("_metadata.file_path")).withColumn(
-        "ordinal", F.monotonically_increasing_id()
-    )
-
-
 def latest_run(df: DataFrame) -> DataFrame:
     """Rows of the newest run; run names sort as time does."""
     newest = df.agg(F.max("run_dir")).scalar()

@@ -50,12 +50,6 @@ def with_day(df: DataFrame, created_at: str = "created_at") -> DataFrame:
     return df.withColumn(DAY, F.to_date(created_at))
 
 
-def day_predicate(low: Column, high: Column, created_at: str = "created_at") -> Column:
-    """low ≤ created_at < high, repeated on the partition column so days are pruned."""
-    on_day = F.col(DAY).between(F.to_date(low), F.to_date(high))
-    return on_day & (F.col(created_at) >= low) & (F.col(created_at) < high)
-
-
 def balanced_by_day(df: DataFrame) -> DataFrame:
     """Rows of a day together, a large day split over several tasks.
 

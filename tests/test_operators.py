@@ -236,6 +236,30 @@ def test_bfs_order_and_target(spark):
     assert G.bfs_summary(few, 10).first().asDict() == {"found": 3, "max_depth": 2, "shortfall": 7}
 
 
+def test_bfs_has_no_silent_depth(spark):
+    chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}", 1) for i in range(100)], "account string, follower string, ordinal bigint")
+    with pytest.raises(ValueError, match="beyond depth 14"):
+        G.bfs_followers(chain, "n0", max_depth=14)
+    short = chain.filter("length(account) < 3")
+    assert G.bfs_followers(short, "n0", max_depth=10).count() == G.bfs_followers(short, "n0").count() == 10
+
+
+def test_sortable_keeps_the_order_of_any_number(spark):
+    numbers = [-(1 << 63), -5, 0, 7, 1234567890123, 1234567890124, (1 << 63) - 1]
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint").withColumn("text", G.sortable(F.col("n")))
+    assert [r["n"] for r in df.orderBy("text").collect()] == numbers
+
+
+def test_original_posts_are_no_interactions(spark):
+    post = '{"$type":"app.bsky.feed.post","text":"x","createdAt":"2024-02-01T00:00:00Z"}'
+    reply = post.replace('"text"', '"reply":{"root":{"uri":"r"},"parent":{"uri":"p"}},"text"')
+    rows = [("did:a", f"at://a/{i}", post) for i in range(25)] + [("did:b", "at://b/1", reply)]
+    records = spark.createDataFrame(rows, "did string, uri string, raw string").select("did", "uri", F.parse_json("raw").alias("record"))
+    got = {r["did"]: r for r in A.activity_counts(records, F.lit("2024-01-10").cast("timestamp")).collect()}
+    assert (got["did:a"]["original_posts_6m"], got["did:a"]["interactions_6m"]) == (25, 0)
+    assert (got["did:b"]["replies_6m"], got["did:b"]["interactions_6m"]) == (1, 1)
+
+
 def test_deep_comment_chain(spark):
     rows = [(1, f"c{i}", None if i == 0 else f"c{i - 1}", i) for i in range(40)] + [(1, "z", "c0", 99)]
     df = spark.createDataFrame(rows, "submission_id int, comment_id string, parent_id string, ordinal int")
