@@ -14,11 +14,14 @@ shard closes after the document that fills it.
 from __future__ import annotations
 
 import functools
+import gc
 import math
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,13 @@ END = 0
 SHARD_IDS = 2_000_000
 PARTITION_BYTES = 24 << 20
 #: Re-Pair: rounds, new symbols a round, and how often a pair must occur.
-ROUNDS = 10
-ROUND_RULES = 4096
+ROUNDS = 8
+ROUND_RULES = 8192
 MIN_PAIRS = 8
+#: A round that replaces a smaller share of the places is the last.
+GAIN = 0.02
 #: Distinct chunks of text whose ids a task remembers.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 700_000
 #: The characters that the tokenizer's pattern takes as white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: White space and what follows it up to the next white space: no token crosses such a border.
@@ -54,64 +59,132 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _class(kind: str) -> str:
+    return re.escape("".join(chr(c) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind))
+
+
+#: Characters below U+0250 except unusual white space and what starts a special token: their classes
+#: are the same in every Unicode version. Other chunks go to the library whole.
+PLAIN = re.compile("[\t-\r -;=-~\xa1-\u024f]*")
+#: The published pattern by which byte-level BPE cuts a text before its merges, for those characters.
+PRETOKENS = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^\s{L}{N}]+|\s+(?!\S)|\s+".format(L=_class("L"), N=_class("N"))
+)
+
+
+def byte_letters() -> dict[int, str]:
+    """How byte-level BPE writes a byte: printable ones as themselves, the rest from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class Places(dict):
+    """Chunk -> number; a chunk that is new gets the next number and waits to be encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.waiting: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.waiting.append(chunk)
+        return number
+
+
 class Encoder:
-    """Ids of texts; chunks between white space are encoded once and remembered."""
+    """Ids of texts; chunks between white space are encoded once and remembered.
+
+    A chunk is cut as the tokenizer cuts texts, and the library's BPE model merges each part.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # Chunks that could hold a special token are not plain.
+        self.plain = PLAIN.fullmatch if all(t[0] == "<" for t in special) else (lambda chunk: None)
+        self.letters = byte_letters()
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.edges = [0]
-
-    def _learn(self, chunks: list[str]) -> None:
-        found = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
-        for chunk, encoding in zip(chunks, found, strict=True):
-            ids = encoding.ids
-            end = self.edges[-1] + len(ids)
-            if end > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-            self.flat[self.edges[-1] : end] = ids
-            self.place[chunk] = len(self.edges) - 1
-            self.edges.append(end)
+        self.places = Places()
+        self.parts: dict[str, list[int]] = {}
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.edges = np.zeros(1, np.int64)
+
+    def _chunk_ids(self, chunk: str) -> list[int]:
+        if not self.plain(chunk):
+            return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        found: list[int] = []
+        for part in PRETOKENS.findall(chunk):
+            ids = self.parts.get(part)
+            if ids is None:
+                written = part.encode().decode("latin-1").translate(self.letters)
+                ids = self.parts[part] = [token.id for token in self.tokenizer.model.tokenize(written)]
+            found += ids
+        return found
+
+    def _learn(self) -> None:
+        # A hundred thousand small lists live for a moment; none is part of a cycle.
+        gc.disable()
+        try:
+            learned = [self._chunk_ids(chunk) for chunk in self.places.waiting]
+        finally:
+            gc.enable()
+        self.places.waiting.clear()
+        if len(self.parts) > CACHE_CHUNKS // 4:
+            self.parts.clear()
+        sizes = np.fromiter(map(len, learned), np.int64, len(learned))
+        begin = int(self.edges[-1])
+        end = begin + int(sizes.sum())
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), end - len(self.ids)), np.uint32)])
+        self.ids[begin:end] = np.fromiter(chain.from_iterable(learned), np.uint32, end - begin)
+        self.edges = np.concatenate([self.edges, begin + np.cumsum(sizes)])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.place) > CACHE_CHUNKS:
+        if len(self.places) > CACHE_CHUNKS:
             self.clear()
         split = [CHUNK.findall(text or "") for text in texts]
-        fresh = list({chunk for chunks in split for chunk in chunks if chunk not in self.place})
-        if fresh:
-            self._learn(fresh)
-        edges, find = np.array(self.edges), self.place.__getitem__
-        out = []
-        for chunks in split:
-            at = np.fromiter(map(find, chunks), np.int64, len(chunks))
-            sizes = edges[at + 1] - edges[at]
-            before = np.cumsum(sizes) - sizes
-            source = np.arange(sizes.sum()) + np.repeat(edges[at] - before, sizes)
-            out.append(self.flat[source])
-        return out
-
-
-def _free(rank: np.ndarray) -> np.ndarray:
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(split)), np.int64, counts.sum())
+        if self.places.waiting:
+            self._learn()
+        sizes = self.edges[at + 1] - self.edges[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = self.ids[np.arange(total) + np.repeat(self.edges[at] - (ends - sizes), sizes)]
+        borders = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return [flat[a:b] for a, b in zip(borders[:-1], borders[1:], strict=True)]
+
+
+@functools.cache
+def _encoder(path: str) -> Encoder:
+    """One per Python worker, so later tasks start with what earlier ones learned."""
+    return Encoder(path)
+
+
+def _free(places: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Of overlapping occurrences (neighbouring places) keep the better rank, then the first."""
-    none = np.iinfo(np.int64).max
-    rank = rank.copy()
-    chosen = np.zeros(len(rank), bool)
-    for _ in range(4):
-        left = np.concatenate([[none], rank[:-1]])
-        right = np.concatenate([rank[1:], [none]])
+    none, kept = np.iinfo(np.int64).max, []
+    for _ in range(3):
+        near = np.diff(places) == 1
+        left, right = np.full(len(places), none), np.full(len(places), none)
+        left[1:][near] = rank[:-1][near]
+        right[:-1][near] = rank[1:][near]
         best = (rank < left) & (rank <= right)
-        if not best.any():
+        kept.append(places[best])
+        gone = best.copy()
+        gone[1:] |= best[:-1] & near
+        gone[:-1] |= best[1:] & near
+        places, rank = places[~gone], rank[~gone]
+        if not len(places):
             break
-        chosen |= best
-        at = np.flatnonzero(best)
-        rank[at] = none
-        rank[np.maximum(at - 1, 0)] = none
-        rank[np.minimum(at + 1, len(rank) - 1)] = none
-    return chosen
+    return np.sort(np.concatenate(kept))
+
+
+def _bucket(pairs: np.ndarray) -> np.ndarray:
+    return (pairs * 0x9E3779B1 ^ pairs >> 29) & ((1 << 18) - 1)
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,20 +209,25 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
         best = often[np.lexsort((kinds[often], -times[often]))][:ROUND_RULES]
         order = np.argsort(kinds[best])
         sorted_kinds = kinds[best][order]
-        at = np.minimum(np.searchsorted(sorted_kinds, pairs), len(best) - 1)
-        rank = np.where((sorted_kinds[at] == pairs) & inside, order[at], np.iinfo(np.int64).max)
-        chosen = np.flatnonzero(_free(rank))
-        used, number = np.unique(rank[chosen], return_inverse=True)
-        rules.append(np.stack([kinds[best][used] >> 32, kinds[best][used] & 0xFFFFFFFF], axis=1))
-        symbols[chosen] = base + count + number
+        # Most pairs are ruled out by a small table of hashes before the exact search.
+        table = np.zeros(1 << 18, bool)
+        table[_bucket(sorted_kinds)] = True
+        maybe = np.flatnonzero(table[_bucket(pairs)] & inside)
+        at = np.minimum(np.searchsorted(sorted_kinds, pairs[maybe]), len(best) - 1)
+        real = sorted_kinds[at] == pairs[maybe]
+        chosen = _free(maybe[real], order[at[real]])
+        replaced = pairs[chosen]
+        used = np.unique(replaced)
+        rules.append(np.stack([used >> 32, used & 0xFFFFFFFF], axis=1))
+        symbols[chosen] = base + count + np.searchsorted(used, replaced)
         count += len(used)
         keep = np.ones(len(symbols), bool)
         keep[chosen + 1] = False
         symbols, head = symbols[keep], np.append(head[:-1][keep], False)
-        if len(chosen) < 0.01 * len(keep):
+        if len(chosen) < GAIN * len(keep):
             break
-    table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
-    return symbols, table, np.flatnonzero(head)
+    grammar = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+    return symbols, grammar, np.flatnonzero(head)
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -206,7 +284,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, text: str = "t
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         base = encoder.tokenizer.get_vocab_size(with_added_tokens=True)
         part, number, size = TaskContext.get().partitionId(), 0, 0
         doc_ids: list = []
