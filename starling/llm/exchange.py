@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,37 +49,37 @@ def bundled(docs: DataFrame, layout: Layout) -> DataFrame:
     return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(layout.bundles)).cast("int").alias("bundle"), "*")
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Byte planes from the lowest up; upper ones are mostly zero and vanish in compression."""
+    planes = values.astype(U64).view(np.uint8).reshape(-1, 8).T
+    used = max([k + 1 for k in range(8) if planes[k].any()], default=1)
+    return zstandard.compress(bytes([used]) + planes[:used].tobytes(), 1)
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    raw = zstandard.decompress(data)
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.view(U64).ravel()
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Rising or small unsigned numbers as differences in byte planes, the upper ones mostly zero."""
+    """Sorted unsigned numbers as the differences between neighbours."""
     values = values.astype(U64)
-    steps = np.concatenate([values[:1], np.diff(values)]) if len(values) else values
-    planes = steps.view(np.uint8).reshape(-1, 8).T
-    used = max([k + 1 for k in range(8) if planes[k].any()], default=0)
-    return bytes([used]) + planes[:used].tobytes()
+    return _planes(np.concatenate([values[:1], np.diff(values)]))
 
 
 def unpack(data: bytes) -> np.ndarray:
-    used = data[0]
-    if not used:
-        return np.zeros(0, U64) if len(data) == 1 else np.zeros(len(data) - 1, U64)
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(used, -1)
-    steps = np.zeros((planes.shape[1], 8), np.uint8)
-    steps[:, :used] = planes.T
-    return np.cumsum(steps.view(U64).ravel(), dtype=U64)
+    return np.cumsum(_from_planes(data), dtype=U64)
 
 
 def pack_counts(values: np.ndarray) -> bytes:
-    """Counts in byte planes, not as differences."""
-    planes = values.astype(U64).view(np.uint8).reshape(-1, 8).T
-    used = max([k + 1 for k in range(8) if planes[k].any()], default=1)
-    return bytes([used]) + planes[:used].tobytes()
+    return _planes(values)
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, : data[0]] = planes.T
-    return out.view(U64).ravel()
+    return _from_planes(data)
 
 
 def cut(keys: np.ndarray, slices: int, bits: int) -> np.ndarray:
