@@ -8,7 +8,8 @@ Documents are sets of word n-grams; 1 - Jaccard is a metric. Unrelated texts all
    within the threshold differ in fewer parts than either fills (each differing n-gram spoils one
    part). The projections on the parts, in an order of their own, obey the prefix principle: the
    first `differing parts + 1` anchors of two linked sets have one in common. The class of smallest
-   id at an anchor is the pivot of all classes there; they are its Voronoi region. Sets near a size
+   id at an anchor is the pivot of all classes there; they are its Voronoi region. Anchors are
+   compared by `starling.llm.exchange`, so a frequent one is never a hot key. Sets near a size
    border, where the number of parts doubles, are replicated over the border by the window
    that the threshold allows.
 3. A region too large for a task is split again: pivots are drawn from it, every member goes to
@@ -39,6 +40,17 @@ from starling.functions.keep import keep_first
 from starling.functions.ranking import top_n
 from starling.llm.common import saved, with_broadcast
 from starling.llm.components import components
+from starling.llm.exchange import (
+    ASK,
+    SLICE_ENTRIES,
+    answer,
+    ask_table,
+    cut,
+    pack,
+    pack_counts,
+    replies_of,
+    unpack_counts,
+)
 from starling.llm.registry import query
 from starling.llm.words import (
     LOWER,
@@ -60,6 +72,8 @@ SMALL = 64
 REGION_MEMBERS = 2000
 REGION_GRAMS = 1_000_000
 PIVOTS = 16
+#: Anchors of a bundle of classes, on average.
+BUNDLE_ANCHORS = 500_000
 
 
 class Threshold:
@@ -184,6 +198,92 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"rep {kind}, grams array<long>")
 
 
+def _flat_anchors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(anchors, the rep of each) of a bundle, sorted by anchor."""
+    arrays = _arrays(table.column("anchors"))
+    reps = np.repeat(table.column("rep").to_numpy(), [len(a) for a in arrays])
+    anchors = np.concatenate([*arrays, np.zeros(0, np.int64)]).view(U64)
+    order = np.argsort(anchors)
+    return anchors[order], reps[order].astype(np.int64)
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return np.flatnonzero(new)
+
+
+def _pivots(asked: list[np.ndarray], numbers: list[np.ndarray]) -> list[bytes]:
+    """For each anchor asked: 0, or 1 and the smallest rep of all that have it if there are several."""
+    keys = np.concatenate(asked)
+    halves = [np.split(n, 2) for n in numbers]
+    least = np.concatenate([h[0] for h in halves]).view(np.int64)
+    many = np.concatenate([h[1] for h in halves]).astype(bool)
+    order = np.argsort(keys)
+    at = _firsts(keys[order])
+    group = np.empty(len(keys), np.int64)
+    group[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(keys))))
+    pivot = np.minimum.reduceat(least[order], at)[group]
+    shared = (np.logical_or.reduceat(many[order], at) | (np.diff(np.append(at, len(keys))) > 1))[group]
+    out, edges = [], np.concatenate([[0], np.cumsum([len(k) for k in asked])])
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        own = shared[a:b]
+        out.append(pack_counts(np.concatenate([own.astype(U64), pivot[a:b][own].view(U64)])))
+    return out
+
+
+def pivot_regions(classes: DataFrame) -> DataFrame:
+    """(pivot, rep): every class (rep, anchors) with the pivots of its shared anchors.
+
+    Bundles of classes ask the slices of the anchor space; an anchor that a third of all classes
+    share is one entry per bundle.
+    """
+    total = classes.agg(F.sum(F.size("anchors"))).first()[0] or 0
+    bundles, slices = max(1, -(-total // BUNDLE_ANCHORS)), max(1, -(-total // SLICE_ENTRIES))
+    kind = dict(classes.dtypes)["rep"]
+    rows = classes.filter(F.size("anchors") > 0).select(
+        F.pmod(F.xxhash64("rep"), F.lit(bundles)).cast("int").alias("bundle"), "rep", "anchors"
+    )
+
+    def ask(table: pa.Table) -> pa.Table:
+        anchors, reps = _flat_anchors(table)
+        at = _firsts(anchors)
+        least, most = np.minimum.reduceat(reps, at), np.maximum.reduceat(reps, at)
+        out = ([], [], [], [])
+        keys, edges = anchors[at], cut(anchors[at], slices, 64)
+        for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            if a < b:
+                numbers = np.concatenate([least[a:b].view(U64), (least[a:b] != most[a:b]).astype(U64)])
+                for column, value in zip(
+                    out, (k, table.column("bundle")[0].as_py(), pack(keys[a:b]), pack_counts(numbers)), strict=True
+                ):
+                    column.append(value)
+        return ask_table(out)
+
+    def place(own: pa.Table, answers: pa.Table) -> pa.Table:
+        anchors, reps = _flat_anchors(own)
+        at = _firsts(anchors)
+        shared, pivot = np.zeros(len(at), bool), np.zeros(len(at), np.int64)
+        edges = cut(anchors[at], slices, 64)
+        for k, _, reply in replies_of(answers):
+            numbers = unpack_counts(reply)
+            size = int(edges[k + 1] - edges[k])
+            mine = numbers[:size].astype(bool)
+            shared[edges[k] : edges[k + 1]] = mine
+            pivot[edges[k] : edges[k + 1]][mine] = numbers[size:].view(np.int64)
+        group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(anchors))))
+        pairs = np.unique(np.stack([pivot[group], reps], axis=1)[shared[group]], axis=0)
+        return pa.table({"pivot": pa.array(pairs[:, 0]).cast(types[kind]), "rep": pa.array(pairs[:, 1]).cast(types[kind])})
+
+    types = {"bigint": pa.int64(), "int": pa.int32()}
+    answers = answer(rows.groupBy("bundle").applyInArrow(ask, ASK), _pivots)
+    return (
+        rows.groupBy("bundle")
+        .cogroup(answers.groupBy("bundle"))
+        .applyInArrow(place, f"pivot {kind}, rep {kind}")
+    )
+
+
 class Members:
     """Sets of one group laid flat, with small ids for their n-grams."""
 
@@ -410,25 +510,12 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
     filled = rows.filter("n_shingles > 0")
     classes = saved(
         filled.groupBy("n_shingles", "sig_a", "sig_b").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("copies")
+            F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.any_value("anchors").alias("anchors")
         ),
         "jaccard-classes",
     )
     named = classes.filter("rep IS NOT NULL")
-    anchors = (
-        filled.filter(F.size("anchors") > 0)
-        .withColumnRenamed("doc_id", "rep")
-        .join(named, ["rep", "n_shingles", "sig_a", "sig_b"], "left_semi")
-        .select("rep", F.explode("anchors").alias("anchor"))
-    )
-    cells = saved(
-        anchors.groupBy("anchor")
-        .agg(F.min("rep").alias("pivot"), F.max("rep").alias("_last"))
-        .filter("pivot < _last")
-        .select("anchor", "pivot"),
-        "jaccard-cells",
-    )
-    placed = anchors.join(cells, "anchor").select(F.xxhash64("pivot").alias("region"), "rep").distinct()
+    placed = pivot_regions(named).select(F.xxhash64("pivot").alias("region"), "rep").distinct()
     sizes = named.groupBy("rep").agg(F.max("copies").alias("copies"), F.max("n_shingles").alias("weight"))
     members = saved(placed.join(sizes, "rep"), "jaccard-members")
     wanted = with_broadcast(saved(members.select(F.col("rep").alias("_rep")).distinct(), "jaccard-wanted"))
@@ -450,7 +537,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
         "rep",
         "copies",
     )
-    ready = blocked.join(listed, "rep").join(sets, "rep")
+    blocked = saved(blocked.join(listed, "rep"), "jaccard-blocks")
+    ready = sets.join(with_broadcast(blocked), "rep")
     tasks = max(8, int(ready.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     kind = dict(docs.dtypes)["doc_id"]
     columns = ["region", "block", "half", "rep", "copies", "regions", "grams"]
