@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,16 @@ from pyspark.sql import functions as F
 from starling import constants as C
 from starling.functions.keep import keep_last
 from starling.session import scratch_path
-from starling.sources.tables import DAY, balanced_by_day, file_stats, write_day_partitioned
+from starling.sources.tables import (
+    DAY,
+    balanced_by_day,
+    file_stats,
+    folder_bytes,
+    move_path,
+    path_exists,
+    remove_path,
+    write_day_partitioned,
+)
 
 
 def collapse_to_latest(events: DataFrame, tie_break: Sequence[str] = ("rev",)) -> DataFrame:
@@ -91,35 +101,82 @@ def days_to_compact(
     return per_day.filter(F.col("small_files") >= min_small)
 
 
-def _replace_days(spark: SparkSession, path: str, rows: DataFrame, days: Sequence[str]) -> None:
-    """Write `rows` over the given days, by way of a staged copy in the shared folder.
+FLUSH = "flush_id"
+
+
+def _on_days(days: Sequence[str]) -> Column:
+    return F.col(DAY).isin(*[F.lit(d).cast("date") for d in days])
+
+
+def has_flushes(table: DataFrame) -> bool:
+    """Is it a table of the ingest stream, partitioned by day and flush?"""
+    return FLUSH in table.columns
+
+
+def mergeable(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
+    """Rows whose flush is logged, or already merged; all rows of other tables."""
+    if not has_flushes(table):
+        return table
+    log = f"{path.rstrip('/').rsplit('/', 1)[0]}/_flush_log"
+    if not path_exists(spark, log):
+        return table.filter(F.col(FLUSH).startswith("merged-"))
+    logged = spark.read.parquet(log).select(FLUSH).distinct()
+    merged = table.filter(F.col(FLUSH).startswith("merged-"))
+    return merged.unionByName(table.join(logged, FLUSH, "left_semi").select(*table.columns))
+
+
+def _replace_days(
+    spark: SparkSession, path: str, rows: DataFrame, days: Sequence[str], read: DataFrame,
+    target_bytes: int = C.TARGET_FILE_BYTES,
+) -> None:
+    """Write `rows` over what was `read` of the given days, by way of a staged copy in the shared folder.
 
     The staged copy is complete before the first file of the table is touched; each day is
-    then replaced by one job.
+    then replaced by one job. A table of the ingest stream has a flush partition below the
+    day: there the merged rows become one new flush, written under a hidden name, and take
+    the place of the flushes read. Only flushes with a log are merged (`mergeable`), so a
+    replayed batch never finds its rows merged already. The number of files follows
+    from the day's bytes and the target size. The staged copy is removed at the end.
     """
     staged = scratch_path(spark, "maintenance")
     balanced_by_day(rows).write.partitionBy(DAY).option("compression", C.COMPRESSION).parquet(staged)
-    columns = [c for c in rows.columns if c != DAY]
-    copy = spark.read.parquet(staged)
+    flushed = has_flushes(rows)
+    columns = [c for c in rows.columns if c not in (DAY, FLUSH)] if flushed else [c for c in rows.columns if c != DAY]
+    copy = spark.read.schema(rows.schema).parquet(staged)
+    old: dict[str, list[str]] = {}
+    if flushed:  # the flushes of the days, by name
+        for r in read.filter(_on_days(days)).select(F.col(DAY).cast("string"), FLUSH).distinct().collect():
+            old.setdefault(r[0], []).append(r[1])
     for day in days:
-        one = copy.filter(F.col(DAY) == F.lit(day).cast("date")).select(*columns)
-        # Sized by bytes: AQE cuts a rebalanced day into advisory-sized files.
-        one.hint("rebalance").write.mode("overwrite").option("compression", C.COMPRESSION).parquet(
-            f"{path.rstrip('/')}/{DAY}={day}"
-        )
+        folder = f"{path.rstrip('/')}/{DAY}={day}"
+        one = copy.filter(F.col(DAY) == F.lit(day).cast("date"))
+        files = max(1, -(-folder_bytes(spark, f"{staged}/{DAY}={day}") // target_bytes))
+        sized = one.select(*columns).repartition(files).write.option("compression", C.COMPRESSION)
+        if not flushed:
+            sized.mode("overwrite").parquet(folder)
+            continue
+        name = f"merged-{uuid.uuid4().hex[:12]}"
+        sized.parquet(f"{folder}/_{name}")
+        for flush in old[day]:
+            remove_path(spark, f"{folder}/{FLUSH}={flush}")
+        move_path(spark, f"{folder}/_{name}", f"{folder}/{FLUSH}={name}")
+    remove_path(spark, staged)
 
 
 def compact_days(spark: SparkSession, path: str, as_of: str, days: int = C.COMPACT_DAYS,
-                 min_small: int = C.MIN_SMALL_FILES) -> list[str]:
-    """Rewrite recent days that consist of many small files; returns those days."""
-    table = spark.read.parquet(path)
+                 min_small: int = C.MIN_SMALL_FILES, target_bytes: int = C.TARGET_FILE_BYTES) -> list[str]:
+    """Rewrite recent days that consist of many small files; returns those days.
+
+    A day is chosen only if it comes out in fewer files than it has small ones.
+    """
+    table = mergeable(spark, path, spark.read.parquet(path))
     today = F.lit(as_of).cast("date")
-    chosen = days_to_compact(table, today, days, min_small=min_small)
+    chosen = days_to_compact(spark.read.parquet(path), today, days, target_bytes, min_small)
+    chosen = chosen.filter(F.col("small_files") > F.ceil(F.col("bytes") / target_bytes))
     # At most `days` values: the list of calendar days to rewrite.
     picked = [str(r[0]) for r in chosen.select(DAY).orderBy(DAY).limit(days).collect()]
     if picked:
-        rows = table.filter(F.col(DAY).isin(*[F.lit(d).cast("date") for d in picked]))
-        _replace_days(spark, path, rows, picked)
+        _replace_days(spark, path, table.filter(_on_days(picked)), picked, table, target_bytes)
     return picked
 
 
@@ -137,11 +194,11 @@ def compact_full(spark: SparkSession, path: str, start: str, as_of: str) -> list
     """Compact month by month: one staged rewrite per calendar month."""
     done: list[str] = []
     for month in month_ranges(spark, start, as_of).orderBy("month_start").toLocalIterator():
-        table = spark.read.parquet(path)
+        table = mergeable(spark, path, spark.read.parquet(path))
         inside = (F.col(DAY) >= F.lit(month[0])) & (F.col(DAY) < F.lit(month[1]))
         days = [str(r[0]) for r in table.filter(inside).select(DAY).distinct().orderBy(DAY).collect()]
         if days:
-            _replace_days(spark, path, table.filter(inside), days)
+            _replace_days(spark, path, table.filter(inside), days, table)
             done += days
     return done
 
@@ -152,15 +209,23 @@ def mask_table(spark: SparkSession, path: str, as_of: str, days: int = C.MASK_DA
     Only days that hold a masked row are read again and replaced. The day predicate stands
     on both the duplicate search and the rewrite, so older days are never read.
     """
-    table = spark.read.parquet(path)
-    recent = with_path(table.filter(recent_days(F.lit(as_of).cast("date"), days)))
-    mask = duplicate_mask(recent)
-    touched = recent.join(mask, ["uri", "path"], "left_semi").select(DAY).distinct()
+    table = mergeable(spark, path, with_path(spark.read.parquet(path)))
+    recent = table.filter(recent_days(F.lit(as_of).cast("date"), days))
+    # Narrow columns tell which uris repeat across files; whole rows are read for their days only.
+    narrow = recent.select("uri", "path", DAY)
+    mask = duplicate_mask(narrow)
+    touched = narrow.join(mask, ["uri", "path"], "left_semi").select(DAY).distinct()
     picked = [str(r[0]) for r in touched.orderBy(DAY).collect()]
     if picked:
-        kept = keep_one(recent, ["ingested_at"]) if safe else mask_duplicates(recent)
-        rows = kept.filter(F.col(DAY).isin(*[F.lit(d).cast("date") for d in picked]))
-        _replace_days(spark, path, rows.select(*table.columns), picked)
+        on_days = _on_days(picked)
+        if safe:
+            twice = narrow.groupBy("uri").agg(F.count("*").alias("_n")).filter("_n > 1").select("uri")
+            single = recent.filter(on_days).join(twice, "uri", "left_anti")
+            repeated = keep_one(recent.join(twice, "uri", "left_semi"), ["ingested_at"]).filter(on_days)
+            rows = single.unionByName(repeated.select(*single.columns))
+        else:
+            rows = mask_duplicates(recent).filter(on_days)
+        _replace_days(spark, path, rows.select(*[c for c in table.columns if c != "path"]), picked, table)
     return picked
 
 

@@ -207,6 +207,42 @@ def replayed_batch(spark, sf):
     return out
 
 
+@query("ST6_M2_ingest_and_upkeep", _PER_TYPE)
+def ingest_and_upkeep(spark, sf):
+    """A replayed batch, the same frames again under a second checkpoint, then upkeep of every table.
+
+    The second checkpoint starts at batch 0 as well and must not replace the first one's rows;
+    merging small flushes and masking repeats leaves one row per uri.
+    """
+    root = scratch_path(spark, "upkeep")
+    frames = VW.collapsing_frames(spark, sf)
+    first = IN.IngestJob(root, "run-1", checkpoint_id="a")
+    for job in (first, first, IN.IngestJob(root, "run-2", checkpoint_id="b")):
+        IN.process_batch(job, frames, 0)
+    out = None
+    for record_type in ("posts", "likes", "reposts", "follows"):
+        path = first.table(record_type)
+        MT.compact_days(spark, path, "2100-01-01", days=40_000, min_small=2)
+        MT.mask_table(spark, path, "2100-01-01", days=40_000)
+        one = _table(spark, first, record_type).groupBy("record_type").agg(F.count("*").alias("n_rows"), F.count_distinct("uri").alias("n_uris"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query("ST2_flush_trigger", duck(f"SELECT 'size' AS reason, record_type, count(DISTINCT uri) AS n_uris FROM ({_STORED}) GROUP BY 2", "collapsing_parsed"))
+def flush_trigger(spark, sf):
+    """Landed files beyond the size limit are flushed at once, in batches, until none waits."""
+    root = scratch_path(spark, "flushes")
+    VW.collapsing_frames(spark, sf).select("value").repartition(4).write.text(f"{root}/landed")
+    job = IN.IngestJob(f"{root}/tables", "run-1")
+    reasons = IN.flush_windows(spark, f"{root}/landed", job, f"{root}/checkpoint", max_bytes=1 << 16, stop=lambda: True)
+    out = None
+    for record_type in ("posts", "likes", "reposts", "follows"):
+        one = _table(spark, job, record_type).groupBy("record_type").agg(F.count_distinct("uri").alias("n_uris"))
+        out = one if out is None else out.union(one)
+    return out.select(F.lit(",".join(reasons)).alias("reason"), "record_type", "n_uris")
+
+
 query(
     "ST3_per_window_dedup",
     duck(f"SELECT record_type, uri, {duck_stamp('first_seen')} AS first_seen FROM ({_STORED})", "collapsing_parsed"),
@@ -260,10 +296,12 @@ def run_stamping(spark, sf):
 
 @query(
     "ST10_stream_gauges",
-    duck(f"SELECT (SELECT max(time_us) FROM v_collapsing_parsed) AS cursor_us, 60.0::DOUBLE AS lag_seconds, (SELECT count(*) FROM ({_STORED})) AS rows_written, 0 :: BIGINT AS dead_letters, 1 :: BIGINT AS flushes", "collapsing_parsed"),
+    duck(f"SELECT (SELECT max(time_us) FROM v_collapsing_parsed) AS cursor_us, 60.0::DOUBLE AS lag_seconds, (SELECT count(*) FROM ({_STORED})) AS rows_written, 0 :: BIGINT AS dead_letters, 0 :: BIGINT AS dropped, 1 :: BIGINT AS flushes", "collapsing_parsed"),
 )
 def stream_gauges(spark, sf):
     job = IN.IngestJob(scratch_path(spark, "gauges"), "run-1")
     run_stream(spark, sf, job)
     now = IN.read_cursor(spark, job.root) + 60_000_000
-    return IN.gauges(spark, job.root, now)
+    return IN.gauges(spark, job.root, now).select(
+        "cursor_us", "lag_seconds", "rows_written", "dead_letters", "dropped", "flushes"
+    )

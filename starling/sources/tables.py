@@ -15,12 +15,38 @@ DAY = "created_at_day"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; a target that is there already is an error."""
+    fs, hadoop_path = _file_system(spark, source)
+    if not fs.rename(hadoop_path, _file_system(spark, target)[1]):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder; none when it is missing. For folders of bounded size."""
+    fs, hadoop_path = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
+
+
 def check_columns(df: DataFrame, expected: StructType) -> None:
     """The column set must be the table's: nothing missing, nothing extra."""
     missing = set(expected.fieldNames()) - set(df.columns)
@@ -169,12 +195,17 @@ def unload_day(posts: DataFrame, day: str, target: str) -> bool:
     return True
 
 
-def write_dead_letter(df: DataFrame, root: str, record_type: str, run_id: str, day: str, attempts: int = 2) -> None:
-    """Keep a batch that could not reach its table; the last failure is raised."""
-    target = f"{root.rstrip('/')}/{record_type}/dt={day}"
+def write_dead_letter(
+    df: DataFrame, root: str, record_type: str, run_id: str, day: str, flush_id: str = "batch", attempts: int = 2
+) -> None:
+    """Keep a batch that could not reach its table; the last failure is raised.
+
+    The flush names the folder, so a replay replaces what it wrote before.
+    """
+    target = f"{root.rstrip('/')}/{record_type}/dt={day}/flush={flush_id}"
     for attempt in range(1, attempts + 1):
         try:
-            df.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(target)
+            df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").parquet(target)
             return
         except Exception:
             if attempt == attempts:

@@ -1,15 +1,17 @@
 """Firehose ingestion as a Structured Streaming query.
 
 One micro-batch is one flush window. Each record type is written on its own, into the
-partitions (created_at_day, flush_id); flush_id names the batch, and a replayed batch
-replaces exactly the partitions it wrote before. The streaming checkpoint is what resumes
-the query; the cursor table is for readers.
+partitions (created_at_day, flush_id); flush_id names the stream, its checkpoint and the batch. A
+replayed batch replaces exactly the partitions it wrote before, and one whose flush log is
+there is done and not written again, so upkeep may merge logged flushes. A new checkpoint starts
+new ids, so it never replaces rows of an earlier one. The streaming checkpoint is what
+resumes the query; the cursor table is for readers.
 """
 
 from __future__ import annotations
 
 import time
-from collections import deque
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -17,13 +19,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from starling import constants as C
 from starling.operators.calllog import flush_summary
 from starling.operators.membership import window_dedupe
 from starling.sources import envelopes as E
-from starling.sources.tables import DAY, path_exists, with_day, write_dead_letter
+from starling.sources.tables import (
+    DAY,
+    folder_bytes,
+    list_names,
+    path_exists,
+    remove_path,
+    with_day,
+    write_dead_letter,
+)
 
 ATTEMPTS = 3
 Writer = Callable[[DataFrame, str], None]
@@ -41,12 +50,16 @@ class IngestJob:
     name: str = "firehose"
     writer: Writer | None = None
     failures: list[str] = field(default_factory=list)
+    #: Identity of the checkpoint; set by start_ingest.
+    checkpoint_id: str = "0"
+    #: Rows that reached neither their table nor the dead letters, by type.
+    dropped: dict[str, int] = field(default_factory=dict)
 
     def table(self, record_type: str) -> str:
         return f"{self.root.rstrip('/')}/{record_type}"
 
     def flush_id(self, batch_id: int) -> str:
-        return f"{self.name}-{batch_id}"
+        return f"{self.name}-{self.checkpoint_id}-{batch_id}"
 
 
 def write_flush(rows: DataFrame, path: str) -> None:
@@ -102,6 +115,8 @@ def process_batch(job: IngestJob, frames: DataFrame, batch_id: int) -> None:
     """
     spark = frames.sparkSession
     flush_id = job.flush_id(batch_id)
+    if path_exists(spark, f"{job.root}/_flush_log/flush_id={flush_id}/_SUCCESS"):
+        return
     seen = Observation()
     parsed = E.parse_envelopes(E.decode(frames)).observe(seen, F.max("time_us").alias("time_us"))
     window = window_rows(parsed, job.run_id, flush_id).persist()
@@ -110,21 +125,27 @@ def process_batch(job: IngestJob, frames: DataFrame, batch_id: int) -> None:
         position = seen.get["time_us"]
         if position is None:
             return
-        dead = []
+        dead, lost_types = [], []
         for record_type in C.RECORD_TYPES:
             rows = type_rows(window, record_type)
             if not _commit(job, record_type, rows):
                 dead.append(record_type)
                 day = time.strftime("%Y-%m-%d", time.gmtime(position / 1e6))
-                write_dead_letter(rows, f"{job.root.rstrip('/')}/_dead_letters", record_type, flush_id, day)
+                try:
+                    write_dead_letter(
+                        rows, f"{job.root.rstrip('/')}/_dead_letters", record_type, job.run_id, day, flush_id
+                    )
+                except Exception as error:
+                    job.failures.append(f"{record_type} dead letters: {error}")
+                    lost_types.append(record_type)
+                    job.dropped[record_type] = job.dropped.get(record_type, 0) + rows.count()
         if stored_rows:
             sizes = window.select("flush_id", "record_type", _row_size().alias("row_size"))
             summary = flush_summary(sizes, "flush_id").drop("flush_id")
-            lost = [F.col(f"{name}_rows") for name in dead]
-            total = F.lit(0).cast("bigint")
-            for column in lost:
-                total = total + column
-            summary.withColumn("dead_letters", total).coalesce(1).write.mode("overwrite").parquet(
+            kept_aside = _sum_of([name for name in dead if name not in lost_types])
+            summary.withColumns(
+                {"dead_letters": kept_aside, "dropped": _sum_of(lost_types), "run_id": F.lit(job.run_id)}
+            ).coalesce(1).write.mode("overwrite").parquet(
                 f"{job.root}/_flush_log/flush_id={flush_id}"
             )
         write_cursor(spark, job, batch_id, position)
@@ -132,11 +153,33 @@ def process_batch(job: IngestJob, frames: DataFrame, batch_id: int) -> None:
         window.unpersist()
 
 
+def _sum_of(record_types: list[str]) -> Column:
+    total = F.lit(0).cast("bigint")
+    for name in record_types:
+        total = total + F.col(f"{name}_rows")
+    return total
+
+
+#: Cursor rows that are kept; older ones are removed as new ones come.
+CURSORS = 8
+
+
 def write_cursor(spark: SparkSession, job: IngestJob, batch_id: int, time_us: int) -> None:
-    """Record the position reached; a failed write only means a longer replay."""
-    row = spark.range(1).select(F.lit(time_us).cast("bigint").alias("time_us"))
+    """Record the position reached; a failed write only means a longer replay.
+
+    The position never moves back: the row holds the furthest one known. A bounded number of
+    rows stays.
+    """
+    folder = f"{job.root.rstrip('/')}/_cursor/query={job.name}"
     try:
-        row.write.mode("overwrite").parquet(f"{job.root}/_cursor/query={job.name}/batch_id={batch_id}")
+        known = read_cursor(spark, job.root, job.name)
+        row = spark.range(1).select(F.lit(max(time_us, known or time_us)).cast("bigint").alias("time_us"))
+        row.write.mode("overwrite").parquet(f"{folder}/batch_id={job.checkpoint_id}-{batch_id}")
+        rows = spark.read.parquet(folder).select("time_us", F.col("_metadata.file_path").alias("path"))
+        # At most CURSORS rows and those of failed removals.
+        old = rows.orderBy(F.desc("time_us"), F.desc("path")).collect()[CURSORS:]
+        for r in old:
+            remove_path(spark, r["path"].rsplit("/", 1)[0])
     except Exception as error:
         job.failures.append(f"cursor: {error}")
 
@@ -155,49 +198,69 @@ def start_ingest(
     frames: DataFrame, job: IngestJob, checkpoint: str, every: str | None = "30 minutes"
 ) -> StreamingQuery:
     """Start the query over streaming frames (`value`); `every` None drains what is there."""
-    observed = frames.observe(
-        "frames", F.count(F.lit(1)).alias("frames"), F.max(F.length("value")).alias("longest")
-    )
-    stream = observed.writeStream.queryName(job.name).option("checkpointLocation", checkpoint)
+    job.checkpoint_id = checkpoint_identity(frames.sparkSession, checkpoint)
+    stream = frames.writeStream.queryName(job.name).option("checkpointLocation", checkpoint)
     stream = stream.foreachBatch(lambda batch, batch_id: process_batch(job, batch, batch_id))
     stream = stream.trigger(availableNow=True) if every is None else stream.trigger(processingTime=every)
     return stream.start()
 
 
-def file_frames(spark: SparkSession, path: str, max_bytes: int = C.FLUSH_BYTES) -> DataFrame:
-    """Landed capture files as a stream; a batch admits at most `max_bytes` of them."""
-    return spark.readStream.option("maxBytesPerTrigger", str(max_bytes)).text(path)
+def checkpoint_identity(spark: SparkSession, checkpoint: str) -> str:
+    """A short id that is made once per checkpoint folder and read again afterwards."""
+    folder = f"{checkpoint.rstrip('/')}/_identity"
+    if not list_names(spark, folder):
+        spark.range(1).write.parquet(f"{folder}/{uuid.uuid4().hex[:12]}")
+    return list_names(spark, folder)[0]
 
 
-def deduplicated_stream(parsed: DataFrame, horizon: str = "21 days") -> DataFrame:
-    """Alternative to masking later: drop repeats of a uri inside the horizon, in state."""
-    return parsed.withWatermark("ingested_at", horizon).dropDuplicatesWithinWatermark(["uri"])
+def flush_due(pending_bytes: int, age_seconds: float, max_bytes: int, max_age_seconds: float) -> str | None:
+    """Why a flush is due: "size" before "age"; None while neither limit is met or nothing waits."""
+    if pending_bytes <= 0:
+        return None
+    if pending_bytes >= max_bytes:
+        return "size"
+    return "age" if age_seconds >= max_age_seconds else None
 
 
-# -- gauges ------------------------------------------------------------------------------
+def flush_windows(
+    spark: SparkSession, source: str, job: IngestJob, checkpoint: str, max_bytes: int = C.FLUSH_BYTES,
+    max_age_seconds: float = C.FLUSH_AGE.total_seconds(), poll_seconds: float = 5.0, stop: Callable[[], bool] = lambda: False,
+) -> list[str]:
+    """Flush landed files whenever `max_bytes` wait or the oldest has waited `max_age_seconds`.
 
+    A flush drains everything that waits, in batches of at most `max_bytes`, so a backlog
+    never outlives a flush. Returns the reasons of the flushes made until `stop` says so;
+    what waits then is flushed too.
+    """
+    reasons: list[str] = []
+    done, since = 0, None
+    while True:
+        ending = stop()
+        pending = folder_bytes(spark, source) - done
+        since = None if pending <= 0 else since or time.monotonic()
+        age = 0.0 if since is None else time.monotonic() - since
+        reason = flush_due(pending, age, max_bytes, 0.0 if ending else max_age_seconds)
+        if reason:
+            start_ingest(file_frames(spark, source, max_bytes), job, checkpoint, every=None).awaitTermination()
+            done, since = done + pending, None
+            reasons.append(reason)
+        elif ending:
+            return reasons
+        else:
+            time.sleep(poll_seconds)
 
-class ProgressLog(StreamingQueryListener):
-    """Keeps the latest progress reports of all queries, for `gauges`."""
 
-    def __init__(self, keep: int = 1000) -> None:
-        self.rows: deque[tuple] = deque(maxlen=keep)
-        self.terminated: deque[tuple] = deque(maxlen=keep)
+def file_frames(spark: SparkSession, path: str, max_bytes: int = C.FLUSH_BYTES) -> DataFrame:
+    """Landed capture files as a stream; a batch admits at most `max_bytes` of them."""
+    return spark.readStream.option("maxBytesPerTrigger", str(max_bytes)).text(path)
 
-    def onQueryStarted(self, event) -> None:
-        pass
 
-    def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        observed = progress.observedMetrics.get("frames")
-        frames = int(observed["frames"]) if observed is not None else 0
-        self.rows.append((progress.name, progress.batchId, progress.numInputRows, frames))
+def deduplicated_stream(parsed: DataFrame, horizon: str = "21 days") -> DataFrame:
+    """Alternative to masking later: drop repeats of a uri inside the horizon, in state."""
+    return parsed.withWatermark("ingested_at", horizon).dropDuplicatesWithinWatermark(["uri"])
 
-    def onQueryIdle(self, event) -> None:
-        pass
 
-    def onQueryTerminated(self, event) -> None:
-        self.terminated.append((str(event.id), event.exception))
+# -- gauges ------------------------------------------------------------------------------
 
 
 def gauges(spark: SparkSession, root: str, now_us: int, name: str = "firehose") -> DataFrame:
@@ -208,8 +271,12 @@ def gauges(spark: SparkSession, root: str, now_us: int, name: str = "firehose")
     return position.withColumns(
         {
             "lag_seconds": (F.lit(now_us) - F.col("cursor_us")) / 1e6,
-            "rows_written": log.agg(F.sum(F.col("total_rows") - F.col("dead_letters"))).scalar(),
+            "rows_written": log.agg(
+                F.sum(F.col("total_rows") - F.col("dead_letters") - F.col("dropped"))
+            ).scalar(),
             "dead_letters": log.agg(F.sum("dead_letters")).scalar(),
+            "dropped": log.agg(F.sum("dropped")).scalar(),
+            "mb_written": log.agg(F.sum("total_mb")).scalar(),
             "flushes": log.agg(F.count("*")).scalar(),
         }
     )

@@ -144,6 +144,72 @@ def test_replay_replaces_its_own_partitions(spark, tmp_path):
     assert sorted(r["uri"][-2:] for r in spark.read.parquet(job.table("posts")).collect()) == ["k1", "k2"]
 
 
+def test_second_checkpoint_keeps_rows_and_upkeep_reads_flushes(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = spark.createDataFrame([(frame(),), (like("l1"),)], "value string")
+    other = spark.createDataFrame([(frame(),), (frame(commit__rkey="k2"),)], "value string")
+    first, second = IN.IngestJob(root, "run-1", checkpoint_id="a"), IN.IngestJob(root, "run-2", checkpoint_id="b")
+    IN.process_batch(first, rows, 0)
+    IN.process_batch(second, other, 0)
+    path = first.table("posts")
+    assert spark.read.parquet(path).count() == 3
+    assert MT.compact_days(spark, path, "2100-01-01", days=40_000, min_small=2) != []
+    assert MT.compact_days(spark, path, "2100-01-01", days=40_000, min_small=2) == []
+    merged = spark.read.parquet(path)
+    assert merged.count() == 3 and {r["run_id"] for r in merged.collect()} == {"run-1", "run-2"}
+    IN.process_batch(first, rows, 0)  # replayed after the merge: its log says it is done
+    assert spark.read.parquet(path).count() == 3
+    IN.process_batch(IN.IngestJob(root, "run-3", checkpoint_id="c"), other, 0)
+    MT.mask_table(spark, path, "2100-01-01", days=40_000)
+    assert sorted(r["uri"][-2:] for r in spark.read.parquet(path).collect()) == ["k1", "k2"]
+
+
+def test_large_days_settle(spark, tmp_path):
+    """A day above the target size is merged into several files once, then left alone."""
+    path = str(tmp_path / "t")
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("uri"), F.timestamp_seconds(F.lit(1767225600)).alias("created_at"))
+    TB.with_day(rows).repartition(12).write.partitionBy(TB.DAY).parquet(path)
+    args = dict(days=40_000, min_small=2, target_bytes=400_000)
+    assert MT.compact_days(spark, path, "2100-01-01", **args) == ["2026-01-01"]
+    files = TB.file_stats(spark.read.parquet(path)).first()
+    assert 2 <= files["file_count"] < 12 and files["n_rows"] == 20_000
+    assert MT.compact_days(spark, path, "2100-01-01", **args) == []
+
+
+def test_flush_reasons():
+    assert IN.flush_due(0, 99, 10, 5) is None and IN.flush_due(3, 4, 10, 5) is None
+    assert IN.flush_due(10, 9, 10, 5) == "size" and IN.flush_due(3, 5, 10, 5) == "age"
+
+
+def test_checkpoint_identity_is_stable(spark, tmp_path):
+    one = IN.checkpoint_identity(spark, str(tmp_path / "a"))
+    assert one == IN.checkpoint_identity(spark, str(tmp_path / "a")) != IN.checkpoint_identity(spark, str(tmp_path / "b"))
+
+
+def test_dead_letters_replay_and_drop(spark, tmp_path, monkeypatch):
+    def writer(rows, path):
+        if path.endswith("/posts"):
+            raise OSError("down")
+        IN.write_flush(rows, path)
+
+    rows = spark.createDataFrame([(frame(),), (like("l1"),)], "value string")
+    job = IN.IngestJob(str(tmp_path / "out"), "run-1", writer=writer)
+    for _ in range(2):
+        IN.process_batch(job, rows, 0)
+        TB.remove_path(spark, f"{job.root}/_flush_log")  # as if the batch ended before its log
+    aside = spark.read.parquet(f"{job.root}/_dead_letters/posts").collect()
+    assert [r["run_id"] for r in aside] == ["run-1"]
+
+    def no_letters(*args, **kwargs):
+        raise OSError("down too")
+
+    monkeypatch.setattr(IN, "write_dead_letter", no_letters)
+    IN.process_batch(job, rows, 1)
+    assert job.dropped == {"posts": 1}
+    gauges = IN.gauges(spark, job.root, TIME_US).first()
+    assert (gauges["rows_written"], gauges["dead_letters"], gauges["dropped"]) == (1, 0, 1)
+
+
 def test_failed_sink_goes_to_dead_letters_and_the_rest_commits(spark, tmp_path):
     tried = []
 
