@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starling import constants as C
 from starling.functions.ranking import chunk_index
 from starling.operators import records as R
+from starling.session import written
 
 KNOWABLE_LISTS = (
     "original_posts", "liked_posts", "reposted_posts", "quoted_posts", "replied_posts",
@@ -30,7 +31,8 @@ def activity_items(
     members: DataFrame, bundles: DataFrame, records: DataFrame, start: Column, end: Column
 ) -> DataFrame:
     """One row per list element in the window; a post may be in two lists (quote + other)."""
-    mine = records.join(observed_members(members, bundles), "did", "left_semi")
+    # Written, so that the join reads two tables and a prolific account's records can be split.
+    mine = records.join(written(observed_members(members, bundles), "observed"), "did", "left_semi")
     posts, likes, follows = R.post_row(), R.like_or_repost_row(), R.follow_row()
     rows = R.classify_records(mine).select(
         "did", "uri", "output",
@@ -84,7 +86,9 @@ def derive_stats(
     keeps followers_count and cohort_followers; its own counts are those of empty lists and
     followees_count is NULL.
     """
-    rows = R.classify_records(records.join(members.select("did"), "did", "left_semi")).select(
+    # Records are counted per account before any join: an account is one partial row per task,
+    # whatever share of the records it holds.
+    rows = R.classify_records(records).select(
         "did", "uri", "output",
         R.in_window(R.created_text(), start, end).alias("inside"),
         R.is_reply().alias("is_reply"),
@@ -93,7 +97,6 @@ def derive_stats(
         F.when(F.col("output") == "profile", F.struct(*[c.alias(n) for n, c in R.profile_row().items()])).alias("profile"),
     )
     inside, post = F.col("inside"), F.col("output") == "posts"
-    # Everything about a member in one grouping: a prolific account is one partial row per task.
     own = rows.groupBy("did").agg(
         F.count_if(inside & post & ~F.col("is_reply")).alias("original_posts"),
         F.count_if(inside & post & F.col("is_reply")).alias("replied_posts"),
@@ -104,7 +107,8 @@ def derive_stats(
         F.count_if(F.col("output") == "follows").alias("_follows"),
         F.max_by("profile", F.when(F.col("profile").isNotNull(), F.col("uri"))).alias("_profile"),
     )
-    pairs = cohort_followees(follow_edges(records), members)
+    edges = rows.filter(F.col("output") == "follows").select("did", "followed_did")
+    pairs = written(cohort_followees(edges, members), "cohort-pairs")
     outgoing = pairs.groupBy("did").agg(F.count("*").alias("cohort_followees"))
     incoming = cohort_followers(pairs, members, bundles).groupBy("did").agg(F.count("*").alias("cohort_followers"))
     found = bundles.filter(F.col("error").isNull()).select("did", F.lit(True).alias("_seen")).distinct()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starling.functions import text as X
 from starling.functions.scalars import hash_text
+from starling.session import written
 from starling.sources.tables import path_exists
 
 
@@ -71,11 +72,12 @@ def idf(n_docs: Column, df: Column) -> Column:
 def tfidf_raw(docs: DataFrame) -> DataFrame:
     """(doc_id, token, weight) before normalisation, plus the vocabulary size `v`.
 
-    A token in most texts makes a hot join key on the counts' side only; the other side has
-    one row per token, so AQE can split the hot partition.
+    The texts are cut into tokens once; counts and document frequencies are written, so that the
+    join reads two tables. A token in most texts is a hot key on the counts' side only, whose
+    partition AQE splits; the other side has one row per token.
     """
-    counts = term_counts(docs)
-    frequency = counts.groupBy("token").agg(F.count("*").alias("df"))
+    counts = written(term_counts(docs), "term-counts")
+    frequency = written(counts.groupBy("token").agg(F.count("*").alias("df")), "term-frequency")
     n_docs = docs.agg(F.count("*")).scalar()
     vocabulary = frequency.agg(F.count("*")).scalar()
     return counts.join(frequency, "token").select(

@@ -52,6 +52,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/starling/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as Parquet to the shared folder and go on from the table.
+
+    For results that several steps read, and for join sides: a scan lets AQE split the
+    partition of a hot key, which it cannot below an aggregate.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` to the reliable checkpoint folder and continue from there.
 
