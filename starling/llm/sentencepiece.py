@@ -77,22 +77,14 @@ def piece_table(spark: SparkSession, model: str) -> tuple[DataFrame, list[bytes
 
 def best_paths(units: DataFrame, pieces: DataFrame, longest: int, byte_zero: int, worst: float) -> DataFrame:
     """(unit, ids) of distinct `units` (unit); every step stays in the partition of the unit."""
-    size = F.char_length("unit")
-    spans = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), size - 1),
-            lambda start: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), size - start)),
-                lambda n: F.struct(
-                    start.alias("start"), (start + n).alias("end"), F.substring(F.col("unit"), start + 1, n).alias("piece")
-                ),
-            ),
-        )
+    size, start, end = F.char_length("unit"), F.col("start"), F.col("end")
+    spans = (
+        units.select("unit", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+        .select("unit", "start", F.explode(F.sequence(start + 1, F.least(size, start + longest))).alias("end"))
+        .withColumn("piece", F.substring(F.col("unit"), start + 1, end - start))
     )
-    edges = (
-        units.select("unit", F.inline(spans))
-        .join(F.broadcast(pieces), "piece", "left")
-        .filter(F.col("id").isNotNull() | (F.col("end") == F.col("start") + 1))
+    edges = spans.join(F.broadcast(pieces), "piece", "left").filter(
+        F.col("id").isNotNull() | (end == start + 1)
     )
     # A character without a piece costs more than any piece, byte by byte.
     cost = F.coalesce("score", F.octet_length("piece") * F.lit(worst - 10.0))
@@ -101,30 +93,29 @@ def best_paths(units: DataFrame, pieces: DataFrame, longest: int, byte_zero: int
             F.collect_list(F.struct("end", "start", cost.alias("score"), F.coalesce("id", F.lit(-1)).alias("id")))
         ).alias("edges")
     )
-    start = F.struct(
-        F.array(F.lit(0.0)).alias("best"),
-        F.array(F.struct(F.lit(0).alias("start"), F.lit(-1).alias("id"))).alias("back"),
-    )
-
-    def step(acc, edge):
-        score = F.element_at(acc["best"], edge["start"] + 1) + edge["score"]
-        back = F.struct(edge["start"].alias("start"), edge["id"].alias("id"))
-        fresh = F.size(acc["best"]) == edge["end"]
-        better = score > F.element_at(acc["best"], -1)
-
-        def put(column, value):
-            rest = F.slice(column, 1, F.size(column) - 1)
-            return F.when(fresh, F.concat(column, F.array(value))).when(better, F.concat(rest, F.array(value))).otherwise(column)
-
-        return F.struct(put(acc["best"], score).alias("best"), put(acc["back"], back).alias("back"))
+    # The best way to every place: its score, where its last edge starts, and that edge's id.
+    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(-1).alias("id")))
+
+    def step(best, edge):
+        way = F.struct(
+            (F.element_at(best, edge["start"] + 1)["score"] + edge["score"]).alias("score"),
+            edge["start"].alias("start"),
+            edge["id"].alias("id"),
+        )
+        first = F.size(best) == edge["end"]
+        better = way["score"] > F.element_at(best, -1)["score"]
+        rest = F.slice(best, F.lit(1), F.size(best) - 1)
+        return (
+            F.when(first, F.concat(best, F.array(way))).when(better, F.concat(rest, F.array(way))).otherwise(best)
+        )
 
-    folded = grouped.select("unit", F.aggregate("edges", start, step, lambda acc: acc["back"]).alias("back"))
+    folded = grouped.select("unit", F.aggregate("edges", origin, step).alias("back"))
     # Back from the end along the best edges.
     walk = F.aggregate(
         F.reverse(F.sequence(F.lit(1), F.size("back") - 1)),
         F.struct(
             (F.size("back") - 1).alias("at"),
-            F.array().cast("array<struct<start:int,id:int>>").alias("path"),
+            F.array().cast("array<struct<score:double,start:int,id:int>>").alias("path"),
         ),
         lambda acc, place: F.when(
             acc["at"] == place,
