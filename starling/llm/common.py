@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.ranking import top_n
 from starling.session import shared_dir
+from starling.sources.tables import remove_path
 
 #: The white space between words (space and the six ASCII controls from tab to carriage return).
 SPACES = r"[\x20\x09-\x0D]+"
@@ -30,6 +31,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the table behind `df`, made by `saved`, once nothing reads it any more."""
+    files = df.inputFiles()
+    if files:
+        remove_path(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def with_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` with a broadcast hint if it has at most `rows` rows; counted, not guessed.
 

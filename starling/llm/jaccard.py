@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.keep import keep_first
 from starling.functions.ranking import top_n
-from starling.llm.common import saved, with_broadcast
+from starling.llm.common import discard, saved, with_broadcast
 from starling.llm.components import components
 from starling.llm.exchange import (
     ASK,
@@ -506,18 +506,21 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
     documents linked to it, copies included.
     """
     threshold = Threshold(num, den)
-    rows = saved(profiles(docs, n, threshold), "jaccard-profiles")
-    filled = rows.filter("n_shingles > 0")
-    classes = saved(
-        filled.groupBy("n_shingles", "sig_a", "sig_b").agg(
+    profiled = saved(profiles(docs, n, threshold), "jaccard-profiles")
+    rows = saved(profiled.drop("anchors"), "jaccard-rows")
+    anchored = saved(
+        profiled.filter("n_shingles > 0").groupBy("n_shingles", "sig_a", "sig_b").agg(
             F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.any_value("anchors").alias("anchors")
         ),
-        "jaccard-classes",
+        "jaccard-anchored",
     )
+    classes = saved(anchored.drop("anchors"), "jaccard-classes")
     named = classes.filter("rep IS NOT NULL")
-    placed = pivot_regions(named).select(F.xxhash64("pivot").alias("region"), "rep").distinct()
+    placed = pivot_regions(anchored.filter("rep IS NOT NULL")).select(F.xxhash64("pivot").alias("region"), "rep").distinct()
     sizes = named.groupBy("rep").agg(F.max("copies").alias("copies"), F.max("n_shingles").alias("weight"))
     members = saved(placed.join(sizes, "rep"), "jaccard-members")
+    discard(profiled)
+    discard(anchored)
     wanted = with_broadcast(saved(members.select(F.col("rep").alias("_rep")).distinct(), "jaccard-wanted"))
     near = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_rep"), "left_semi")
     sets = saved(_sets(near, n), "jaccard-sets")
