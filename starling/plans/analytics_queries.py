@@ -968,7 +968,20 @@ def registry(spark, sf):
 # -- flush windows and streaming -----------------------------------------------------------------
 
 
-@query("ST9_event_time_micro_windows")
+_SIX_HOURS = 6 * 3600 * 1_000_000
+
+
+@query(
+    "ST9_event_time_micro_windows",
+    duck(
+        "SELECT batch_index, window_start, count(*) AS n_rows, min(time_us) AS first_us, max(time_us) AS last_us "
+        "FROM ev ASOF JOIN (SELECT t AS window_start, row_number() OVER (ORDER BY t) - 1 AS batch_index FROM starts) w ON ev.time_us >= w.window_start GROUP BY 1, 2",
+        "stored",
+        ev="SELECT time_us FROM v_stored",
+        starts="SELECT min(time_us) AS t FROM ev UNION ALL SELECT min(ev.time_us) FROM starts JOIN ev "
+        f"ON ev.time_us >= starts.t + {_SIX_HOURS} HAVING min(ev.time_us) IS NOT NULL",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def micro_windows(spark, sf):
     """Events per chained six-hour window; each opens at the first event after the last."""
     events = parsed(spark, sf).filter(F.col("record_type").isNotNull()).select("time_us", "record_type")
