@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from starling.llm.common import saved
 from starling.llm.decontaminate import clean_documents
 from starling.llm.jaccard import one_per_group
-from starling.llm.quality import apply_rules
+from starling.llm.quality import kept_documents
 from starling.llm.sentencepiece import decode, encode
 from starling.llm.substring import dedup_substrings
 
@@ -33,7 +33,7 @@ def piece_model() -> str:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return apply_rules(docs).filter("kept").select(*COLUMNS)
+    return kept_documents(docs.select(*COLUMNS))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starling.functions.plan import settle
 from starling.llm.common import SPACES, names, replace_columns, shifted
 from starling.llm.registry import query
 
@@ -166,6 +167,18 @@ def apply_rules(
     return replace_columns(judged, {"kept": ~F.col("base_failed") & (F.size("failed_rules") == 0)})
 
 
+def kept_documents(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
+    """The rows of `docs` that the rules keep, as they came.
+
+    The verdict is settled in a row of its own: a filter on it would otherwise be pushed below the
+    projections, and every signal computed again for each of its uses.
+    """
+    verdict = "__qverdict"
+    judged = apply_rules(docs.withColumns({f"__q{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}), rules, text=text)
+    own = [F.col(f"__q{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return settle(judged, {verdict: F.col("kept")}, own).filter(verdict).drop(verdict)
+
+
 OP7_SQL = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text,
