@@ -34,8 +34,8 @@ from starling.llm.registry import query
 
 UNIT = r"\x20{0,64}[^\x20]{1,1024}|\x20{1,64}"
 #: UTF-8 bytes of a bundle, distinct units of a slice.
-BUNDLE_BYTES = 16 << 20
-SLICE_UNITS = 400_000
+BUNDLE_BYTES = 8 << 20
+SLICE_UNITS = 100_000
 LATTICE_UNITS = 60_000
 MARK = "▁"
 
@@ -177,7 +177,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def ask(table: pa.Table) -> pa.Table:
         found: set[str] = set()
-        for text in table.column("text").to_pylist():
+        for text in unpacked(table).column("text").to_pylist():
             found.update(_units(text, split))
         parts: list[list[bytes]] = [[] for _ in range(slices)]
         for unit in sorted(u.encode() for u in found):
@@ -226,7 +226,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         )
 
     def apply(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = ordered(texts)
+        texts = ordered(unpacked(texts))
         place: dict[str, int] = {}
         flats, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for units, ids in zip(answers.column("units").to_pylist(), answers.column("ids").to_pylist(), strict=True):
@@ -256,6 +256,30 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
             }
         )
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a batch by bundle, compressed, so that the shuffle moves less than the texts."""
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            own = batch.select(["doc_id", "text"])
+            order = np.argsort(numbers, kind="stable")
+            cuts = np.flatnonzero(np.diff(numbers[order])) + 1
+            found, blobs = [], []
+            for part in np.split(order, cuts) if len(order) else []:
+                sink = pa.BufferOutputStream()
+                options = pa.ipc.IpcWriteOptions(compression="zstd")
+                with pa.ipc.new_stream(sink, own.schema, options=options) as writer:
+                    writer.write_batch(own.take(pa.array(part)))
+                found.append(int(numbers[part[0]]))
+                blobs.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["bundle", "texts"]
+            )
+
+    def unpacked(table: pa.Table) -> pa.Table:
+        parts = [pa.ipc.open_stream(blob.as_buffer()).read_all() for blob in table.column("texts").combine_chunks()]
+        return pa.concat_tables(parts)
+
+    rows = rows.mapInArrow(pack, "bundle int, texts binary")
     asked = rows.groupBy("bundle").applyInArrow(ask, "slice int, bundle int, units binary")
     units = asked.groupBy("slice").applyInArrow(distinct, "slice int, unit string")
     spread = units.repartition(layout.parts, "unit")
