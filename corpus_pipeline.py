@@ -57,7 +57,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def sentencepiece_codes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_ids, ids, round_trip): the piece ids of every document."""
     model = piece_model()
-    coded = decode(encode(docs.select("doc_id", "text"), model), model)
+    # Written in between, so that a task runs one Python worker at a time.
+    coded = decode(saved(encode(docs.select("doc_id", "text"), model), "encoded"), model)
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),

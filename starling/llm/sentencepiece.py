@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm.common import text_bytes
+from starling.llm.common import saved, text_bytes
 from starling.llm.registry import query
 
 UNIT = r"\x20{0,64}[^\x20]{1,1024}|\x20{1,64}"
@@ -322,7 +322,8 @@ def op3_sentencepiece(spark, sf_dir):
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return decode(encode(docs, model), model).select(
+    # Written in between, so that a task runs one Python worker at a time.
+    return decode(saved(encode(docs, model), "encoded"), model).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),
         "ids",
