@@ -1,19 +1,20 @@
 """SentencePiece encoding and decoding on a relational lattice.
 
-A text (with the leading space the model asks for) is cut before its runs of spaces into units;
-no piece reaches over such a cut, so the best path of a text is the best paths of its units.
+A text (with the leading space the model asks for) is cut before its runs of spaces into units, and
+units of over LONG characters between neighbours that stand together inside no piece of the table;
+no piece reaches over such cuts, so the best path of a text is the best paths of its units.
 Distinct units are exploded into substrings no longer than the longest piece and
 joined with the piece table; the edges of a unit are grouped, sorted by their ends, and a Viterbi
 fold keeps the best score and edge for every place. A character without a piece is spelled in
-UTF-8 bytes. The unit's ids then go back to the bundles of documents that asked.
+UTF-8 bytes. What is still longer than LONG (one letter or spaces over and over) is folded place by
+place where its slice answers. The unit's ids then go back to the bundles of documents that asked.
 
 Piece scores: the model file holds merge ranks; a piece of rank r gets -log(r + 1), so a path of few
 frequent pieces wins. (The ranks themselves, summed, would prefer many short pieces.) Paths are the
 best of this lattice, not the merges of the library; decoding gives the text back exactly.
 
 Defined results: null and empty texts have no ids and decode to an empty text. Ties go to the longer
-last piece. Runs of over 1024 characters without a space, and over 64 spaces, are cut there
-into units of their own. Rows that repeat are encoded row by row. Ids that are no pieces decode to nothing.
+last piece. Rows that repeat are encoded row by row. Ids that are no pieces decode to nothing.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,9 @@ from pyspark.sql import functions as F
 from starling.llm.common import saved, text_bytes
 from starling.llm.registry import query
 
-UNIT = r"\x20{0,64}[^\x20]{1,1024}|\x20{1,64}"
+UNIT = r"\x20+[^\x20]*|[^\x20]+"
+#: Characters of a unit that the relational lattice takes; its rows carry their unit.
+LONG = 1024
 #: UTF-8 bytes of a bundle, distinct units of a slice.
 BUNDLE_BYTES = 8 << 20
 SLICE_UNITS = 100_000
@@ -155,15 +159,64 @@ def _slice_of(unit: bytes, slices: int) -> int:
     return zlib.crc32(unit) % slices
 
 
-def _units(text: str | None, split) -> list[str]:
-    return split(" " + text) if text else []
+def _apart(unit: str, joined: frozenset[str]) -> list[str]:
+    """`unit` cut between neighbours that no piece holds side by side."""
+    cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in joined]
+    return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True)]
+
+
+def _units(text: str | None, split, joined) -> list[str]:
+    """`joined` is a broadcast of the neighbours inside pieces; read for long units only."""
+    found = split(" " + text) if text else []
+    if not text or len(text) < LONG or max(map(len, found)) <= LONG:
+        return found
+    return [part for unit in found for part in ([unit] if len(unit) <= LONG else _apart(unit, joined.value))]
+
+
+def _fold(unit: str, table: dict[str, tuple[int, float]], longest: int, byte_zero: int, worst: float) -> list[int]:
+    """Ids of the best path of one long unit, as `best_paths` finds them; linear in its length."""
+    scores, starts, ids = array("d", [0.0]), array("q", [0]), array("q", [-1])
+    for end in range(1, len(unit) + 1):
+        top, begin, found = -math.inf, 0, -1
+        for start in range(max(0, end - longest), end):
+            known = table.get(unit[start:end])
+            if known is None:
+                if start < end - 1:
+                    continue
+                known = (-1, len(unit[start].encode()) * (worst - 10.0))
+            score = scores[start] + known[1]
+            if score > top:
+                top, begin, found = score, start, known[0]
+        scores.append(top)
+        starts.append(begin)
+        ids.append(found)
+    out, at = [], len(unit)
+    while at:
+        out += [ids[at]] if ids[at] >= 0 else [byte_zero + b for b in reversed(unit[at - 1].encode())]
+        at = starts[at]
+    return out[::-1]
+
+
+class Places(dict):
+    """Unit -> number; a unit that is not there gets the next number and waits for its ids."""
+
+    waiting: list[bytes]
+
+    def __missing__(self, unit: bytes) -> int:
+        self[unit] = number = len(self)
+        self.waiting.append(unit)
+        return number
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """`doc_id, text` of every row with `ids` (array<int>)."""
     spark = docs.sparkSession
     pieces, _, byte_zero = piece_table(spark, model)
-    longest, worst = pieces.agg(F.max(F.char_length("piece")), F.min("score")).first()
+    # As large as the vocabulary file; for long units only.
+    table = {r["piece"]: (r["id"], r["score"]) for r in pieces.collect()}
+    longest, worst = max(map(len, table)), min(score for _, score in table.values())
+    joined = spark.sparkContext.broadcast(frozenset(p[i : i + 2] for p in table for i in range(len(p) - 1)))
+    scored = spark.sparkContext.broadcast(table)
     layout = Layout(docs)
     rows = docs.select(
         F.pmod(F.xxhash64("doc_id"), F.lit(layout.bundles)).cast("int").alias("bundle"), "doc_id", "text"
@@ -178,7 +231,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def ask(table: pa.Table) -> pa.Table:
         found: set[str] = set()
         for text in unpacked(table).column("text").to_pylist():
-            found.update(_units(text, split))
+            found.update(_units(text, split, joined))
         parts: list[list[bytes]] = [[] for _ in range(slices)]
         for unit in sorted(u.encode() for u in found):
             parts[_slice_of(unit, slices)].append(unit)
@@ -195,16 +248,17 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         found: set[bytes] = set()
         for blob in table.column("units").to_pylist():
             found.update(_unpack_units(blob))
-        known = sorted(found)
+        known = [unit for unit in (u.decode() for u in sorted(found)) if len(unit) <= LONG]
         return pa.table(
             {
                 "slice": pa.array([table.column("slice")[0].as_py()] * len(known), pa.int32()),
-                "unit": pa.array([u.decode() for u in known], pa.string()),
+                "unit": pa.array(known, pa.string()),
             }
         )
 
     def reply(asked: pa.Table, known: pa.Table) -> pa.Table:
-        place = {u.encode(): k for k, u in enumerate(known.column("unit").to_pylist())}
+        place = Places((u.encode(), k) for k, u in enumerate(known.column("unit").to_pylist()))
+        place.waiting = []
         column = known.column("ids").combine_chunks() if known.num_rows else pa.array([], pa.list_(pa.int32()))
         if isinstance(column, pa.ChunkedArray):
             column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int32()))
@@ -213,6 +267,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         blobs = []
         for blob in asked.column("units").to_pylist():
             at = np.fromiter((place[u] for u in _unpack_units(blob)), np.int64)
+            if place.waiting:
+                folded = [_fold(u.decode(), scored.value, longest, byte_zero, worst) for u in place.waiting]
+                place.waiting.clear()
+                edges = np.concatenate([edges, edges[-1] + np.cumsum([len(ids) for ids in folded])])
+                flat = np.concatenate([flat, *[np.array(ids, "<u4") for ids in folded]])
             sizes = edges[at + 1] - edges[at]
             before = np.cumsum(sizes) - sizes
             own = flat[np.arange(sizes.sum()) + np.repeat(edges[at] - before, sizes)]
@@ -240,7 +299,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         flat, edges = np.concatenate(flats), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         find, out, bounds = place.__getitem__, [], [0]
         for text in texts.column("text").to_pylist():
-            own = _units(text, split)
+            own = _units(text, split, joined)
             at = np.fromiter(map(find, own), np.int64, len(own))
             sizes = edges[at + 1] - edges[at]
             before = np.cumsum(sizes) - sizes

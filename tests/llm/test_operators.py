@@ -316,6 +316,27 @@ def test_sentencepiece(spark, corpus, small_bundles):
     assert sentencepiece.encode(frame(spark, []), model).count() == 0
 
 
+def test_sentencepiece_long_runs(spark, small_bundles):
+    """Runs without spaces, and of spaces, of any length have the best path too."""
+    model = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    pieces, _, byte_zero = sentencepiece.piece_table(spark, model)
+    table = {r.piece: (r.id, r.score) for r in pieces.collect()}
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    texts = [
+        "x" * 1022 + "the", "x" * 1023 + "the", " " * 150 + "x" + " " * 70, "a" * 2500, " " * 1500 + "the" + " " * 1100,
+        "\n".join(["the", "station", "😀"] * 200), "日本語 と" + "テキスト" * 400, "a" * 2500 + "日" + "the" * 700,
+        "".join(rng.choice(letters) for _ in range(3000)), "short the " + "=" * 1024 + "and the",
+    ]
+    got = sentencepiece.decode(sentencepiece.encode(frame(spark, list(enumerate(texts))), model), model).collect()
+    worst, score = min(s for _, s in table.values()), {i: s for i, s in table.values()}
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.decoded == r.text
+        best = brute.best_path(r.text, table, byte_zero)[1]
+        assert sum(score.get(i, worst - 10) for i in r.ids) == pytest.approx(best, abs=1e-6), r.doc_id
+
+
 def test_language(spark):
     parts = {"xx": "ab ba bab abba", "yy": "cd dc dcd cddc", "zz": "éf fé éfé"}
     rng = random.Random(1)
