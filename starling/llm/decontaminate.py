@@ -10,7 +10,8 @@ the documents only where such items exist.
 
 Defined results: a null text has no words (no hits, no windows; an item without words occurs
 nowhere). Repeated items or rows change nothing. Rows that share a doc_id count as one document:
-each row gets the hits found in any of them. Words are read from whole texts, A-Z lower-cased.
+each row gets the hits found in any of them. A row without doc_id is a document of its own (equal
+texts have equal hits). Words are read from whole texts, A-Z lower-cased.
 """
 
 from __future__ import annotations
@@ -113,10 +114,17 @@ def _windows(texts: DataFrame, key: str, lengths: list[int], text: str = "text")
     return frame.select(key, F.inline(runs))
 
 
+def _document() -> Column:
+    """What a row counts under: its doc_id, or the hash of its text where it has none."""
+    text = F.when(F.col("doc_id").isNull(), F.sha2(F.col("text").cast("binary"), 256))
+    return F.struct(F.col("doc_id").alias("doc_id"), text.alias("text"))
+
+
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with n_words), (doc_id, at, length) hits, (doc_id, item_id) pairs."""
+    """(documents with n_words), (document, at, length) hits, (document, item_id) pairs."""
+    docs = docs.select(_document().alias("document"), "text")
     items = benchmark.select("item_id", "text", F.size(_words(F.col("text"))).alias("_n"))
     short = [
         r["_n"]
@@ -140,27 +148,27 @@ def benchmark_hits(
     bench_prints = saved(bench_prints.distinct(), "bench-prints")
     bench_windows = saved(bench_windows.select("item_id", "words").distinct(), "bench-windows")
 
-    known = saved(fingerprints(docs, "doc_id", window, gram, short), "doc-prints")
+    known = saved(fingerprints(docs, "document", window, gram, short), "doc-prints")
     found = (
-        known.select("doc_id", F.explode("prints").alias("print"))
+        known.select("document", F.explode("prints").alias("print"))
         .join(with_broadcast(bench_prints), "print")
-        .select("doc_id")
+        .select("document")
         .distinct()
     )
-    found = saved(found, "candidates").select(F.col("doc_id").alias("_id"))
-    chosen = docs.select("doc_id", "text").join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    # Documents are never null; the nulls inside of them are equal.
+    chosen = docs.join(saved(found, "candidates"), "document", "left_semi")
     wanted = with_broadcast(saved(bench_windows.select("words").distinct(), "windows"))
     hits = saved(
-        _windows(chosen, "doc_id", [window, *short]).join(wanted, "words", "left_semi"), "hits"
+        _windows(chosen, "document", [window, *short]).join(wanted, "words", "left_semi"), "hits"
     )
     pairs = (
-        hits.select("doc_id", "words")
+        hits.select("document", "words")
         .distinct()
         .join(with_broadcast(bench_windows), "words")
-        .select("doc_id", "item_id")
+        .select("document", "item_id")
         .distinct()
     )
-    return known.select("doc_id", "n_words"), hits.select("doc_id", "at", "length").distinct(), pairs
+    return known.select("document", "n_words"), hits.select("document", "at", "length").distinct(), pairs
 
 
 def decontaminate(
@@ -169,7 +177,7 @@ def decontaminate(
     """(doc_id, n_words, n_hit, n_items, item_ids, contaminated) per row of `docs`."""
     rows, hits, pairs = benchmark_hits(docs, benchmark, window, gram)
     # Overlapping runs of one document, joined end to end; never more than its words.
-    spans = hits.groupBy("doc_id").agg(
+    spans = hits.groupBy("document").agg(
         F.sort_array(F.collect_list(F.struct("at", "length"))).alias("_spans")
     )
     covered = F.aggregate(
@@ -184,15 +192,13 @@ def decontaminate(
         ),
         lambda acc: acc["n"],
     )
-    items = pairs.groupBy("doc_id").agg(
+    items = pairs.groupBy("document").agg(
         F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("item_ids")
     )
-    marked = spans.select(F.col("doc_id").alias("_id"), covered.alias("n_hit")).join(
-        items.withColumnRenamed("doc_id", "_item_id"), F.col("_id").eqNullSafe(F.col("_item_id")), "left"
-    )
+    marked = spans.select("document", covered.alias("n_hit")).join(items, "document", "left")
     none = F.array().cast("array<string>")
-    return rows.join(marked, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
-        "doc_id",
+    return rows.join(marked, "document", "left").select(
+        "document.doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce(F.size(F.when(F.col("item_ids").isNotNull(), F.col("item_ids"))), F.lit(0)).cast("bigint").alias("n_items"),
@@ -204,8 +210,8 @@ def decontaminate(
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` without any word of a benchmark window."""
     _, hits, _ = benchmark_hits(docs.select("doc_id", "text"), benchmark)
-    dirty = hits.select(F.col("doc_id").alias("__dirty")).distinct()
-    return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col("__dirty")), "left_anti")
+    dirty = hits.select(F.col("document").alias("__dirty")).distinct()
+    return docs.join(dirty, _document() == F.col("__dirty"), "left_anti")
 
 
 OP6_SQL = r"""

@@ -156,6 +156,22 @@ def test_decontamination(spark, corpus):
     assert decontaminate.decontaminate(frame(spark, []), bench).count() == 0
 
 
+def test_decontamination_without_doc_id(spark):
+    """Rows without doc_id are judged one by one, rows that share one together."""
+    words = VOCABULARY[:40]
+    bench = spark.createDataFrame([(1, " ".join(words[:12])), (2, " ".join(words[20:30]))], "item_id long, text string")
+    dirty, clean = "so " + " ".join(words[:12]), " ".join(words[5:12])
+    both = " ".join(words[18:32]) + " and " + dirty
+    rows = [(None, t) for t in (dirty, clean, both, None, "", dirty)] + [(7, dirty), (7, clean), (8, clean)]
+    got = decontaminate.decontaminate(frame(spark, rows), bench).collect()
+    found = sorted((str(r.doc_id), r.n_words, r.n_hit, r.item_ids) for r in got)
+    want = brute.decontaminate(rows, [(r.item_id, r.text) for r in bench.collect()], 10)
+    want[7] = (7, 12, ["1"])  # it shares its doc_id with the row before
+    assert found == sorted((str(d), *w) for (d, _), w in zip(rows, want, strict=True))
+    kept = decontaminate.clean_documents(frame(spark, rows), bench).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in kept) == [("8", clean), ("None", ""), ("None", ""), ("None", clean)]
+
+
 def test_quality(spark, corpus):
     rows = [*corpus, (700, "a b c a b c x a b c"), (701, "l\nl\nm\nl\n \nm"), (702, "### *** word"), (702, None)]
     got = quality.apply_rules(frame(spark, rows)).collect()
