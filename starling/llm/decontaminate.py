@@ -27,10 +27,8 @@ WINDOW = 10
 GRAM = 4
 
 
-def _words(text: Column, lowered: bool = True) -> Column:
-    text = F.coalesce(text, F.lit(""))
-    text = lower_ascii(text) if lowered else F.lower(text)
-    return F.array_remove(F.split(text, SEPARATORS), "")
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
 def _slide(array: Column, by: int, fold) -> Column:
@@ -71,11 +69,8 @@ def _minima(frame: DataFrame, column: str, n: int) -> DataFrame:
 def fingerprints(
     texts: DataFrame, key: str, window: int, gram: int, short: list[int], text: str = "text"
 ) -> DataFrame:
-    """(key, n_words, prints): the winnowed hashes, and all n-gram hashes for the short lengths.
-
-    Lower-casing here may merge more letters than A-Z; that can only add candidates.
-    """
-    frame = texts.select(F.col(key), _words(F.col(text), lowered=False).alias("_words"))
+    """(key, n_words, prints): the winnowed hashes, and all n-gram hashes for the short lengths."""
+    frame = texts.select(F.col(key), _words(F.col(text)).alias("_words"))
     frame = frame.select(
         key,
         F.size("_words").cast("bigint").alias("n_words"),
@@ -138,7 +133,7 @@ def benchmark_hits(
     bench_windows = _windows(long_items, "item_id", [window])
     for n in short:
         own = items.filter(F.col("_n") == n)
-        hashed = own.select(F.transform(_words(F.col("text"), lowered=False), lambda w: F.xxhash64(w)).alias("_h"))
+        hashed = own.select(F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("_h"))
         bench_prints = bench_prints.unionByName(
             _grams(hashed, "_h", n, "_g").select(
                 F.explode(_of_length("_g", n)).alias("print")

@@ -172,6 +172,17 @@ def test_decontamination_without_doc_id(spark):
     assert sorted((str(r.doc_id), r.text or "") for r in kept) == [("8", clean), ("None", ""), ("None", ""), ("None", clean)]
 
 
+def test_decontamination_of_capital_greek(spark):
+    """What stands behind a capital sigma changes no word."""
+    words = [f"ΛΟΓΟΣ{c}ΑΣ" for c in "ΑΒΓΔΕΖΗΘΙΚ"]
+    items, rows = [(1, ". ".join(words))], [(1, ".".join(words)), (2, ":".join(words)), (3, ". ".join(words[:9]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.decontaminate(frame(spark, rows), bench).collect()
+    found = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in got}
+    assert found == {d: w for (d, _), w in zip(rows, brute.decontaminate(rows, items, 10), strict=True)}
+    assert found[1] == (10, 10, ["1"])
+
+
 def test_quality(spark, corpus):
     rows = [*corpus, (700, "a b c a b c x a b c"), (701, "l\nl\nm\nl\n \nm"), (702, "### *** word"), (702, None)]
     got = quality.apply_rules(frame(spark, rows)).collect()
