@@ -42,8 +42,8 @@ from starling.llm.words import LOWER, NOT_SPACE, U64, gram_hashes, hash_spans, p
 ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2
-#: Hash bits beyond the logarithm of the number of words: a key is shared with odds of 2^-24.
-SPARE_BITS = 24
+#: Hash bits of a key, at every size of the input.
+BITS = 64
 
 
 def _words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -57,13 +57,13 @@ def _words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(words), np.concatenate(bounds)
 
 
-def _grams(words: np.ndarray, bounds: np.ndarray, order: int, bits: int):
+def _grams(words: np.ndarray, bounds: np.ndarray, order: int):
     """(per n the places where an n-gram starts, all keys one order after the other)."""
     places, keys = [], []
     for n in range(1, order + 1):
         place = np.flatnonzero(run_starts(bounds, n))
         places.append(place)
-        keys.append(gram_hashes(words, n)[place] >> U64(64 - bits) if len(place) else np.zeros(0, U64))
+        keys.append(gram_hashes(words, n)[place] if len(place) else np.zeros(0, U64))
     return places, np.concatenate(keys)
 
 
@@ -88,20 +88,19 @@ def lm_scores(
 ) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score, perplexity) of every row."""
     layout = Layout.of(docs)
-    bits = min(64, layout.words.bit_length() + SPARE_BITS)
     slices = layout.slices(layout.words // 2 * order)
     rows = bundled(docs.select("doc_id", "text"), layout)
     kind = dict(docs.dtypes)["doc_id"]
 
     def ask(table: pa.Table) -> pa.Table:
         words, bounds = _words(ordered(table))
-        keys, counts = np.unique(_grams(words, bounds, order, bits)[1], return_counts=True)
-        return ask_table(ask_rows(table.column("bundle")[0].as_py(), keys, counts, slices, bits))
+        keys, counts = np.unique(_grams(words, bounds, order)[1], return_counts=True)
+        return ask_table(ask_rows(table.column("bundle")[0].as_py(), keys, counts, slices, BITS))
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         texts = ordered(texts)
         words, bounds = _words(texts)
-        places, keys = _grams(words, bounds, order, bits)
+        places, keys = _grams(words, bounds, order)
         _, back = np.unique(keys, return_inverse=True)
         known = [unpack_counts(reply) for _, _, reply in replies_of(answers)]
         totals = np.concatenate([*known, np.zeros(0, U64)]).astype(float)[back]

@@ -21,6 +21,7 @@ from starling.llm import (
     substring,
     token_files,
     toxicity,
+    words,
 )
 from starling.llm.components import components
 from tests.llm import brute
@@ -263,6 +264,21 @@ def test_lm_scores(spark, corpus, small_bundles):
     assert lm_score.lm_scores(frame(spark, [])).count() == 0
 
 
+def test_lm_keys_are_whole_hashes(spark):
+    """Two words whose hashes share their upper 35 bits are counted apart."""
+    data = np.char.add("w", np.arange(1 << 20).astype(str)).astype("S8")
+    body = np.frombuffer(b" ".join(data.tolist()), np.uint8)
+    sizes = np.char.str_len(data)
+    ends = np.cumsum(sizes + 1) - 1
+    keys = words.gram_hashes(words.hash_spans(body, ends - sizes, ends), 1)
+    order = np.argsort(keys)
+    near = np.flatnonzero(np.diff(keys[order] >> np.uint64(29)) == 0)
+    assert len(near)
+    a, b = (data[order[near[0] + k]].decode() for k in (0, 1))
+    got = lm_score.lm_scores(frame(spark, [(1, a), (2, b)])).collect()
+    assert all(r.log_score == pytest.approx(np.log(0.5)) for r in got) and len(got) == 2
+
+
 def test_token_files(spark, corpus, tmp_path, monkeypatch):
     tokenizers = pytest.importorskip("tokenizers")
     public = pytest.importorskip("public_tokenizers")
