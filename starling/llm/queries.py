@@ -5,6 +5,8 @@ from starling.llm import (  # noqa: F401
     jaccard,
     language,
     lm_score,
+    mixing,
+    phrases,
     quality,
     sentencepiece,
     sharding,
