@@ -1,6 +1,7 @@
 """Importing this module registers the query of every operator."""
 
 from starling.llm import (  # noqa: F401
+    alignment,
     decontaminate,
     jaccard,
     language,
