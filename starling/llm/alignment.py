@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from starling.llm.common import saved, with_broadcast
 from starling.llm.registry import query
-from starling.llm.token_files import byte_letters
+from starling.llm.token_files import Encoder, byte_letters
 
 #: Bytes of a range, fragments joined at once, UTF-8 bytes a task encodes at once.
 CHUNK_BYTES = 32 << 10
@@ -83,16 +83,26 @@ class Tokens:
         return Tokens(np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+class PlainEncoder(Encoder):
+    """Remembers the ids of chunks between white space; special tokens in a text are ordinary text."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__(path)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+
+
 class Pair:
     """Both tokenizers, the bytes of their tokens, and where their input may be cut."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        self.encoder = PlainEncoder(a_path)
+        self.a = self.encoder.tokenizer
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         letters = {c: b for b, c in byte_letters().items()}
         size = self.a.get_vocab_size(with_added_tokens=True)
@@ -119,7 +129,7 @@ class Pair:
         return len(text)
 
     def a_encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        return [ids.tolist() for ids in self.encoder.encode(texts)]
 
     def b_encode(self, texts: list[str]) -> list[list[int]]:
         """Tokens of texts that begin with a space, which B adds itself, or with a character that no
@@ -156,21 +166,20 @@ def ranges(both: Pair, text: str, size: int) -> list[tuple[int, str, int, str]]:
 # Groups, links and digests of many closed stretches at once.
 
 
+@functools.cache
+def _digits(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(digits left-aligned in rows with a free place behind, number of digits) of 0 to size - 1."""
+    lengths = np.array([len(str(i)) for i in range(size)], np.int64)
+    rows = np.array([str(i) for i in range(size)], f"S{lengths[-1] + 1}")
+    return rows.view(np.uint8).reshape(size, -1), lengths
+
+
 def _decimals(ids: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, ends): every id in decimal, followed by its mark."""
-    digits = 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 7))
-    ends = np.cumsum(digits + 1)
-    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    out[ends - 1] = marks
-    rest = ids.copy()
-    place, k = ends - 2, 0
-    while len(place):
-        out[place] = 48 + rest % 10
-        rest //= 10
-        k += 1
-        more = digits > k
-        rest, place, digits = rest[more], place[more] - 1, digits[more]
-    return out, ends
+    table, lengths = _digits(1 << int(ids.max()).bit_length())
+    rows, sizes = table[ids], lengths[ids]
+    rows[np.arange(len(ids)), sizes] = marks
+    return rows[np.arange(rows.shape[1]) <= sizes[:, None]], np.cumsum(sizes + 1)
 
 
 def closed(a: Tokens, b: Tokens) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -180,20 +189,24 @@ def closed(a: Tokens, b: Tokens) -> tuple[bytes, np.ndarray, np.ndarray, np.ndar
     """
     if not len(a):
         return b"", np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((3, 0), np.int64)
-    borders = a.ends[_in(a.ends, b.ends)]
-    sides = []
-    for side, last in ((a, ord("|")), (b, ord(";"))):
-        group = np.searchsorted(borders, side.ends)
-        marks = np.full(len(side), ord(","), np.uint8)
-        marks[np.append(group[1:] != group[:-1], True)] = last
-        sides.append((group, marks))
-    group = np.concatenate([sides[0][0] * 2, sides[1][0] * 2 + 1])
-    order = np.argsort(group, kind="stable")
-    text, ends = _decimals(np.concatenate([a.ids, b.ids])[order], np.concatenate([sides[0][1], sides[1][1]])[order])
-    last = np.flatnonzero(text[ends - 1] == ord(";"))
-    cuts = np.union1d(a.ends, b.ends)
-    links = np.stack([cuts, a.ids[np.searchsorted(a.ends, cuts)], b.ids[np.searchsorted(b.ends, cuts)]])
-    return text.tobytes(), ends[last], borders, links
+    # Both lists of ends merged; an end that both have stands there twice and is a border.
+    ends = np.concatenate([a.ends, b.ends])
+    order = np.argsort(ends, kind="stable")
+    merged = ends[order]
+    again = np.append(False, merged[1:] == merged[:-1])
+    border = np.append(again[1:], False)
+    group = np.empty(len(ends), np.int64)
+    group[order] = np.cumsum(border) - (border | again)
+    side = np.repeat([0, 1], [len(a), len(b)])
+    last = np.zeros(len(ends), bool)
+    last[order] = border | again
+    marks = np.where(last, np.where(side == 0, ord("|"), ord(";")), ord(",")).astype(np.uint8)
+    placed = np.argsort(group * 2 + side, kind="stable")
+    text, text_ends = _decimals(np.concatenate([a.ids, b.ids])[placed], marks[placed])
+    first = np.flatnonzero(~again)
+    before = np.cumsum(side[order] == 0) - (side[order] == 0)
+    links = np.stack([merged[first], a.ids[before[first]], b.ids[first - before[first]]])
+    return text.tobytes(), text_ends[(last & (side == 1))[placed]], merged[border], links
 
 
 def _in(x: np.ndarray, sorted_y: np.ndarray) -> np.ndarray:
@@ -203,6 +216,8 @@ def _in(x: np.ndarray, sorted_y: np.ndarray) -> np.ndarray:
 
 
 def counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    if times is None:
+        return np.unique(codes, return_counts=True)
     kinds, place = np.unique(codes, return_inverse=True)
     return kinds, np.bincount(place, times, len(kinds)).astype(np.int64)
 
