@@ -1,8 +1,8 @@
 """Phrase collocations from a weighted de Bruijn graph of the corpus.
 
-The longest n-grams are the edges of the graph, the (n-1)-grams its nodes. One aggregation counts
-the edges and, at the end of every piece, the shorter suffixes that no longer n-gram starts with. All
-shorter counts follow from the flow: a node occurs as often as the edges leaving it, plus the pieces
+The longest n-grams are the edges of the graph, the (n-1)-grams its nodes. Tasks count the edges of
+their texts and, at the end of every piece, the shorter suffixes that no longer n-gram starts with; one
+exchange by node adds them up. All shorter counts follow from the flow: a node occurs as often as the edges leaving it, plus the pieces
 that end in it; and so on down to words. No shorter n-gram is counted in the texts.
 
 Where a node has one edge in and one out and no piece starts or ends in it, both edges occur
@@ -18,17 +18,25 @@ the shuffle, and one row after it. A phrase is its words joined by one space.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.ranking import top_n
-from starling.llm.common import discard, lower_ascii, saved
+from starling.llm.common import discard, saved
 from starling.llm.registry import query
+from starling.llm.words import LOWER, byte_table, pieces, spans
 
-PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
-BLANKS = " \t"
+#: Bytes that end a piece, and those of words.
+BREAK = byte_table(b".,;:!?\n\x0b\x0c\r")
+WORD = byte_table(b" \t.,;:!?\n\x0b\x0c\r", inverse=True)
+#: Distinct grams that a task counts before it hands them on.
+TASK_GRAMS = 6_000_000
 LANG, GRAM = "lang", "gram"
 
 
@@ -40,27 +48,129 @@ def _last(gram: str, words: int) -> Column:
     return F.substring_index(gram, " ", -words)
 
 
+class _Tally:
+    """Counts of one language's longest n-grams and piece ends, for one task.
+
+    A word has a number from 1 on; a gram is its numbers side by side in one 64-bit key, 0 past its end.
+    """
+
+    def __init__(self, longest: int):
+        self.longest, self.bits = longest, 62 // longest
+        self.numbers: dict[bytes, int] = {}
+        self.keys, self.counts = [], []
+
+    def full(self) -> bool:
+        return len(self.numbers) > (1 << self.bits) * 3 // 4 or sum(map(len, self.keys)) > TASK_GRAMS
+
+    def add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, follows: np.ndarray) -> Iterator[None]:
+        """Words given by their bytes; `follows` says which words stand in the piece of the word before.
+
+        Goes on in stretches that bring few new words; the caller empties the tally between them.
+        """
+        step = (1 << self.bits) // 8
+        tail = self.longest - 1
+        for at in range(0, len(starts), step):
+            end = min(at + step + tail, len(starts))
+            a, b = starts[at:end], ends[at:end]
+            sizes = b - a
+            edges = np.concatenate([[0], np.cumsum(sizes)])
+            body = data[np.arange(edges[-1]) + np.repeat(a - edges[:-1], sizes)]
+            buffers = [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(body)]
+            kinds = pa.Array.from_buffers(pa.binary(), len(a), buffers).dictionary_encode()
+            numbers = self.numbers
+            own = np.array([numbers.setdefault(w, len(numbers) + 1) for w in kinds.dictionary.to_pylist()], np.int64)
+            codes = np.concatenate([own[kinds.indices.to_numpy()], np.zeros(tail, np.int64)])
+            inside = np.concatenate([follows[at:end], np.zeros(tail, bool)])
+            own_places = min(step, len(starts) - at)
+            key, open_ = codes[:own_places].copy(), np.ones(own_places, bool)
+            for k in range(1, self.longest):
+                open_ &= inside[k : k + own_places]
+                key = key << self.bits | np.where(open_, codes[k : k + own_places], 0)
+            kinds, times = np.unique(key, return_counts=True)
+            self.keys.append(kinds)
+            self.counts.append(times)
+            if len(self.keys) > 8:
+                self._merge()
+            yield
+
+    def _merge(self) -> None:
+        keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
+        self.keys, self.counts = [keys], [np.bincount(place, np.concatenate(self.counts)).astype(np.int64)]
+
+    def rows(self, lang: str) -> Iterator[pa.RecordBatch]:
+        """(lang, node, next, words, f) of everything counted, which is then forgotten."""
+        if not self.keys:
+            return
+        self._merge()
+        names = pa.array([None, *self.numbers], pa.binary()).cast(pa.string())
+        keys, counts = self.keys[0], self.counts[0]
+        self.numbers, self.keys, self.counts = {}, [], []
+        for at in range(0, len(keys), 100_000):
+            key, mask = keys[at : at + 100_000], (1 << self.bits) - 1
+            codes = [key >> self.bits * (self.longest - 1 - k) & mask for k in range(self.longest)]
+            parts = [names.take(pa.array(c)) for c in codes]
+            node = pc.binary_join_element_wise(*parts[:-1], " ", null_handling="skip") if len(parts) > 2 else parts[0]
+            words = sum((c > 0).astype(np.int32) for c in codes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(key)), node, parts[-1], pa.array(words), pa.array(counts[at : at + 100_000])],
+                ["lang", "node", "next", "words", "f"],
+            )
+
+
 def longest_grams(docs: DataFrame, longest: int = 3, text: str = "text") -> DataFrame:
-    """(lang, gram, words, f): every `longest`-gram, and of every piece the shorter suffixes."""
-    pieces = docs.select(
-        F.coalesce(F.col(LANG).cast("string"), F.lit("und")).alias(LANG),
-        F.explode(F.split(lower_ascii(F.col(f"`{text}`")), PIECE_ENDS)).alias("piece"),
-    )
-    pieces = pieces.select(LANG, F.btrim("piece", F.lit(BLANKS)).alias("piece")).filter("piece <> ''")
-    words = pieces.select(LANG, F.split("piece", "[ \t]+").alias("w"))
-    # Side by side the words and the words that follow; past the end there is null, which ends the gram.
-    columns = [F.slice("w", F.lit(k + 1), F.greatest(F.size("w") - k, F.lit(0))).alias(f"w{k}") for k in range(longest)]
-    places = words.select(LANG, F.inline(F.arrays_zip(*columns)).alias(*[f"w{k}" for k in range(longest)]))
-    count = reduce(lambda a, b: a + b, [F.col(f"w{k}").isNotNull().cast("int") for k in range(longest)])
-    grams = places.select(LANG, F.concat_ws(" ", *[f"w{k}" for k in range(longest)]).alias(GRAM), count.alias("words"))
-    return grams.groupBy(LANG, GRAM, "words").agg(F.count("*").alias("f"))
-
-
-def gram_counts(grams: DataFrame, longest: int = 3) -> dict[int, DataFrame]:
-    """Tables (lang, gram, f) by number of words, each from the flow of the longer one."""
-    counts = {longest: grams.filter(F.col("words") == longest).drop("words")}
-    for words in range(longest - 1, 0, -1):
-        ends = grams.filter(F.col("words") == words).drop("words")
+    """(lang, node, next, words, f): every `longest`-gram as its first words and its last, and of every
+    piece the shorter suffixes, which have no `next`; counted by task.
+
+    The rows of a node are in one partition.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tallies: dict[str, _Tally] = {}
+        for batch in batches:
+            langs = batch.column("lang")
+            for lang in langs.unique().to_pylist():
+                tally = tallies.setdefault(lang, _Tally(longest))
+                own = batch.column("text").filter(pc.equal(langs, lang))
+                for piece in pieces(own):
+                    data = LOWER[piece.data]
+                    starts, ends, bounds = spans(piece, WORD)
+                    breaks = np.cumsum(BREAK[data], dtype=np.int32)
+                    at = breaks[starts] if len(starts) else np.zeros(0, np.int32)
+                    follows = np.append(False, at[1:] == at[:-1]) if len(at) else np.zeros(0, bool)
+                    follows[bounds[:-1][bounds[:-1] < len(starts)]] = False
+                    for _ in tally.add(data, starts, ends, follows):
+                        if tally.full():
+                            yield from tally.rows(lang)
+            if sum(sum(map(len, t.keys)) for t in tallies.values()) > TASK_GRAMS:
+                for lang, tally in tallies.items():
+                    yield from tally.rows(lang)
+                tallies = {}
+        for lang, tally in tallies.items():
+            yield from tally.rows(lang)
+
+    texts = docs.select(F.coalesce(F.col(LANG).cast("string"), F.lit("und")).alias(LANG), F.col(f"`{text}`").alias("text"))
+    counted = texts.mapInArrow(run, "lang string, node string, next string, words int, f long")
+    return counted.repartition(F.col(LANG), F.col("node"))
+
+
+def gram_counts(grams: DataFrame, longest: int = 3, min_count: int = 1) -> dict[int, DataFrame]:
+    """Tables (lang, gram, f) by number of words, each from the flow of the longer one.
+
+    Of the longest only those of `min_count`; one written table comes from one exchange of `grams`.
+    """
+    whole = grams.groupBy(LANG, "node", "next", "words").agg(F.sum("f").alias("f"))
+    # Conditions on the sums stay above the exchange, so both branches read the same one.
+    kept = F.when(F.col("words") == longest, F.col("f") >= min_count).otherwise((F.col("words") < longest - 1) & (F.col("f") > 0))
+    edges = whole.filter(kept).select(LANG, F.concat_ws(" ", "node", "next").alias(GRAM), "words", "f")
+    # The flow needs no sums by `next`; counting it keeps the column, and so the exchange, the same.
+    leaving = F.sum(F.when(F.col("words") >= longest - 1, F.col("f"))).alias("f")
+    flow = grams.groupBy(LANG, "node").agg(leaving, F.count("next").alias("_edges"))
+    flow = flow.filter(F.col("f").isNotNull() & (F.col("_edges") >= 0))
+    flow = flow.select(LANG, F.col("node").alias(GRAM), F.lit(longest - 1).alias("words"), "f")
+    table = saved(edges.unionByName(flow), "phrases-longest")
+    counts = {n: table.filter(F.col("words") == n).drop("words") for n in (longest, longest - 1)}
+    for words in range(longest - 2, 0, -1):
+        ends = table.filter(F.col("words") == words).drop("words")
         flow = counts[words + 1].select(LANG, _first(GRAM, words).alias(GRAM), "f").unionByName(ends)
         counts[words] = saved(flow.groupBy(LANG, GRAM).agg(F.sum("f").alias("f")), f"phrases-{words}")
     return counts
@@ -136,8 +246,7 @@ def mine_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, percent
     A candidate occurs `min_count` times; one is left out if a longer candidate that contains it
     occurs at least `percent` in a hundred times as often.
     """
-    grams = saved(longest_grams(docs, longest), "phrases-longest")
-    counts = gram_counts(grams, longest)
+    counts = gram_counts(longest_grams(docs, longest), longest, min_count)
     totals = counts[1].groupBy(LANG).agg(F.sum("f").alias("n"))
     often = {k: saved(table.filter(F.col("f") >= min_count), f"phrases-often-{k}") for k, table in counts.items()}
     none = F.lit(None).cast("bigint")

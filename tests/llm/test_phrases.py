@@ -91,8 +91,7 @@ def test_empty_table(spark):
 
 
 def test_unary_paths(spark, rows):
-    grams = phrases.longest_grams(frame(spark, rows)).cache()
-    counts = phrases.gram_counts(grams)
+    counts = phrases.gram_counts(phrases.longest_grams(frame(spark, rows)))
     plain = count(rows, 3)
     for n, table in counts.items():
         assert {(r.lang, r.gram): r.f for r in table.collect()} == {
