@@ -12,13 +12,19 @@ from starling import constants as C
 from starling.functions.keep import keep_last
 from starling.session import scratch_path
 from starling.sources.tables import (
+    COMMITTED,
     DAY,
+    SWAPS,
     balanced_by_day,
+    create_marker,
     file_stats,
     folder_bytes,
+    list_names,
+    make_folder,
     move_path,
     path_exists,
     remove_path,
+    retired_parts,
     write_day_partitioned,
 )
 
@@ -104,8 +110,22 @@ def days_to_compact(
 FLUSH = "flush_id"
 
 
+#: The folder of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _on_days(days: Sequence[str]) -> Column:
-    return F.col(DAY).isin(*[F.lit(d).cast("date") for d in days])
+    on = F.col(DAY).isin(*[F.lit(d).cast("date") for d in days if d != NO_DAY])
+    return F.coalesce(on, F.lit(NO_DAY in days))
+
+
+def _day_text() -> Column:
+    return F.coalesce(F.col(DAY).cast("string"), F.lit(NO_DAY))
+
+
+def _days_of(table: DataFrame) -> list[str]:
+    """The calendar days of a table."""
+    return [r[0] for r in table.select(DAY).distinct().select(_day_text().alias("day")).orderBy("day").collect()]
 
 
 def has_flushes(table: DataFrame) -> bool:
@@ -125,58 +145,108 @@ def mergeable(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
     return merged.unionByName(table.join(logged, FLUSH, "left_semi").select(*table.columns))
 
 
+#: Steps of a replacement after which a stop is told apart in tests.
+STEPS = ("staged", "retired", "committed", "removed", "moved")
+
+
+def _no_stop(step: str) -> None:
+    pass
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish replacements that were committed, and drop those that were not.
+
+    Every upkeep job starts with this; a table has one such job at a time.
+    """
+    folder = f"{path.rstrip('/')}/{SWAPS}"
+    for name in list_names(spark, folder):
+        swap = f"{folder}/{name}"
+        if path_exists(spark, f"{swap}/{COMMITTED}"):
+            _carry_out(spark, path, swap)
+        else:
+            remove_path(spark, swap)
+
+
+def _carry_out(spark: SparkSession, path: str, swap: str, after: Callable[[str], None] = _no_stop) -> None:
+    """Remove what a committed replacement retires and move its files in; may be done again."""
+    root = path.rstrip("/")
+    for row in retired_parts(spark, swap).toLocalIterator():
+        remove_path(spark, f"{root}/{row['path']}")
+    after("removed")
+    for day in list_names(spark, f"{swap}/rows"):
+        if day.startswith(f"{DAY}="):
+            make_folder(spark, f"{root}/{day}")
+            for name in list_names(spark, f"{swap}/rows/{day}"):
+                if not name.startswith((".", "_")):
+                    move_path(spark, f"{swap}/rows/{day}/{name}", f"{root}/{day}/{name}")
+    after("moved")
+    remove_path(spark, swap)
+
+
 def _replace_days(
-    spark: SparkSession, path: str, rows: DataFrame, days: Sequence[str], read: DataFrame,
-    target_bytes: int = C.TARGET_FILE_BYTES,
+    spark: SparkSession, path: str, rows: DataFrame, days: Sequence[str], read: DataFrame, source: DataFrame,
+    target_bytes: int = C.TARGET_FILE_BYTES, after: Callable[[str], None] = _no_stop,
 ) -> None:
-    """Write `rows` over what was `read` of the given days, by way of a staged copy in the shared folder.
-
-    The staged copy is complete before the first file of the table is touched; each day is
-    then replaced by one job. A table of the ingest stream has a flush partition below the
-    day: there the merged rows become one new flush, written under a hidden name, and take
-    the place of the flushes read. Only flushes with a log are merged (`mergeable`), so a
-    replayed batch never finds its rows merged already. The number of files follows
-    from the day's bytes and the target size. The staged copy is removed at the end.
+    """Write `rows` over what was `read` of the given days of `source`, all days in one commit.
+
+    The new files are written to a hidden folder of the table, beside a list of what they replace:
+    the flushes read, in a table of the ingest stream, or the files read, in any other; a flush or
+    file that came since stays. An empty marker then commits both. Before it, the table is as it was;
+    from it on, `read_table` gives the new rows, whatever has been removed or moved so far, and
+    `recover` carries out the rest. Merged rows become one new flush of their day, and only
+    flushes with a log are merged (`mergeable`), so a replayed batch never finds its rows merged
+    already. The number of files follows from a day's bytes and the target size.
     """
-    staged = scratch_path(spark, "maintenance")
-    balanced_by_day(rows).write.partitionBy(DAY).option("compression", C.COMPRESSION).parquet(staged)
+    name = uuid.uuid4().hex[:12]
+    swap = f"{path.rstrip('/')}/{SWAPS}/{name}"
     flushed = has_flushes(rows)
-    columns = [c for c in rows.columns if c not in (DAY, FLUSH)] if flushed else [c for c in rows.columns if c != DAY]
-    copy = spark.read.schema(rows.schema).parquet(staged)
-    old: dict[str, list[str]] = {}
-    if flushed:  # the flushes of the days, by name
-        for r in read.filter(_on_days(days)).select(F.col(DAY).cast("string"), FLUSH).distinct().collect():
-            old.setdefault(r[0], []).append(r[1])
-    for day in days:
-        folder = f"{path.rstrip('/')}/{DAY}={day}"
-        one = copy.filter(F.col(DAY) == F.lit(day).cast("date"))
-        files = max(1, -(-folder_bytes(spark, f"{staged}/{DAY}={day}") // target_bytes))
-        sized = one.select(*columns).repartition(files).write.option("compression", C.COMPRESSION)
-        if not flushed:
-            sized.mode("overwrite").parquet(folder)
-            continue
-        name = f"merged-{uuid.uuid4().hex[:12]}"
-        sized.parquet(f"{folder}/_{name}")
-        for flush in old[day]:
-            remove_path(spark, f"{folder}/{FLUSH}={flush}")
-        move_path(spark, f"{folder}/_{name}", f"{folder}/{FLUSH}={name}")
-    remove_path(spark, staged)
-
-
-def compact_days(spark: SparkSession, path: str, as_of: str, days: int = C.COMPACT_DAYS,
-                 min_small: int = C.MIN_SMALL_FILES, target_bytes: int = C.TARGET_FILE_BYTES) -> list[str]:
+    copy_path = scratch_path(spark, "maintenance")
+    balanced_by_day(rows).write.partitionBy(DAY).option("compression", C.COMPRESSION).parquet(copy_path)
+    copy = spark.read.schema(rows.schema).parquet(copy_path)
+    # One number per calendar day.
+    sizes = {d: folder_bytes(spark, f"{copy_path}/{DAY}={d}") for d in days}
+    files = {d: -(-size // target_bytes) for d, size in sizes.items() if size}
+    if files:
+        count = F.create_map(*[F.lit(x) for item in files.items() for x in item])[_day_text()]
+        part = F.pmod(F.xxhash64(*[c for c in rows.columns if c != DAY]), count)
+        spread = copy.withColumn("_part", part).repartition(sum(files.values()), DAY, "_part").drop("_part")
+        if flushed:
+            spread = spread.withColumn(FLUSH, F.lit(f"merged-{name}"))
+        writer = spread.write.partitionBy(DAY, *([FLUSH] if flushed else []))
+        writer.option("compression", C.COMPRESSION).parquet(f"{swap}/rows")
+    after("staged")
+    day = F.concat(F.lit(f"{DAY}="), _day_text(), F.lit("/"))
+    if flushed:
+        parts = read.filter(_on_days(days)).select(F.concat(day, F.lit(f"{FLUSH}="), F.col(FLUSH)).alias("path"))
+    else:
+        file = F.substring_index(F.col("_metadata.file_path"), "/", -1)
+        parts = source.filter(_on_days(days)).select(F.concat(day, file).alias("path"))
+    parts.distinct().write.parquet(f"{swap}/retired")
+    after("retired")
+    create_marker(spark, f"{swap}/{COMMITTED}")
+    after("committed")
+    _carry_out(spark, path, swap, after)
+    remove_path(spark, copy_path)
+
+
+def compact_days(
+    spark: SparkSession, path: str, as_of: str, days: int = C.COMPACT_DAYS, min_small: int = C.MIN_SMALL_FILES,
+    target_bytes: int = C.TARGET_FILE_BYTES, after: Callable[[str], None] = _no_stop,
+) -> list[str]:
     """Rewrite recent days that consist of many small files; returns those days.
 
     A day is chosen only if it comes out in fewer files than it has small ones.
     """
-    table = mergeable(spark, path, spark.read.parquet(path))
+    recover(spark, path)
+    source = spark.read.parquet(path)
+    table = mergeable(spark, path, source)
     today = F.lit(as_of).cast("date")
-    chosen = days_to_compact(spark.read.parquet(path), today, days, target_bytes, min_small)
+    chosen = days_to_compact(source, today, days, target_bytes, min_small)
     chosen = chosen.filter(F.col("small_files") > F.ceil(F.col("bytes") / target_bytes))
     # At most `days` values: the list of calendar days to rewrite.
     picked = [str(r[0]) for r in chosen.select(DAY).orderBy(DAY).limit(days).collect()]
     if picked:
-        _replace_days(spark, path, table.filter(_on_days(picked)), picked, table, target_bytes)
+        _replace_days(spark, path, table.filter(_on_days(picked)), picked, table, source, target_bytes, after)
     return picked
 
 
@@ -190,17 +260,28 @@ def month_ranges(spark: SparkSession, start: str, as_of: str) -> DataFrame:
     return first.withColumn("month_end", F.add_months("month_start", 1))
 
 
-def compact_full(spark: SparkSession, path: str, start: str, as_of: str) -> list[str]:
-    """Compact month by month: one staged rewrite per calendar month."""
-    done: list[str] = []
+def compact_full(spark: SparkSession, path: str, start: str, as_of: str) -> DataFrame:
+    """Compact month by month, each in one commit; files and bytes of every month before and after."""
+    recover(spark, path)
+    report = []
     for month in month_ranges(spark, start, as_of).orderBy("month_start").toLocalIterator():
-        table = mergeable(spark, path, spark.read.parquet(path))
+        source = spark.read.parquet(path)
+        table = mergeable(spark, path, source)
         inside = (F.col(DAY) >= F.lit(month[0])) & (F.col(DAY) < F.lit(month[1]))
-        days = [str(r[0]) for r in table.filter(inside).select(DAY).distinct().orderBy(DAY).collect()]
+        days = _days_of(table.filter(inside))
         if days:
-            _replace_days(spark, path, table.filter(inside), days, table)
-            done += days
-    return done
+            before = file_stats(source.filter(inside)).first()
+            _replace_days(spark, path, table.filter(inside), days, table, source)
+            stats = file_stats(spark.read.parquet(path).filter(inside)).first()
+            report.append(
+                (month[0], len(days), before["n_rows"], stats["n_rows"], before["file_count"], stats["file_count"],
+                 before["total_bytes"], stats["total_bytes"])
+            )
+    return spark.createDataFrame(
+        report,
+        "month_start date, days int, rows_before long, rows_after long, files_before long, files_after long, "
+        "bytes_before long, bytes_after long",
+    )
 
 
 def mask_table(spark: SparkSession, path: str, as_of: str, days: int = C.MASK_DAYS, safe: bool = True) -> list[str]:
@@ -209,7 +290,9 @@ def mask_table(spark: SparkSession, path: str, as_of: str, days: int = C.MASK_DA
     Only days that hold a masked row are read again and replaced. The day predicate stands
     on both the duplicate search and the rewrite, so older days are never read.
     """
-    table = mergeable(spark, path, with_path(spark.read.parquet(path)))
+    recover(spark, path)
+    source = spark.read.parquet(path)
+    table = mergeable(spark, path, with_path(source))
     recent = table.filter(recent_days(F.lit(as_of).cast("date"), days))
     # Narrow columns tell which uris repeat across files; whole rows are read for their days only.
     narrow = recent.select("uri", "path", DAY)
@@ -225,24 +308,34 @@ def mask_table(spark: SparkSession, path: str, as_of: str, days: int = C.MASK_DA
             rows = single.unionByName(repeated.select(*single.columns))
         else:
             rows = mask_duplicates(recent).filter(on_days)
-        _replace_days(spark, path, rows.select(*[c for c in table.columns if c != "path"]), picked, table)
+        _replace_days(spark, path, rows.select(*[c for c in table.columns if c != "path"]), picked, table, source)
     return picked
 
 
-def compact_and_collapse(spark: SparkSession, path: str, target: str) -> dict[str, int]:
-    """Whole event log: collapse, drop tombstones, write anew to `target`; before and after."""
-    table = spark.read.parquet(path)
+def compact_and_collapse(
+    spark: SparkSession, path: str, target: str | None = None, after: Callable[[str], None] = _no_stop
+) -> dict[str, int]:
+    """Whole event log: collapse, drop tombstones, write anew; counts, files and bytes before and after.
+
+    Over the table itself in one commit, or to `target` if that is given.
+    """
+    recover(spark, path)
+    source = spark.read.parquet(path)
+    table = mergeable(spark, path, source)
     if table.isEmpty():
         return {"skipped": 1}
-    before = file_stats(table).first().asDict()
+    before = file_stats(source).first().asDict()
     stats = collapse_stats(table).first().asDict()
     final = drop_tombstones(collapse_to_latest(table))
-    write_day_partitioned(final, target, mode="overwrite")
-    after = file_stats(spark.read.parquet(target)).first().asDict()
+    if target is None:
+        _replace_days(spark, path, final, _days_of(table), table, source, after=after)
+    else:
+        write_day_partitioned(final, target, mode="overwrite")
+    rows = file_stats(spark.read.schema(table.schema).parquet(target or path)).first().asDict()
     return {
         **stats,
-        "file_count_before": before["file_count"], "file_count_after": after["file_count"],
-        "bytes_before": before["total_bytes"], "bytes_after": after["total_bytes"],
+        "file_count_before": before["file_count"], "file_count_after": rows["file_count"],
+        "bytes_before": before["total_bytes"], "bytes_after": rows["total_bytes"],
     }
 
 

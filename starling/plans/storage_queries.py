@@ -124,15 +124,78 @@ def export_csv(spark, sf):
     return spark.read.schema("c_custkey bigint, c_name string, nation bigint").option("header", True).csv(path)
 
 
-@query("M1_compact_days", duck("SELECT strftime(created_at, '%Y-%m-%d') AS day, count(*) AS n_rows FROM v_posts GROUP BY 1", "posts"))
+@query("M1_compact_days", duck("SELECT strftime(created_at, '%Y-%m-%d') AS day, uri, CASE WHEN created_at::DATE >= DATE '2024-01-07' AND created_at::DATE < DATE '2024-01-10' THEN true END AS one_file FROM v_posts", "posts"))
 def compact_days(spark, sf):
-    """Days written in many small files, three of them compacted; no row changes."""
+    """Days written in many small files, three of them compacted into one each; no row changes."""
     path = scratch_path(spark, "compact")
     rows = TB.with_day(_posts(spark, sf))
     rows.repartition(8).write.partitionBy(TB.DAY).parquet(path)
-    MT.compact_days(spark, path, "2024-01-10", min_small=2)
+    MT.compact_days(spark, path, "2024-01-10", days=3, min_small=2)
     after = TB.read_table(spark, path)
-    return after.groupBy(F.col(TB.DAY).cast("string").alias("day")).agg(F.count("*").alias("n_rows"))
+    files = after.groupBy(TB.DAY).agg(F.count_distinct("_metadata.file_path").alias("files"))
+    chosen = F.col(TB.DAY).between("2024-01-07", "2024-01-09")
+    return after.join(files, TB.DAY).select(
+        F.col(TB.DAY).cast("string").alias("day"), "uri", F.when(chosen, F.col("files") == 1).alias("one_file")
+    )
+
+
+class Stopped(Exception):
+    """An upkeep job that ends before its time."""
+
+
+def _stop_after(step: str):
+    def after(reached: str) -> None:
+        if reached == step:
+            raise Stopped(step)
+
+    return after
+
+
+@query("M1_M2_stopped_upkeep", duck(f"SELECT s.step, uri, 1 :: BIGINT AS after_stop, 1 :: BIGINT AS after_repair, true AS fewer_files FROM v_posts, (VALUES {', '.join(f'({chr(39)}{s}{chr(39)})' for s in MT.STEPS)}) AS s(step)", "posts"))
+def stopped_upkeep(spark, sf):
+    """A compaction stopped after each of its steps: the table has every row once, then and after the next run."""
+    rows = TB.with_day(_posts(spark, sf)).repartition(8)
+    out = None
+    for step in MT.STEPS:
+        path = scratch_path(spark, f"stopped-{step}")
+        rows.write.partitionBy(TB.DAY).parquet(path)
+        files = TB.file_stats(TB.read_table(spark, path)).first()["file_count"]
+        try:
+            MT.compact_days(spark, path, "2100-01-01", days=40_000, min_small=2, after=_stop_after(step))
+        except Stopped:
+            pass
+        seen = TB.read_table(spark, path).groupBy("uri").agg(F.count("*").alias("after_stop"))
+        copy = scratch_path(spark, "seen")
+        seen.write.parquet(copy)  # as seen before the next run
+        MT.compact_days(spark, path, "2100-01-01", days=40_000, min_small=2)
+        repaired = spark.read.parquet(path)
+        fewer = TB.file_stats(repaired).first()["file_count"] < files
+        now = repaired.groupBy("uri").agg(F.count("*").alias("after_repair"))
+        one = spark.read.parquet(copy).join(now, "uri", "full").select(
+            F.lit(step).alias("step"), "uri", "after_stop", "after_repair", F.lit(fewer).alias("fewer_files")
+        )
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query(
+    "M4_collapse_in_place",
+    duck(
+        f"SELECT uri, cid, {duck_stamp('ingested_at')} AS ingested, (SELECT count(*) FROM v_event_log) AS rows_before, count(*) OVER () AS rows_after, true AS fewer_bytes "
+        "FROM (SELECT * FROM v_event_log QUALIFY row_number() OVER (PARTITION BY uri ORDER BY ingested_at DESC, rev DESC) = 1) WHERE operation <> 'delete'",
+        "event_log",
+    ),
+)
+def collapse_in_place(spark, sf):
+    """The event log collapsed over itself, with the job's own report."""
+    path = scratch_path(spark, "collapse")
+    TB.write_day_partitioned(event_log(spark, sf), path)
+    report = MT.compact_and_collapse(spark, path)
+    fewer = report["bytes_after"] < report["bytes_before"] and report["file_count_after"] <= report["file_count_before"]
+    return TB.read_table(spark, path).select(
+        "uri", "cid", stamp("ingested_at").alias("ingested"), F.lit(report["rows_before"]).cast("bigint").alias("rows_before"),
+        F.lit(report["rows_after"]).cast("bigint").alias("rows_after"), F.lit(fewer).alias("fewer_bytes"),
+    )
 
 
 @query(
@@ -169,7 +232,7 @@ def run_stream(spark: SparkSession, sf: str, job: IN.IngestJob) -> None:
 
 
 def _table(spark: SparkSession, job: IN.IngestJob, record_type: str) -> DataFrame:
-    return spark.read.parquet(job.table(record_type)).withColumn("record_type", F.lit(record_type))
+    return TB.read_table(spark, job.table(record_type)).withColumn("record_type", F.lit(record_type))
 
 
 _STORED = (
@@ -229,6 +292,27 @@ def ingest_and_upkeep(spark, sf):
     return out
 
 
+@query("M3_compact_full", duck(f"SELECT record_type, uri, 2 :: BIGINT AS copies, true AS rows_kept, true AS fewer_files FROM ({_STORED})", "collapsing_parsed"))
+def compact_full(spark, sf):
+    """The ingest tables after two streams, compacted month by month, with each month's report."""
+    root = scratch_path(spark, "full")
+    frames = VW.collapsing_frames(spark, sf)
+    first = IN.IngestJob(root, "run-1", checkpoint_id="a")
+    for job in (first, IN.IngestJob(root, "run-2", checkpoint_id="b")):
+        IN.process_batch(job, frames, 0)
+    out = None
+    for record_type in ("posts", "likes", "reposts", "follows"):
+        path = first.table(record_type)
+        ends = spark.read.parquet(path).agg(F.min(TB.DAY).cast("string"), F.max(TB.DAY).cast("string")).first()
+        report = MT.compact_full(spark, path, ends[0], ends[1])
+        kept = F.bool_and(F.col("rows_before") == F.col("rows_after"))
+        total = report.agg(kept.alias("rows_kept"), (F.sum("files_after") < F.sum("files_before")).alias("fewer_files")).first()
+        one = _table(spark, first, record_type).groupBy("record_type", "uri").agg(F.count("*").alias("copies"))
+        one = one.withColumns({name: F.lit(total[name]) for name in ("rows_kept", "fewer_files")})
+        out = one if out is None else out.union(one)
+    return out
+
+
 @query("ST2_flush_trigger", duck(f"SELECT 'size' AS reason, record_type, count(DISTINCT uri) AS n_uris FROM ({_STORED}) GROUP BY 2", "collapsing_parsed"))
 def flush_trigger(spark, sf):
     """Landed files beyond the size limit are flushed at once, in batches, until none waits."""

@@ -47,6 +47,17 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """An empty file, there as a whole or not at all; one that is there already is an error."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.create(hadoop_path, False).close()
+
+
 def check_columns(df: DataFrame, expected: StructType) -> None:
     """The column set must be the table's: nothing missing, nothing extra."""
     missing = set(expected.fieldNames()) - set(df.columns)
@@ -94,8 +105,48 @@ def write_day_partitioned(df: DataFrame, path: str, mode: str = "append", extra:
     writer.option("compression", C.COMPRESSION).parquet(path)
 
 
+#: Folder of a table with its replacements under way, hidden from plain readers.
+SWAPS = "_swap"
+COMMITTED = "committed"
+
+
+def pending_swaps(spark: SparkSession, path: str) -> list[str]:
+    """Replacements that are decided but not yet carried out in full."""
+    folder = f"{path.rstrip('/')}/{SWAPS}"
+    return [f"{folder}/{n}" for n in list_names(spark, folder) if path_exists(spark, f"{folder}/{n}/{COMMITTED}")]
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The rows of a day-partitioned table as of its last commit.
+
+    A replacement (`operators/maintain.py`) that stopped half-way counts as done from its commit
+    on: what it retires is left out, and what it has not moved yet is read where it lies.
+    """
+    swaps = pending_swaps(spark, path)
+    if not swaps:
+        return spark.read.parquet(path)
+    staged = [spark.read.parquet(f"{swap}/rows") for swap in swaps if any_rows(spark, swap)]
+    base = spark.read.schema(staged[0].schema).parquet(path) if staged else spark.read.parquet(path)
+    columns = base.columns
+    # The folder or file right below the day tells what a row belongs to.
+    base = base.withColumn("_part", F.regexp_extract(F.col("_metadata.file_path"), f"({DAY}=[^/]+/[^/]+)", 1))
+    for swap in swaps:
+        base = base.join(retired_parts(spark, swap).withColumnRenamed("path", "_part"), "_part", "left_anti")
+    out = base.select(*columns)
+    for rows in staged:
+        out = out.unionByName(rows.select(*columns))
+    return out
+
+
+def retired_parts(spark: SparkSession, swap: str) -> DataFrame:
+    return spark.read.schema("path string").parquet(f"{swap}/retired")
+
+
+def any_rows(spark: SparkSession, swap: str) -> bool:
+    """Does the replacement hold files that are not moved yet?"""
+    rows = f"{swap}/rows"
+    days = [n for n in list_names(spark, rows) if n.startswith(f"{DAY}=")]
+    return any(not n.startswith((".", "_")) for day in days for n in list_names(spark, f"{rows}/{day}"))
 
 
 # -- catalog --------------------------------------------------------------------

@@ -83,6 +83,49 @@ def test_mask_table_keeps_one_row_per_uri(spark, tmp_path):
     assert rows.count() == rows.select("uri").distinct().count() == 40
 
 
+class Stop(Exception):
+    pass
+
+
+def stop_at(step):
+    def after(reached):
+        if reached == step:
+            raise Stop(step)
+
+    return after
+
+
+@pytest.mark.parametrize("step", MT.STEPS)
+@pytest.mark.parametrize("flushed", [False, True])
+def test_a_stopped_swap_keeps_all_rows_and_is_repaired(spark, tmp_path, step, flushed):
+    path = str(tmp_path / "out" / "t")
+    if flushed:
+        day_table(spark, str(tmp_path / "plain"))
+        rows = spark.read.parquet(str(tmp_path / "plain")).withColumn("flush_id", F.concat(F.lit("f"), F.col("id") % 5))
+        rows.write.partitionBy(TB.DAY, "flush_id").parquet(path)
+        rows.select("flush_id").distinct().write.parquet(str(tmp_path / "out" / "_flush_log"))
+    else:
+        day_table(spark, path)
+    rows_of = lambda df: sorted(tuple(r) for r in df.select("uri", "id", TB.DAY).collect())
+    want = rows_of(spark.read.parquet(path))
+    files = TB.file_stats(spark.read.parquet(path)).first()["file_count"]
+    with pytest.raises(Stop):
+        MT.compact_days(spark, path, "2026-02-01", days=90, min_small=2, after=stop_at(step))
+    assert rows_of(TB.read_table(spark, path)) == want
+    # Rows that come before the repair stay as well.
+    late = TB.read_table(spark, path).limit(1).withColumn("id", F.lit(777).cast("bigint"))
+    late = late.withColumn("flush_id", F.lit("f9")) if flushed else late
+    late.write.mode("append").partitionBy(TB.DAY, *(["flush_id"] if flushed else [])).parquet(path)
+    if flushed:
+        spark.createDataFrame([("f9",)], "flush_id string").write.mode("append").parquet(str(tmp_path / "out" / "_flush_log"))
+    assert len(rows_of(TB.read_table(spark, path))) == len(want) + 1
+    MT.compact_days(spark, path, "2026-02-01", days=90, min_small=2)
+    assert TB.list_names(spark, f"{path}/{TB.SWAPS}") == []
+    after = spark.read.parquet(path)
+    assert [r for r in rows_of(after) if r[1] != 777] == want and after.count() == len(want) + 1
+    assert TB.file_stats(after).first()["file_count"] < files
+
+
 def test_run_all_reports_and_raises(spark):
     report = MT.run_all(spark, {"good": lambda: None, "bad": lambda: 1 / 0, "later": lambda: None})
     assert [(r["table_name"], r["failed"]) for r in report.collect()] == [("good", False), ("bad", True), ("later", False)]
