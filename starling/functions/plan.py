@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,3 +17,19 @@ def settle(df: DataFrame, columns: Mapping[str, Column], keep: list[str]) -> Dat
     """
     fields = [column.alias(name) for name, column in columns.items()]
     return df.select(*keep, F.inline(F.array(F.struct(*fields))))
+
+
+#: Tasks that share a hot key in a salted join.
+SALTS = 32
+
+
+def salted_semi_join(rows: DataFrame, keys: DataFrame, key: str, by: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Rows whose `key` is in `keys`; each key's rows are dealt over `salts` tasks by a hash of `by`.
+
+    The small side is repeated `salts` times. Whatever groups by `key` above needs an exchange of its
+    own, before which Spark adds up by task, so a key with a third of the rows is in no single task.
+    """
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    repeated = keys.select(key).distinct().withColumn("_salt", F.explode(numbers))
+    return dealt.join(repeated, [key, "_salt"], "left_semi").select(*rows.columns)

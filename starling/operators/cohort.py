@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling import constants as C
+from starling.functions.plan import salted_semi_join
 from starling.functions.ranking import chunk_index
 from starling.operators import records as R
 from starling.session import written
@@ -63,18 +64,24 @@ def follow_edges(records: DataFrame) -> DataFrame:
 
 
 def cohort_followees(edges: DataFrame, members: DataFrame) -> DataFrame:
-    """Distinct (did, followed_did) whose target is in the cohort."""
-    cohort = members.select(F.col("did").alias("followed_did"))
-    return edges.filter(F.col("followed_did") != "").join(cohort, "followed_did", "left_semi").select(
-        "did", "followed_did"
-    ).distinct()
+    """Distinct (did, followed_did) whose target is in the cohort.
+
+    Repeats go before the join, which deals a much followed account over many tasks.
+    """
+    pairs = edges.filter(F.col("followed_did") != "").select("did", "followed_did").distinct()
+    return salted_semi_join(pairs, members.select(F.col("did").alias("followed_did")), "followed_did", ["did"])
+
+
+def followers_among(pairs: DataFrame, bundles: DataFrame) -> DataFrame:
+    """(did, follower_did) of distinct follow pairs whose source has a readable repo."""
+    read = bundles.filter(F.col("error").isNull())
+    inside = salted_semi_join(pairs.filter(F.col("did") != F.col("followed_did")), read, "did", ["followed_did"])
+    return inside.select(F.col("followed_did").alias("did"), F.col("did").alias("follower_did"))
 
 
 def cohort_followers(edges: DataFrame, members: DataFrame, bundles: DataFrame) -> DataFrame:
     """Distinct (did, follower_did): cohort members with a readable repo following `did`."""
-    sources = edges.join(bundles.filter(F.col("error").isNull()).select("did"), "did", "left_semi")
-    inside = cohort_followees(sources, members).filter(F.col("did") != F.col("followed_did"))
-    return inside.select(F.col("followed_did").alias("did"), F.col("did").alias("follower_did"))
+    return followers_among(cohort_followees(edges, members), bundles)
 
 
 def derive_stats(
@@ -86,9 +93,9 @@ def derive_stats(
     keeps followers_count and cohort_followers; its own counts are those of empty lists and
     followees_count is NULL.
     """
-    # Records are counted per account before any join: an account is one partial row per task,
-    # whatever share of the records it holds.
-    rows = R.classify_records(records).select(
+    # Parsed once and written narrow: own counts and follow pairs both read it. Records are counted
+    # per account before any join: an account is one partial row per task, whatever share it holds.
+    parsed = R.classify_records(records).select(
         "did", "uri", "output",
         R.in_window(R.created_text(), start, end).alias("inside"),
         R.is_reply().alias("is_reply"),
@@ -96,6 +103,7 @@ def derive_stats(
         R.follow_row()["followed_did"].alias("followed_did"),
         F.when(F.col("output") == "profile", F.struct(*[c.alias(n) for n, c in R.profile_row().items()])).alias("profile"),
     )
+    rows = written(parsed, "cohort-rows")
     inside, post = F.col("inside"), F.col("output") == "posts"
     own = rows.groupBy("did").agg(
         F.count_if(inside & post & ~F.col("is_reply")).alias("original_posts"),
@@ -110,7 +118,7 @@ def derive_stats(
     edges = rows.filter(F.col("output") == "follows").select("did", "followed_did")
     pairs = written(cohort_followees(edges, members), "cohort-pairs")
     outgoing = pairs.groupBy("did").agg(F.count("*").alias("cohort_followees"))
-    incoming = cohort_followers(pairs, members, bundles).groupBy("did").agg(F.count("*").alias("cohort_followers"))
+    incoming = followers_among(pairs, bundles).groupBy("did").agg(F.count("*").alias("cohort_followers"))
     found = bundles.filter(F.col("error").isNull()).select("did", F.lit(True).alias("_seen")).distinct()
     out = members.select("ordinal", "did", F.nullif("handle", F.lit("")).alias("handle"), "followers_count")
     for part in (own, outgoing, incoming, found):

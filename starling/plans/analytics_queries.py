@@ -8,6 +8,7 @@ from starling import constants as C
 from starling.functions import text as X
 from starling.operators import accounts as A
 from starling.operators import calllog as CL
+from starling.functions.plan import salted_semi_join
 from starling.operators import cohort as CO
 from starling.operators import diversity as D
 from starling.operators import graph as G
@@ -242,8 +243,8 @@ def edges(spark, sf):
 @query("J7_cohort_followees", duck(_FOLLOWEES, "repo", "members", "bundles"))
 def cohort_followees(spark, sf):
     members = VW.members(spark, sf)
-    own = edges(spark, sf).join(CO.observed_members(members, VW.bundles(spark, sf)), "did", "left_semi")
-    return CO.cohort_followees(own, members)
+    observed = CO.observed_members(members, VW.bundles(spark, sf))
+    return salted_semi_join(CO.cohort_followees(edges(spark, sf), members), observed, "did", ["followed_did"])
 
 
 @query("J8_cohort_followers", duck(_FOLLOWERS, "repo", "members", "bundles"))

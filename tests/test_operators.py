@@ -371,6 +371,35 @@ def cohort(spark):
     return members, bundles, records, bounds
 
 
+def test_hot_accounts_are_shared_by_tasks(spark):
+    """A third of all follows go to one account and a third come from another; joins never broadcast."""
+    kept = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in kept}
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30_000
+        kind = F.col("id") % 3
+        edges = spark.range(n).select(
+            F.when(kind == 1, F.lit("fan")).otherwise(F.concat(F.lit("a"), F.col("id"))).alias("did"),
+            F.when(kind == 0, F.lit("star")).otherwise(F.concat(F.lit("b"), F.col("id"))).alias("followed_did"),
+        )
+        members = edges.select(F.col("followed_did").alias("did")).distinct()
+        bundles = edges.select("did").distinct().withColumn("error", F.lit(None).cast("string"))
+        followers = CO.cohort_followers(edges.union(edges), members, bundles)
+        for rows in (CO.cohort_followees(edges, members), followers):
+            sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == n and max(sizes) < 3 * n / 16
+        counted = followers.groupBy("did").agg(F.count("*").alias("n"))
+        assert counted.filter("did = 'star'").first()["n"] == n // 3
+        # The counts travel added up by task.
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("partial_count") > plan.index("Exchange hashpartitioning(did")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_cohort_stats(spark):
     members, bundles, records, bounds = cohort(spark)
     rows = CO.derive_stats(members, bundles, records, *bounds)
