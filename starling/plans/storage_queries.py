@@ -327,6 +327,25 @@ def flush_trigger(spark, sf):
     return out.select(F.lit(",".join(reasons)).alias("reason"), "record_type", "n_uris")
 
 
+@query("ST2_flush_ledger", duck(f"SELECT 'size,age' AS reason, record_type, count(DISTINCT uri) AS n_uris FROM ({_STORED}) GROUP BY 2", "collapsing_parsed"))
+def flush_ledger(spark, sf):
+    """Landed files removed after their flush, others landing under a restarted job: none is missed."""
+    root = scratch_path(spark, "ledger")
+    frames = VW.collapsing_frames(spark, sf).select("value").withColumn("_half", F.pmod(F.crc32("value"), F.lit(100)))
+    job = IN.IngestJob(f"{root}/tables", "run-1")
+    reasons = []
+    for part, limit in (("_half < 90", 1 << 16), ("_half >= 90", 1 << 40)):
+        frames.filter(part).select("value").repartition(4).write.mode("append").text(f"{root}/landed")
+        reasons += IN.flush_windows(spark, f"{root}/landed", job, f"{root}/checkpoint", max_bytes=limit, stop=lambda: True)
+        for row in TB.file_listing(spark, f"{root}/landed").toLocalIterator():
+            TB.remove_path(spark, row["path"])
+    out = None
+    for record_type in ("posts", "likes", "reposts", "follows"):
+        one = _table(spark, job, record_type).groupBy("record_type").agg(F.count_distinct("uri").alias("n_uris"))
+        out = one if out is None else out.union(one)
+    return out.select(F.lit(",".join(reasons)).alias("reason"), "record_type", "n_uris")
+
+
 query(
     "ST3_per_window_dedup",
     duck(f"SELECT record_type, uri, {duck_stamp('first_seen')} AS first_seen FROM ({_STORED})", "collapsing_parsed"),

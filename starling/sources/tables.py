@@ -42,6 +42,21 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
 
 
+def file_listing(spark: SparkSession, path: str) -> DataFrame:
+    """(path, bytes, modified) of the files below a folder, listed by Spark; none when it is missing.
+
+    Hidden files are left out. No file is opened.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "path string, bytes long, modified timestamp")
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     fs, hadoop_path = _file_system(spark, path)
     return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0

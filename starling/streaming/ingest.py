@@ -26,7 +26,7 @@ from starling.operators.membership import window_dedupe
 from starling.sources import envelopes as E
 from starling.sources.tables import (
     DAY,
-    folder_bytes,
+    file_listing,
     list_names,
     path_exists,
     remove_path,
@@ -222,27 +222,55 @@ def flush_due(pending_bytes: int, age_seconds: float, max_bytes: int, max_age_se
     return "age" if age_seconds >= max_age_seconds else None
 
 
+#: The source forgets a landed file so long after it; older ones do not wait either.
+REMEMBERED = "90 days"
+
+
+def _one_form(path: Column) -> Column:
+    """A path as text, whichever number of slashes follows its scheme."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+
+def taken_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(path) of the landed files that the stream has taken into a batch, from its own log."""
+    log = f"{checkpoint.rstrip('/')}/sources/0"
+    if not path_exists(spark, log):
+        return spark.createDataFrame([], "path string")
+    # Compacted logs end in .compact; a log line is one file.
+    lines = spark.read.text(log).select(F.from_json("value", "path string").alias("entry"))
+    return lines.select(_one_form(F.col("entry.path")).alias("path")).filter("path IS NOT NULL").distinct()
+
+
+def waiting_files(spark: SparkSession, source: str, checkpoint: str) -> DataFrame:
+    """(path, bytes, modified) of the landed files that no batch has taken: a set, not a difference
+    of sizes, so files may be removed after their flush or land during one."""
+    landed = file_listing(spark, source).withColumn("path", _one_form(F.col("path")))
+    newest = landed.agg(F.max("modified")).scalar()
+    recent = landed.filter(F.col("modified") >= newest - F.expr(f"INTERVAL {REMEMBERED}"))
+    return recent.join(taken_files(spark, checkpoint), "path", "left_anti")
+
+
 def flush_windows(
     spark: SparkSession, source: str, job: IngestJob, checkpoint: str, max_bytes: int = C.FLUSH_BYTES,
     max_age_seconds: float = C.FLUSH_AGE.total_seconds(), poll_seconds: float = 5.0, stop: Callable[[], bool] = lambda: False,
 ) -> list[str]:
     """Flush landed files whenever `max_bytes` wait or the oldest has waited `max_age_seconds`.
 
-    A flush drains everything that waits, in batches of at most `max_bytes`, so a backlog
+    What waits is read from the folder and the stream's log at every poll, so a restart knows it
+    too. A flush drains everything that waits, in batches of at most `max_bytes`, so a backlog
     never outlives a flush. Returns the reasons of the flushes made until `stop` says so;
     what waits then is flushed too.
     """
     reasons: list[str] = []
-    done, since = 0, None
     while True:
         ending = stop()
-        pending = folder_bytes(spark, source) - done
-        since = None if pending <= 0 else since or time.monotonic()
-        age = 0.0 if since is None else time.monotonic() - since
-        reason = flush_due(pending, age, max_bytes, 0.0 if ending else max_age_seconds)
+        since = F.unix_micros("modified").cast("double") / 1e6
+        total = F.sum(F.greatest("bytes", F.lit(1)))
+        size, oldest = waiting_files(spark, source, checkpoint).agg(total, F.min(since)).first()
+        age = 0.0 if oldest is None else time.time() - oldest
+        reason = flush_due(size or 0, age, max_bytes, float("-inf") if ending else max_age_seconds)
         if reason:
             start_ingest(file_frames(spark, source, max_bytes), job, checkpoint, every=None).awaitTermination()
-            done, since = done + pending, None
             reasons.append(reason)
         elif ending:
             return reasons
@@ -252,7 +280,8 @@ def flush_windows(
 
 def file_frames(spark: SparkSession, path: str, max_bytes: int = C.FLUSH_BYTES) -> DataFrame:
     """Landed capture files as a stream; a batch admits at most `max_bytes` of them."""
-    return spark.readStream.option("maxBytesPerTrigger", str(max_bytes)).text(path)
+    reader = spark.readStream.option("maxBytesPerTrigger", str(max_bytes)).option("maxFileAge", REMEMBERED.replace(" days", "d"))
+    return reader.text(path)
 
 
 def deduplicated_stream(parsed: DataFrame, horizon: str = "21 days") -> DataFrame:

@@ -224,6 +224,32 @@ def test_flush_reasons():
     assert IN.flush_due(10, 9, 10, 5) == "size" and IN.flush_due(3, 5, 10, 5) == "age"
 
 
+def test_flushes_go_on_after_clean_up_and_restart(spark, tmp_path):
+    source, job, checkpoint = tmp_path / "in", IN.IngestJob(str(tmp_path / "out"), "run-1"), str(tmp_path / "check")
+
+    def run(polls, **limits):
+        left = [polls]
+
+        def stop():
+            left[0] -= 1
+            return left[0] < 0
+
+        return IN.flush_windows(spark, str(source), job, checkpoint, poll_seconds=0.2, stop=stop, **limits)
+
+    assert run(1) == []
+    capture(source, "a.jsonl", [like(f"a{i}") for i in range(50)])
+    assert run(1, max_bytes=1000) == ["size"]
+    (source / "a.jsonl").unlink()  # retention
+    capture(source, "b b.jsonl", [like("b")])
+    assert IN.waiting_files(spark, str(source), checkpoint).count() == 1
+    assert run(30, max_age_seconds=0.5) == ["age"]
+    assert IN.waiting_files(spark, str(source), checkpoint).count() == 0
+    capture(source, "c.jsonl", [like("c")])
+    assert run(0) == ["age"]  # what waits at the end is flushed
+    likes = spark.read.parquet(job.table("likes"))
+    assert likes.count() == likes.select("uri").distinct().count() == 52
+
+
 def test_checkpoint_identity_is_stable(spark, tmp_path):
     one = IN.checkpoint_identity(spark, str(tmp_path / "a"))
     assert one == IN.checkpoint_identity(spark, str(tmp_path / "a")) != IN.checkpoint_identity(spark, str(tmp_path / "b"))
