@@ -25,18 +25,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
-BASE = 0xD6E8FEB86659FD93
+STEP, LENGTH = U64(0xD6E8FEB86659FD93), U64(0xC2B2AE3D27D4EB4F)
+#: Places of words worked on at once.
 SEGMENT = 1 << 18
 
 
-def _powers(base: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.cumprod(np.concatenate([[U64(1)], np.full(SEGMENT, U64(base), U64)]), dtype=U64)
-
-
-POWERS, INVERSES = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
-
-
 def byte_table(members: bytes, inverse: bool = False) -> np.ndarray:
     table = np.zeros(256, bool)
     table[list(members)] = True
@@ -108,28 +101,28 @@ def byte_values(data: np.ndarray) -> np.ndarray:
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values_of=byte_values) -> np.ndarray:
-    """A 64-bit hash of each span, by polynomial prefix sums over segments of the data."""
-    out = np.empty(len(starts), U64)
-    at = 0
+    """A 64-bit hash of each span: the sum of one mixed number per (value, place in the span).
+
+    The numbers are unrelated, so no two words are bound to collide, as they are in a polynomial
+    modulo a power of two; a long span is summed in parts.
+    """
+    sizes = ends - starts
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    total = int(edges[-1])
+    out = np.zeros(len(starts), U64)
     with np.errstate(over="ignore"):
-        while at < len(starts):
-            origin = starts[at]
-            end = int(np.searchsorted(ends, origin + SEGMENT, side="right"))
-            if end <= at:  # a word longer than a segment, hashed by parts
-                total, length = U64(0), int(ends[at] - origin)
-                for part in range(int(origin), int(ends[at]), SEGMENT):
-                    values = values_of(data[part : min(part + SEGMENT, int(ends[at]))])
-                    total = mix(np.array([total * U64(BASE)]))[0] + (values * POWERS[: len(values)]).sum(dtype=U64)
-                out[at] = total ^ U64(length)
-                at += 1
-                continue
-            stop = int(ends[end - 1])
-            sums = np.zeros(stop - origin + 1, U64)
-            np.cumsum(values_of(data[origin:stop]) * POWERS[: stop - origin], out=sums[1:])
-            a, b = starts[at:end] - origin, ends[at:end] - origin
-            out[at:end] = (sums[b] - sums[a]) * INVERSES[a] + (b - a).astype(U64)
-            at = end
-    return mix(out)
+        for begin in range(0, total, SEGMENT):
+            end = min(begin + SEGMENT, total)
+            first = int(np.searchsorted(edges, begin, side="right")) - 1
+            last = int(np.searchsorted(edges, end, side="left"))
+            a, b = np.maximum(edges[first:last], begin), np.minimum(edges[first + 1 : last + 1], end)
+            laid = np.arange(begin, end)
+            place = laid - np.repeat(edges[first:last], b - a)
+            values = values_of(data[place + np.repeat(starts[first:last], b - a)])
+            sums = np.zeros(end - begin + 1, U64)
+            np.cumsum(mix(values + place.astype(U64) * STEP), out=sums[1:])
+            out[first:last] += sums[b - begin] - sums[a - begin]
+        return mix(out + sizes.astype(U64) * LENGTH)
 
 
 def gram_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:

@@ -8,7 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from starling.llm import exchange, words
-from starling.llm.letters import Words, gram_ends, padded
+from starling.llm.jaccard import jaccard_join
+from starling.llm.letters import Words, code_values, gram_ends, padded
+from starling.llm.lm_score import lm_scores
+from starling.llm.substring import dedup_substrings
 
 TEXTS = st.lists(st.none() | st.text("ab \n\té日\x00 ", max_size=30), max_size=8)
 
@@ -72,3 +75,31 @@ def test_letter_words_and_grams():
     grams = gram_ends(flat, 3)
     again = gram_ends(np.concatenate([[9, 9], flat]).astype(np.uint32), 3)
     assert (grams[2:] == again[4:]).all()
+
+
+def thue_morse(length: int) -> str:
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(length))
+
+
+def test_words_that_collide_in_polynomials_do_not_here():
+    for length in (64, 1024, 4096, 1 << 19):
+        word = thue_morse(length)
+        other = word.translate(str.maketrans("ab", "ba"))
+        data = np.frombuffer((word + other).encode(), np.uint8)
+        starts, ends = np.array([0, length]), np.array([length, 2 * length])
+        assert len(set(words.hash_spans(data, starts, ends).tolist())) == 2
+        assert len(set(words.hash_spans(data.astype(np.uint32), starts, ends, code_values).tolist())) == 2
+
+
+def test_no_window_or_shingle_is_shared_by_such_words(spark):
+    word = thue_morse(1024)
+    other = word.translate(str.maketrans("ab", "ba"))
+    tail = "b c d e f g h i j k l m"
+    docs = spark.createDataFrame([(1, f"{word} {tail}"), (2, f"{other} {tail}")], "doc_id long, text string")
+    assert [r.n_removed for r in dedup_substrings(docs).collect()] == [0, 0]
+    pair = spark.createDataFrame([(1, f"{word} x y"), (2, f"{other} x y")], "doc_id long, text string")
+    found = jaccard_join(pair, n=3, num=90, den=100).select("doc_id", "component_id")
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (2, 2)]
+    first = lm_scores(docs).filter("doc_id = 1").first()
+    twice = lm_scores(docs.union(docs.filter("doc_id = 1"))).filter("doc_id = 1").first()
+    assert first.log_score != twice.log_score
