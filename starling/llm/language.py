@@ -127,15 +127,16 @@ def fit(texts: dict[str, list[str]], order: int = ORDER) -> LanguageModel:
 
 
 def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, order: int = ORDER) -> LanguageModel | None:
-    """Fit on at most `rows` labelled rows of each language (those of smallest id hash).
+    """Fit on at most `rows` labelled texts of each language (those of smallest hash of id and text,
+    each once, however many rows repeat it).
 
     A quarter of them is kept back to fit the sharpness of the score and the limit of rejection.
     """
     known = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = smallest_hashes(known.select("doc_id", "lang"), "lang", F.lit(rows), rows)
-    chosen = known.select("doc_id", "lang", "text").join(
-        with_broadcast(ids.select("doc_id", "lang", "_rank").dropDuplicates(["doc_id", "lang"])), ["doc_id", "lang"]
-    )
+    known = known.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("_key"))
+    ids = smallest_hashes(known.select(F.col("_key").alias("doc_id"), "lang").distinct(), "lang", F.lit(rows), rows)
+    ids = ids.select(F.col("doc_id").alias("_key"), "lang", "_rank").dropDuplicates(["_key", "lang"])
+    chosen = known.join(with_broadcast(ids), ["_key", "lang"]).dropDuplicates(["_key", "lang"])
     sample = chosen.select("lang", "text", "_rank", "doc_id").toPandas().sort_values(["lang", "_rank", "doc_id", "text"])
     if sample.empty:
         return None

@@ -161,7 +161,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> ToxicityModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = SAMPLE_ROWS) -> ToxicityModel | None:
-    """Fit on at most `rows[label]` rows of each label (those of smallest id hash)."""
+    """Fit on at most `rows[label]` documents of each label (those of smallest id hash); of rows that
+    repeat a doc_id, the smallest text."""
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -170,7 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = SAMPLE_ROWS
     wanted = F.when(F.col("toxic") == 1, rows[1]).otherwise(rows[0])
     ids = smallest_hashes(known, "toxic", wanted, max(rows.values()))
     chosen = docs.select("doc_id", "text").filter("text IS NOT NULL")
-    sample = chosen.join(with_broadcast(ids.select("doc_id", "toxic")), "doc_id").toPandas().sort_values(["doc_id", "text"])
+    chosen = chosen.join(with_broadcast(ids.select("doc_id", "toxic")), "doc_id")
+    chosen = chosen.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sample = chosen.toPandas().sort_values(["doc_id", "text"])
     if sample["toxic"].nunique() < 2:
         return None
     return fit(list(sample["text"]), sample["toxic"].to_numpy())
