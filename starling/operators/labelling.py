@@ -11,13 +11,14 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling import constants as C
+from starling.functions.ranking import chunk_index
 from starling.operators.membership import filter_unlabeled
 from starling.session import durable
+from starling.sources.tables import path_exists
 
 Scorer = Callable[[list[str]], list[dict]]
 
@@ -61,9 +62,9 @@ def select_features(names: Sequence[str] | str | None) -> list[FeatureSpec]:
     return [FEATURES[n] for n in dict.fromkeys(wanted)]
 
 
-TAGGED_SCHEMA = "uri string, ok boolean, label string, error string, attempts int, task int, chunk bigint"
+TAGGED_SCHEMA = "uri string, ok boolean, label string, error string, attempts int, chunk bigint"
 
-TAGGED_COLUMNS = ["uri", "ok", "label", "error", "attempts", "task", "chunk"]
+TAGGED_COLUMNS = ["uri", "ok", "label", "error", "attempts", "chunk"]
 
 
 def _valid(label: object, spec: FeatureSpec) -> bool:
@@ -77,36 +78,32 @@ def score_chunks(
 ) -> DataFrame:
     """Every input (uri, text) exactly once, as a label or as an error.
 
-    A chunk that fails is tried again up to `retries` times; after that its uris carry the
-    error and the other chunks go on.
+    Chunks are runs of `chunk_size` rows in uri order, so a repeated task has the same ones. A chunk
+    that fails is tried again up to `retries` times; after that its uris carry the error and the
+    other chunks go on.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, task = 0, TaskContext.get().partitionId()
-        for batch in batches:
-            uris, texts = batch["uri"].tolist(), batch["text"].tolist()
-            out = []
-            for start in range(0, len(uris), chunk_size):
-                part = texts[start : start + chunk_size]
-                labels, error, tried = None, None, 0
-                while labels is None and tried <= retries:
-                    tried += 1
-                    try:
-                        got = scorer(part)
-                        if len(got) != len(part) or not all(_valid(g, spec) for g in got):
-                            raise ValueError("labels do not match the feature's schema")
-                        labels = got
-                    except Exception as problem:
-                        error = str(problem)
-                for i, uri in enumerate(uris[start : start + chunk_size]):
-                    if labels is None:
-                        out.append((uri, False, None, error, tried, task, number))
-                    else:
-                        out.append((uri, True, json.dumps(labels[i]), None, tried, task, number))
-                number += 1
-            yield pd.DataFrame(out, columns=TAGGED_COLUMNS)
-
-    return rows.select("uri", "text").mapInPandas(run, TAGGED_SCHEMA)
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("uri")
+        uris, texts, number = part["uri"].tolist(), part["text"].tolist(), int(part["chunk"].iloc[0])
+        labels, error, tried = None, None, 0
+        while labels is None and tried <= retries:
+            tried += 1
+            try:
+                got = scorer(texts)
+                if len(got) != len(texts) or not all(_valid(g, spec) for g in got):
+                    raise ValueError("labels do not match the feature's schema")
+                labels = got
+            except Exception as problem:
+                error = str(problem)
+        if labels is None:
+            out = [(uri, False, None, error, tried, number) for uri in uris]
+        else:
+            out = [(uri, True, json.dumps(label), None, tried, number) for uri, label in zip(uris, labels, strict=True)]
+        return pd.DataFrame(out, columns=TAGGED_COLUMNS)
+
+    chunked = chunk_index(rows.select("uri", "text"), chunk_size, ["uri"])
+    return chunked.groupBy("chunk").applyInPandas(run, TAGGED_SCHEMA)
 
 
 def label_rows(tagged: DataFrame, spec: FeatureSpec, label_timestamp: str) -> DataFrame:
@@ -120,7 +117,7 @@ def label_rows(tagged: DataFrame, spec: FeatureSpec, label_timestamp: str) -> Da
 def dead_letters(tagged: DataFrame, spec: FeatureSpec, stamp: str) -> DataFrame:
     """One record per failed chunk; a chunk holds at most `chunk_size` uris."""
     failed = tagged.filter(~F.col("ok"))
-    return failed.groupBy("task", "chunk").agg(
+    return failed.groupBy("chunk").agg(
         F.lit(spec.name).alias("feature"),
         F.sort_array(F.collect_list("uri")).alias("uris"),
         F.max("error").alias("error"),
@@ -147,12 +144,46 @@ def label_feature(
     return label_rows(tagged, spec, label_timestamp), dead_letters(tagged, spec, label_timestamp)
 
 
-def run_counts(tagged: DataFrame) -> DataFrame:
-    """Labeled rows, failed chunks and whether the pass completed."""
-    return tagged.agg(
-        F.count_if("ok").alias("labeled"),
-        F.count_distinct(F.when(~F.col("ok"), F.struct("task", "chunk"))).alias("failed_batches"),
-        F.lit(True).alias("completed"),
+def run_labelling(
+    records: DataFrame, spec: FeatureSpec, scorer: Scorer, root: str, label_timestamp: str, chunk_size: int = C.LABEL_CHUNK
+) -> DataFrame:
+    """One run over the records without a label: labels appended, failed chunks kept aside, a ledger last.
+
+    Below `root`/feature lie `labels` and `dead_letters`, each with a folder per run, and `ledger`
+    with a row per chunk. A run repeated before its ledger was written replaces its own folders; one
+    whose ledger is there is done, and its ledger is returned. The next run takes up what failed.
+    """
+    spark = records.sparkSession
+    base = f"{root.rstrip('/')}/{spec.name}"
+    ledger = f"{base}/ledger/run={label_timestamp.replace(':', '_')}"
+    if not path_exists(spark, f"{ledger}/_SUCCESS"):
+        schema = "uri string, label_timestamp string, " + ", ".join(f"{n} {t}" for n, t in spec.values.items())
+        labelled = spark.createDataFrame([], schema)
+        if path_exists(spark, f"{base}/labels"):
+            labelled = spark.read.schema(schema).parquet(f"{base}/labels")
+        # Labels of a run that stopped before its ledger are made anew.
+        todo = filter_unlabeled(records, "uri", labelled.filter(F.col("label_timestamp") != label_timestamp))
+        planned = -(-todo.count() // chunk_size)
+        tagged = durable(score_chunks(todo, spec, scorer, chunk_size))
+        name = ledger.rsplit("/", 1)[1]
+        label_rows(tagged, spec, label_timestamp).write.mode("overwrite").parquet(f"{base}/labels/{name}")
+        dead_letters(tagged, spec, label_timestamp).write.mode("overwrite").parquet(f"{base}/dead_letters/{name}")
+        chunk_ledger(tagged, planned).write.mode("overwrite").parquet(ledger)
+    return spark.read.parquet(ledger)
+
+
+def chunk_ledger(tagged: DataFrame, planned: int) -> DataFrame:
+    """(chunk, rows, ok, attempts, planned): what became of every chunk, and how many the run had."""
+    chunks = tagged.groupBy("chunk").agg(F.count("*").alias("rows"), F.bool_and("ok").alias("ok"), F.max("attempts").alias("attempts"))
+    return chunks.withColumn("planned", F.lit(planned).cast("bigint"))
+
+
+def run_counts(ledger: DataFrame) -> DataFrame:
+    """Labeled rows, failed chunks, and whether every planned chunk was seen."""
+    return ledger.agg(
+        F.coalesce(F.sum(F.when(F.col("ok"), F.col("rows"))), F.lit(0).cast("bigint")).alias("labeled"),
+        F.count_if(~F.col("ok")).alias("failed_batches"),
+        F.coalesce(F.count("*") == F.max("planned"), F.lit(True)).alias("completed"),
     )
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from starling import constants as C
 from starling.functions import text as X
+from starling.functions.plan import salted_semi_join
 from starling.operators import accounts as A
 from starling.operators import calllog as CL
-from starling.functions.plan import salted_semi_join
 from starling.operators import cohort as CO
 from starling.operators import diversity as D
 from starling.operators import graph as G
@@ -19,6 +19,7 @@ from starling.plans import views as VW
 from starling.plans.ingest_queries import event_log, parsed
 from starling.plans.registry import big, duck_stamp, query, stamp
 from starling.plans.views import duck
+from starling.session import scratch_path
 from starling.streaming import microwindow as MW
 
 # -- accounts ---------------------------------------------------------------------
@@ -923,26 +924,44 @@ def length_scorer(texts: list[str]) -> list[dict]:
     return [{"category": "news" if len(t) >= 200 else "opinion"} for t in texts]
 
 
-def _tagged(spark, sf, chunk):
-    rows = VW.posts(spark, sf).select("uri", "text")
-    return LB.score_chunks(rows, LB.FEATURES["is_news_or_opinion"], length_scorer, chunk_size=chunk)
+def patient_scorer(texts: list[str]) -> list[dict]:
+    """The stand-in model once it takes long texts too."""
+    return [{"category": "news" if len(t) >= 200 else "opinion"} for t in texts]
+
+
+_STAMPS = ("2024_02_01-00:00:00", "2024_02_02-00:00:00")
+_CHUNKS = (
+    "SELECT uri, text, chunk, bool_or(length(text) > 3000) OVER (PARTITION BY chunk) AS failed, count(*) OVER (PARTITION BY chunk) AS n "
+    f"FROM (SELECT uri, text, (row_number() OVER (ORDER BY uri) - 1) // {C.LABEL_CHUNK} AS chunk FROM v_posts)"
+)
+
+
+def _label(spark, sf, *scorers):
+    """A labelling run per scorer, one day after the other, into the same tables; their folder and last ledger."""
+    root, ledger = scratch_path(spark, "labelling"), None
+    for scorer, at in zip(scorers, _STAMPS, strict=False):
+        records = VW.posts(spark, sf).select("uri", "text")
+        ledger = LB.run_labelling(records, LB.FEATURES["is_news_or_opinion"], scorer, root, at)
+    return f"{root}/is_news_or_opinion", ledger
 
 
-@query("U1_label_feature", duck("SELECT uri, '2024_02_01-00:00:00' AS label_timestamp, CASE WHEN length(text) >= 200 THEN 'news' ELSE 'opinion' END AS category FROM v_posts WHERE length(text) <= 3000", "posts"))
+@query("U1_label_feature", duck(f"SELECT uri, CASE WHEN failed THEN '{_STAMPS[1]}' ELSE '{_STAMPS[0]}' END AS label_timestamp, CASE WHEN length(text) >= 200 THEN 'news' ELSE 'opinion' END AS category FROM ({_CHUNKS})", "posts"))
 def label_feature(spark, sf):
-    return LB.label_rows(_tagged(spark, sf, 1), LB.FEATURES["is_news_or_opinion"], "2024_02_01-00:00:00")
+    """Two runs: chunks that failed in the first, and only those, are labelled by the second."""
+    base, _ = _label(spark, sf, length_scorer, patient_scorer)
+    return spark.read.parquet(f"{base}/labels").select("uri", "label_timestamp", "category")
 
 
-@query("U2_retry_then_deadletter", duck("SELECT uri, 4 :: BIGINT AS attempts, 'text too long' AS error FROM v_posts WHERE length(text) > 3000", "posts"))
+@query("U2_retry_then_deadletter", duck(f"SELECT uri, chunk, 4 :: BIGINT AS attempts, 'text too long' AS error FROM ({_CHUNKS}) WHERE failed", "posts"))
 def dead_letters(spark, sf):
-    tagged = _tagged(spark, sf, 1)
-    letters = LB.dead_letters(tagged, LB.FEATURES["is_news_or_opinion"], "2024_02_01-00:00:00")
-    return letters.select(F.explode("uris").alias("uri"), big("attempts").alias("attempts"), "error")
+    base, _ = _label(spark, sf, length_scorer)
+    letters = spark.read.parquet(f"{base}/dead_letters")
+    return letters.select(F.explode("uris").alias("uri"), "chunk", big("attempts").alias("attempts"), "error")
 
 
-@query("U7_feature_run_counts", duck("SELECT count_if(length(text) <= 3000) AS labeled, count_if(length(text) > 3000) AS failed_batches, true AS completed FROM v_posts", "posts"))
+@query("U7_feature_run_counts", duck(f"SELECT count_if(NOT failed) AS labeled, count(DISTINCT CASE WHEN failed THEN chunk END) AS failed_batches, true AS completed FROM ({_CHUNKS})", "posts"))
 def run_counts(spark, sf):
-    return LB.run_counts(_tagged(spark, sf, 1))
+    return LB.run_counts(_label(spark, sf, length_scorer)[1])
 
 
 def even_requester(texts: list[str]) -> list[str | None]:

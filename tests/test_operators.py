@@ -1,5 +1,6 @@
 """Pinned cases of filters, membership, rules, ranks, graphs, windows and upkeep."""
 
+import shutil
 import math
 import random
 from datetime import datetime
@@ -438,6 +439,26 @@ def test_every_input_is_labelled_or_dead(spark):
     assert {r["uri"] for r in again.collect()} == set(letter["uris"])
 
 
+def test_labelling_runs_resume_and_take_up_what_failed(spark, tmp_path):
+    rows = spark.createDataFrame([(f"u{i:02}", "bad" if i in (5, 6, 13) else "text") for i in range(20)], "uri string, text string").repartition(5)
+    spec, base = LB.FEATURES["is_political"], tmp_path / "is_political"
+    ledger = LB.run_labelling(rows, spec, flaky, str(tmp_path), "t1", chunk_size=4)
+    assert LB.run_counts(ledger).first()[:] == (12, 2, True)
+    before = sorted(map(tuple, ledger.collect()))
+    # A run that ended before its ledger does its own rows again; one with a ledger does nothing.
+    shutil.rmtree(base / "ledger")
+    assert sorted(map(tuple, LB.run_labelling(rows, spec, flaky, str(tmp_path), "t1", chunk_size=4).collect())) == before
+    calm = lambda texts: [{"is_political": True} for _ in texts]
+    assert sorted(map(tuple, LB.run_labelling(rows, spec, calm, str(tmp_path), "t1", chunk_size=4).collect())) == before
+    second = LB.run_labelling(rows, spec, calm, str(tmp_path), "t2", chunk_size=4)
+    assert LB.run_counts(second).first()[:] == (8, 0, True)
+    labels = spark.read.parquet(str(base / "labels"))
+    assert labels.count() == labels.select("uri").distinct().count() == 20
+    assert {r["uri"] for r in labels.filter("label_timestamp = 't2'").collect()} == {f"u{i:02}" for i in (4, 5, 6, 7, 12, 13, 14, 15)}
+    none = LB.run_labelling(rows, spec, calm, str(tmp_path), "t3", chunk_size=4)
+    assert LB.run_counts(none).first()[:] == (0, 0, True)
+
+
 def test_out_of_domain_labels_fail(spark):
     rows = spark.createDataFrame([("u", "t")], "uri string, text string")
     tagged = LB.score_chunks(rows, LB.FEATURES["political_stance"], lambda texts: [{"political_stance": "up"} for _ in texts])
