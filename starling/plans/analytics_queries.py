@@ -691,7 +691,6 @@ def flush_summary(spark, sf):
 
 
 query("A11_flush_summary", _FLUSH_SQL)(flush_summary)
-query("ST11_flush_log_line", _FLUSH_SQL)(flush_summary)
 
 
 @query("A12_ingest_totals", duck(f"SELECT record_type, count(*) AS n_rows, round(sum(row_size) / 1e9, 6) AS gb, count_if(row_size % 2 = 0) AS dead_letters, count_if(row_size % 5 = 0) AS dropped FROM ({_FLUSH}) GROUP BY ROLLUP (record_type)", "stored"))

@@ -6,6 +6,7 @@ the shared checkpoint location and returns what a reader of that folder sees.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from starling.session import scratch_path
 from starling.sources import stages as ST
 from starling.sources import tables as TB
 from starling.streaming import ingest as IN
+from starling.streaming import metrics as SM
 
 
 def _posts(spark, sf):
@@ -408,3 +410,40 @@ def stream_gauges(spark, sf):
     return IN.gauges(spark, job.root, now).select(
         "cursor_us", "lag_seconds", "rows_written", "dead_letters", "dropped", "flushes"
     )
+
+
+@query(
+    "ST10_stream_listener",
+    duck("SELECT 1 :: BIGINT AS batches, (SELECT count(*) FROM events) AS frames, true AS bytes_exact, 1 :: BIGINT AS ends, 1 :: BIGINT AS disconnects, 'going away' AS last_reason, (SELECT max(time_us) FROM v_collapsing_parsed) AS cursor_us", "collapsing_parsed"),
+)
+def stream_listener(spark, sf):
+    """Frames and bytes of a stream from its listener, then a run that ends by a lost connection."""
+    job = IN.IngestJob(scratch_path(spark, "listener"), "run-1", name="listened")
+    frames = stream_frames(spark, sf)
+    lost = frames.select(F.raise_error(F.lit("jetstream disconnected: going away")).cast("string").alias("value"))
+    with SM.measured(spark, job.root, job.name):
+        IN.start_ingest(SM.observed(frames), job, f"{job.root}/_checkpoint", every=None).awaitTermination()
+        try:
+            IN.start_ingest(SM.observed(lost), job, f"{job.root}/_second", every=None).awaitTermination()
+        except StreamingQueryException:
+            pass
+    events = spark.read.schema(STREAM_SCHEMA).parquet(f"{sf}/events.parquet")
+    sent = VW.frames_of(events, F.col("event_id") % 7).agg(F.sum(F.octet_length("value"))).scalar()
+    totals = SM.stream_totals(spark, job.root, job.name).withColumn("bytes_exact", F.col("bytes") == sent).drop("bytes")
+    return totals.withColumn("cursor_us", F.lit(IN.read_cursor(spark, job.root, job.name)).cast("bigint"))
+
+
+_LOGGED = ", ".join(f"count_if(record_type = '{t}') AS {t}_rows" for t in ("posts", "likes", "reposts", "follows"))
+
+
+@query("ST11_flush_log_line", duck(f"SELECT 'run-1' AS run_id, {_LOGGED}, count(*) AS total_rows, 0 :: BIGINT AS dead_letters, 0 :: BIGINT AS dropped, 'age' AS reason, true AS sized FROM ({_STORED})", "collapsing_parsed"))
+def flush_log(spark, sf):
+    """The line that the stream itself wrote about its flush."""
+    job = IN.IngestJob(scratch_path(spark, "flush-log"), "run-1")
+    run_stream(spark, sf, job)
+    log = spark.read.parquet(f"{job.root}/_flush_log")
+    sized = F.col("total_mb") > 0
+    return log.select(
+        "run_id", "posts_rows", "likes_rows", "reposts_rows", "follows_rows", "total_rows", "dead_letters", "dropped", "reason",
+        sized.alias("sized"),
+    )

@@ -10,6 +10,7 @@ from starling.operators import maintain as MT
 from starling.sources import stages as ST
 from starling.sources import tables as TB
 from starling.streaming import ingest as IN
+from starling.streaming import metrics as SM
 from tests.test_parsing import TIME_US, frame
 
 
@@ -250,6 +251,28 @@ def test_flushes_go_on_after_clean_up_and_restart(spark, tmp_path):
     assert likes.count() == likes.select("uri").distinct().count() == 52
 
 
+def test_listener_counts_what_a_stream_received(spark, tmp_path):
+    source, job = tmp_path / "in", IN.IngestJob(str(tmp_path / "out"), "run-1", name="counted")
+    sizes = 0
+    with SM.measured(spark, job.root, job.name) as listener:
+        for name, lines in (("a.jsonl", [like("a"), frame(), "broken"]), ("b.jsonl", [like("b")])):
+            capture(source, name, lines)
+            sizes += sum(len(x.encode()) for x in lines)
+            stream = SM.observed(IN.file_frames(spark, str(source)))
+            IN.start_ingest(stream, job, f"{job.root}/_checkpoint", every=None).awaitTermination()
+    listener._add("again", "batch", 7, 1, 1)
+    listener._add("again", "batch", 7, 2, 10)
+    assert listener.errors == []
+    totals = SM.stream_totals(spark, job.root, job.name).first()
+    assert tuple(totals) == (3, 6, sizes + 10, 2, 0, None)
+    assert SM.stream_totals(spark, job.root, "other").first()["frames"] == 0
+
+
+def test_disconnect_reasons():
+    told = "x jetstream disconnected: going away SQLSTATE: P0001\n at y"
+    assert SM.REASON.search(told)[1] == "going away" and SM.REASON.search("jetstream disconnected: reset")[1] == "reset"
+
+
 def test_checkpoint_identity_is_stable(spark, tmp_path):
     one = IN.checkpoint_identity(spark, str(tmp_path / "a"))
     assert one == IN.checkpoint_identity(spark, str(tmp_path / "a")) != IN.checkpoint_identity(spark, str(tmp_path / "b"))
