@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.llm.common import text_bytes
+from starling.llm.exchange import pack_counts, unpack_counts
 from starling.llm.registry import query
 
 #: Characters of a unit that the relational lattice takes; its rows carry their unit.
@@ -179,8 +180,12 @@ def _unpack_units(blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-def _slice_of(unit: bytes, slices: int) -> int:
-    return zlib.crc32(unit) % slices
+def _dealt(units: Iterable[str], slices: int) -> list[list[tuple[bytes, int]]]:
+    """(unit, its place in `units`) by slice, sorted; both ends of the exchange deal alike."""
+    parts: list[list[tuple[bytes, int]]] = [[] for _ in range(slices)]
+    for pair in sorted((unit.encode(), k) for k, unit in enumerate(units)):
+        parts[zlib.crc32(pair[0]) % slices].append(pair)
+    return parts
 
 
 def _apart(unit: str, joined: frozenset[str]) -> list[str]:
@@ -221,6 +226,24 @@ def _fold(unit: str, table: dict[str, tuple[int, float]], longest: int, byte_zer
     return out[::-1]
 
 
+class Numbered(dict):
+    """Unit -> number, in the order of first sight."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
+def _pack_ids(sizes: np.ndarray, ids: np.ndarray) -> bytes:
+    head = pack_counts(sizes)
+    return len(head).to_bytes(4, "little") + head + zstandard.compress(ids.tobytes(), 3)
+
+
+def _unpack_ids(blob: bytes, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    end = 4 + int.from_bytes(blob[:4], "little")
+    return unpack_counts(blob[4:end]).astype(np.int64), np.frombuffer(zstandard.decompress(blob[end:]), kind)
+
+
 def _texts(ids: pa.ListArray, meaning: pa.Array) -> pa.Array:
     """The text of every list of ids; `meaning` ends with what other ids stand for."""
     last = len(meaning) - 1
@@ -256,6 +279,7 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
     split = unit_pattern(table).findall
     kind = dict(docs.dtypes)["doc_id"]
     slices = layout.slices
+    number = "<u2" if len(stands_for) <= 1 << 16 else "<u4"
 
     def ordered(table: pa.Table) -> pa.Table:
         return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -264,15 +288,13 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
         found: set[str] = set()
         for text in unpacked(table).column("text").to_pylist():
             found.update(_units(text, split, joined))
-        parts: list[list[bytes]] = [[] for _ in range(slices)]
-        for unit in sorted(u.encode() for u in found):
-            parts[_slice_of(unit, slices)].append(unit)
+        parts = _dealt(found, slices)
         used = [k for k, part in enumerate(parts) if part]
         return pa.table(
             {
                 "slice": pa.array(used, pa.int32()),
                 "bundle": pa.array([table.column("bundle")[0].as_py()] * len(used), pa.int32()),
-                "units": pa.array([_pack_units(parts[k]) for k in used], pa.binary()),
+                "units": pa.array([_pack_units([unit for unit, _ in parts[k]]) for k in used], pa.binary()),
             }
         )
 
@@ -299,10 +321,10 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
         lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         sizes, begins = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
         sizes[at], begins[at] = lengths, np.cumsum(lengths) - lengths
-        flats = [column.flatten().to_numpy(zero_copy_only=False).astype("<u4")]
+        flats = [column.flatten().to_numpy(zero_copy_only=False).astype(number)]
         end = len(flats[0])
         for k in np.flatnonzero(sizes == 0):  # longer than LONG
-            own = np.array(_fold(units[k].decode(), scored.value, longest, byte_zero, worst), "<u4")
+            own = np.array(_fold(units[k].decode(), scored.value, longest, byte_zero, worst), number)
             flats.append(own)
             sizes[k], begins[k] = len(own), end
             end += len(own)
@@ -312,35 +334,32 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
             own = sizes[at]
             before = np.cumsum(own) - own
             ids = flat[np.arange(own.sum()) + np.repeat(begins[at] - before, own)]
-            blobs.append(zstandard.compress(own.astype("<u4").tobytes() + ids.tobytes(), 3))
+            blobs.append(_pack_ids(own, ids))
         return pa.table(
-            {
-                "bundle": asked.column("bundle"),
-                "units": asked.column("units"),
-                "ids": pa.array(blobs, pa.binary()),
-            }
+            {"bundle": asked.column("bundle"), "slice": asked.column("slice"), "ids": pa.array(blobs, pa.binary())}
         )
 
     def apply(texts: pa.Table, answers: pa.Table) -> pa.Table:
         texts = ordered(unpacked(texts))
-        place: dict[str, int] = {}
-        flats, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for units, ids in zip(answers.column("units").to_pylist(), answers.column("ids").to_pylist(), strict=True):
-            names = _unpack_units(units)
-            raw = zstandard.decompress(ids)
-            sizes = np.frombuffer(raw, "<u4", len(names))
-            flats.append(np.frombuffer(raw, "<u4", offset=4 * len(names)).astype(np.int32))
-            counts.append(sizes.astype(np.int64))
-            for name in names:
-                place[name.decode()] = len(place)
-        flat, edges = np.concatenate(flats), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-        find, out, bounds = place.__getitem__, [], [0]
+        place = Numbered()
+        find = place.__getitem__
+        seen = []
         for text in texts.column("text").to_pylist():
             own = _units(text, split, joined)
-            at = np.fromiter(map(find, own), np.int64, len(own))
-            sizes = edges[at + 1] - edges[at]
-            before = np.cumsum(sizes) - sizes
-            out.append(flat[np.arange(sizes.sum()) + np.repeat(edges[at] - before, sizes)])
+            seen.append(np.fromiter(map(find, own), np.int32, len(own)))
+        # The answers come by slice, in the order in which this bundle asked.
+        order = np.array([k for part in _dealt(place, slices) for _, k in part], np.int64)
+        blobs = answers.sort_by([("slice", "ascending")]).column("ids").to_pylist()
+        parts = [_unpack_ids(blob, number) for blob in blobs]
+        lengths = np.concatenate([np.zeros(0, np.int64), *[part[0] for part in parts]])
+        flat = np.concatenate([np.zeros(0, np.int32), *[part[1].astype(np.int32) for part in parts]])
+        sizes, begins = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        sizes[order], begins[order] = lengths, np.cumsum(lengths) - lengths
+        out, bounds = [], [0]
+        for at in seen:
+            own = sizes[at]
+            before = np.cumsum(own) - own
+            out.append(flat[np.arange(own.sum()) + np.repeat(begins[at] - before, own)])
             bounds.append(bounds[-1] + len(out[-1]))
         ids = pa.ListArray.from_arrays(
             pa.array(np.array(bounds, np.int32)), pa.array(np.concatenate([*out, np.zeros(0, np.int32)]))
@@ -381,7 +400,7 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
     answers = (
         asked.groupBy("slice")
         .cogroup(known.groupBy("slice"))
-        .applyInArrow(reply, "bundle int, units binary, ids binary")
+        .applyInArrow(reply, "bundle int, slice int, ids binary")
     )
     schema = f"doc_id {kind}, text string, ids array<int>" + (f", `{decoded}` string" if decoded else "")
     return rows.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(apply, schema)
