@@ -16,7 +16,7 @@ from starling.llm.common import saved
 from starling.llm.decontaminate import clean_documents
 from starling.llm.jaccard import one_per_group
 from starling.llm.quality import kept_documents
-from starling.llm.sentencepiece import decode, encode
+from starling.llm.sentencepiece import encode
 from starling.llm.substring import dedup_substrings
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -56,9 +56,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece_codes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_ids, ids, round_trip): the piece ids of every document."""
-    model = piece_model()
-    # Written in between, so that a task runs one Python worker at a time.
-    coded = decode(saved(encode(docs.select("doc_id", "text"), model), "encoded"), model)
+    coded = encode(docs.select("doc_id", "text"), piece_model(), decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),
