@@ -26,7 +26,9 @@ import math
 import re
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -180,12 +182,12 @@ def _unpack_units(blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-def _dealt(units: Iterable[str], slices: int) -> list[list[tuple[bytes, int]]]:
-    """(unit, its place in `units`) by slice, sorted; both ends of the exchange deal alike."""
-    parts: list[list[tuple[bytes, int]]] = [[] for _ in range(slices)]
-    for pair in sorted((unit.encode(), k) for k, unit in enumerate(units)):
-        parts[zlib.crc32(pair[0]) % slices].append(pair)
-    return parts
+def _dealt(units: Iterable[str], slices: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(sorted units, their places by slice, where each slice begins there); both ends of the exchange deal alike."""
+    names = sorted(units)
+    parts = np.fromiter((zlib.crc32(name.encode()) % slices for name in names), np.int64, len(names))
+    order = np.argsort(parts, kind="stable")
+    return names, order, np.searchsorted(parts[order], np.arange(slices + 1))
 
 
 def _apart(unit: str, joined: frozenset[str]) -> list[str]:
@@ -226,14 +228,6 @@ def _fold(unit: str, table: dict[str, tuple[int, float]], longest: int, byte_zer
     return out[::-1]
 
 
-class Numbered(dict):
-    """Unit -> number, in the order of first sight."""
-
-    def __missing__(self, unit: str) -> int:
-        self[unit] = number = len(self)
-        return number
-
-
 def _pack_ids(sizes: np.ndarray, ids: np.ndarray) -> bytes:
     head = pack_counts(sizes)
     return len(head).to_bytes(4, "little") + head + zstandard.compress(ids.tobytes(), 3)
@@ -288,13 +282,14 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
         found: set[str] = set()
         for text in unpacked(table).column("text").to_pylist():
             found.update(_units(text, split, joined))
-        parts = _dealt(found, slices)
-        used = [k for k, part in enumerate(parts) if part]
+        names, order, begins = _dealt(found, slices)
+        used = np.flatnonzero(np.diff(begins)).tolist()
+        packed = [_pack_units([names[i].encode() for i in order[begins[k] : begins[k + 1]]]) for k in used]
         return pa.table(
             {
                 "slice": pa.array(used, pa.int32()),
                 "bundle": pa.array([table.column("bundle")[0].as_py()] * len(used), pa.int32()),
-                "units": pa.array([_pack_units([unit for unit, _ in parts[k]]) for k in used], pa.binary()),
+                "units": pa.array(packed, pa.binary()),
             }
         )
 
@@ -341,14 +336,15 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
 
     def apply(texts: pa.Table, answers: pa.Table) -> pa.Table:
         texts = ordered(unpacked(texts))
-        place = Numbered()
+        place: dict[str, int] = defaultdict(count().__next__)  # by first sight
         find = place.__getitem__
         seen = []
         for text in texts.column("text").to_pylist():
             own = _units(text, split, joined)
             seen.append(np.fromiter(map(find, own), np.int32, len(own)))
         # The answers come by slice, in the order in which this bundle asked.
-        order = np.array([k for part in _dealt(place, slices) for _, k in part], np.int64)
+        names, order, _ = _dealt(place, slices)
+        order = np.fromiter(map(find, names), np.int64, len(names))[order]
         blobs = answers.sort_by([("slice", "ascending")]).column("ids").to_pylist()
         parts = [_unpack_ids(blob, number) for blob in blobs]
         lengths = np.concatenate([np.zeros(0, np.int64), *[part[0] for part in parts]])
