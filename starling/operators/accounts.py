@@ -164,6 +164,13 @@ def latest_per_user(
     return top_n(rows, [user], order, n, "position")
 
 
+def latest_posts_per_user(
+    posts: DataFrame, user: str, order: Sequence[Column], reply_to: str, n: int = C.USER_FEED_ITEMS
+) -> DataFrame:
+    """Each user's newest `n` posts that answer no other post; replies take no places."""
+    return latest_per_user(posts.filter(F.col(reply_to).isNull()), user, order, n)
+
+
 def liked_posts_lookup(likes: DataFrame, posts: DataFrame, n: int = C.USER_FEED_ITEMS) -> DataFrame:
     """Each user's newest `n` likes resolved to their posts; unresolved likes drop out."""
     newest = top_n(likes, ["author_id"], [F.desc("created_at"), F.desc("like_id")], n, "position")

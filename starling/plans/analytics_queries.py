@@ -20,6 +20,7 @@ from starling.plans.ingest_queries import event_log, parsed
 from starling.plans.registry import big, duck_stamp, query, stamp
 from starling.plans.views import duck
 from starling.session import scratch_path
+from starling.sources import envelopes as E
 from starling.streaming import microwindow as MW
 
 # -- accounts ---------------------------------------------------------------------
@@ -165,7 +166,20 @@ def _latest(name: str, event_type: str) -> None:
 
 _latest("W6_latest_25_likes_per_user", "click")
 _latest("W6_latest_25_reposts_per_user", "view")
-_latest("W6_latest_25_posts_per_user", "purchase")
+
+
+@query(
+    "W6_latest_25_posts_per_user",
+    duck(
+        f"SELECT did, uri, {duck_stamp('created_at')} AS created, row_number() OVER (PARTITION BY did ORDER BY created_at DESC, uri) AS position "
+        "FROM v_stored WHERE record_type = 'posts' AND reply_parent_uri IS NULL QUALIFY position <= 25",
+        "stored",
+    ),
+)
+def latest_posts(spark, sf):
+    posts = E.rows_of(parsed(spark, sf), "posts").select("did", "uri", "created_at", "reply_parent_uri")
+    latest = A.latest_posts_per_user(posts, "did", [F.desc("created_at"), F.col("uri")], "reply_parent_uri")
+    return latest.select("did", "uri", stamp("created_at").alias("created"), big("position").alias("position"))
 
 
 @query(

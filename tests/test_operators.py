@@ -477,3 +477,11 @@ def test_score_batches_retries_failed_items_only(spark):
     assert {r["uri"]: (r["response"], r["attempts"]) for r in got.collect()} == {"a": ("x", 1), "b": (None, 4), "c": ("yy", 1)}
     short = LB.score_batches(rows, lambda texts: texts[:1] if len(texts) > 1 else texts)
     assert all(r["response"] is None and r["attempts"] == 4 for r in short.collect())
+
+
+def test_latest_posts_leave_replies_out(spark):
+    rows = [("a", f"p{k}", k, "at://parent" if k % 2 else None) for k in range(8)] + [("b", "q", 1, "at://parent")]
+    posts = spark.createDataFrame(rows, "did string, uri string, at int, reply_parent_uri string")
+    order = [F.desc("at"), F.col("uri")]
+    got = A.latest_posts_per_user(posts, "did", order, "reply_parent_uri", 3).collect()
+    assert sorted((r.did, r.position, r.uri) for r in got) == [("a", 1, "p6"), ("a", 2, "p4"), ("a", 3, "p2")]
