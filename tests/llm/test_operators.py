@@ -380,6 +380,13 @@ def test_sentencepiece_long_runs(spark, small_bundles):
         assert sum(score.get(i, worst - 10) for i in r.ids) == pytest.approx(best, abs=1e-6), r.doc_id
 
 
+def test_sentencepiece_units_cut_where_no_piece_reaches():
+    split = sentencepiece.unit_pattern([" the", "th", "he", "!=", "  ", "1", "é"]).findall
+    assert split(" the!=the 11  é\nthe  ") == [" the", "!=", "the", " 1", "1", "  é", "\n", "the", "  "]
+    with pytest.raises(ValueError):
+        sentencepiece.unit_pattern(["a b"])
+
+
 def test_language(spark):
     parts = {"xx": "ab ba bab abba", "yy": "cd dc dcd cddc", "zz": "éf fé éfé"}
     rng = random.Random(1)
