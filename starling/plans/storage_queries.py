@@ -6,16 +6,22 @@ the shared checkpoint location and returns what a reader of that folder sees.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starling import constants as C
+from starling.operators import expiry as EX
+from starling.operators import landing as LZ
 from starling.operators import maintain as MT
+from starling.operators import records as R
 from starling.plans import views as VW
 from starling.plans.ingest_queries import event_log, parsed
-from starling.plans.registry import duck_stamp, query, stamp
+from starling.plans.registry import big, duck_stamp, query, stamp
 from starling.plans.views import duck
-from starling.session import scratch_path
+from starling.session import durable, scratch_path, written
 from starling.sources import stages as ST
 from starling.sources import tables as TB
 from starling.streaming import ingest as IN
@@ -218,6 +224,97 @@ def maintenance_result(spark, sf):
     return report.select("table_name", "failed", F.when(F.col("failed"), F.lit(0)).otherwise(size).alias("n_rows"))
 
 
+# -- landing zone, old runs and strays ----------------------------------------------------
+
+
+def _repo_rows(spark, sf):
+    rows = R.classify_records(VW.repo_records(spark, sf)).filter("output <> 'profile'")
+    return written(rows.select("did", F.col("output").alias("record_type"), "uri", "cid", "rev"), "repo-rows")
+
+
+def _land_after_stop(spark, sf, step: str) -> tuple[str, list[dict[str, int]]]:
+    """The landing zone of all repos, whose first run stops after `step`, and what each later run says."""
+    root = scratch_path(spark, "landing")
+    users, rows = VW.bundles(spark, sf), _repo_rows(spark, sf)
+    try:
+        LZ.land(users, rows, root, "run-1", 200, after=_stop_after(step))
+    except Stopped:
+        pass
+    return root, [LZ.land(users, rows, root, run, 200) for run in ("run-2", "run-3")]
+
+
+_PER_USER = ", ".join(f"count(*) FILTER (WHERE r.tracked = '{t}') AS {t}" for t in C.RECORD_TYPES)
+_BATCHES = "SELECT did, error, (row_number() OVER (ORDER BY did) - 1) // 200 + 1 AS batch_id FROM v_bundles"
+
+
+@query(
+    "S12_landing_zone_batches",
+    duck(
+        f"SELECT u.did, u.batch_id, u.error, {_PER_USER}, 'run-2' AS run_id, count(r.did) AS rows_read, 0 :: BIGINT AS written_again FROM ({_BATCHES}) u LEFT JOIN v_repo r ON u.did = r.did GROUP BY 1, 2, 3",
+        "repo", "bundles",
+    ),
+)
+def landing_zone(spark, sf):
+    """A first run that stops before its manifest, one that lands all, and one that finds nothing to do."""
+    root, (_, again) = _land_after_stop(spark, sf, "rows")
+    rows = LZ.landed(spark, root).groupBy("did", "batch_id").agg(F.count("*").alias("rows_read"))
+    listed = LZ.manifest(spark, root).drop("attempt")
+    return listed.join(rows, ["did", "batch_id"], "left").fillna(0, ["rows_read"]).withColumn(
+        "written_again", F.lit(again["written"]).cast("bigint")
+    )
+
+
+@query(
+    "M5_expire_runs",
+    duck(
+        "SELECT dataset_id, runs_before, 1 :: BIGINT AS runs_after, runs_before - 1 AS expired, kept_run, n_rows, true AS bytes_agree FROM "
+        "(SELECT lang AS dataset_id, count(DISTINCT run_dir) AS runs_before, max(run_dir) AS kept_run, max_by(n, run_dir) AS n_rows FROM "
+        "(SELECT lang, run_dir, count(*) AS n FROM v_post_runs GROUP BY 1, 2) GROUP BY 1)",
+        "post_runs",
+    ),
+)
+def expire_runs(spark, sf):
+    """Runs of each dataset written to storage, all but the newest removed, and what a reader sees then."""
+    root = scratch_path(spark, "runs")
+    rows = VW.post_runs(spark, sf).select("uri", "text", F.col("lang").alias("dataset_id"), "run_dir")
+    rows.write.partitionBy("dataset_id", "run_dir").parquet(root)
+    before = TB.file_listing(spark, root).agg(F.sum("bytes")).first()[0]
+    report = EX.expire_runs(spark, root, delete=True)
+    after = TB.file_listing(spark, root).agg(F.sum("bytes")).first()[0]
+    freed = report.agg(F.sum("expired_bytes")).first()[0]
+    left = spark.read.schema("uri string, text string, dataset_id string, run_dir string").parquet(root)
+    counts = left.groupBy("dataset_id").agg(F.count("*").alias("n_rows"))
+    return report.join(counts, "dataset_id").select(
+        "dataset_id", "runs_before", "runs_after", "expired", "kept_run", "n_rows",
+        F.lit(0 < freed == before - after).alias("bytes_agree"),
+    )
+
+
+@query(
+    "M6_orphans_removed",
+    duck(
+        f"SELECT u.batch_id, r.tracked AS record_type, count(*) AS n_rows, count(*) AS stray_rows, 0 :: BIGINT AS strays_left FROM ({_BATCHES}) u JOIN v_repo r ON u.did = r.did WHERE r.tracked IN ({', '.join(TB.quote(t) for t in C.RECORD_TYPES)}) GROUP BY 1, 2",
+        "repo", "bundles",
+    ),
+)
+def orphans_removed(spark, sf):
+    """Files of a landing run that stopped before its manifest are found by listing, and removed."""
+    root, _ = _land_after_stop(spark, sf, "rows")
+    files = f"{root}/{LZ.ROWS}"
+    used = LZ.landed(spark, root).select("path")
+    soon = dt.datetime.now() + dt.timedelta(days=1)
+    strays = EX.expire_orphans(spark, files, used, soon)
+    by = ["batch_id", "record_type"]
+    placed = spark.read.parquet(files).withColumn("path", F.col("_metadata.file_path"))
+    inside = durable(placed.join(strays, "path", "left_semi").groupBy(*by).agg(F.count("*").alias("stray_rows")))
+    EX.expire_orphans(spark, files, used, soon, delete=True)
+    left = EX.expire_orphans(spark, files, used, soon).count()
+    rows = LZ.landed(spark, root).groupBy(*by).agg(F.count("*").alias("n_rows"))
+    return rows.join(inside, by, "full").select(
+        big("batch_id").alias("batch_id"), "record_type", "n_rows", "stray_rows", F.lit(left).cast("bigint").alias("strays_left")
+    )
+
+
 # -- streams ---------------------------------------------------------------------------
 
 STREAM_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"

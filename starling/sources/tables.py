@@ -19,16 +19,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def _file_system(spark: SparkSession, path: str, encoded: bool = False):
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if encoded else path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    fs, hadoop_path = _file_system(spark, path)
+def remove_path(spark: SparkSession, path: str, encoded: bool = False) -> None:
+    """Remove a folder and all in it; `encoded` paths are URIs, as scans give them."""
+    fs, hadoop_path = _file_system(spark, path, encoded)
     fs.delete(hadoop_path, True)
 
 
+def remove_file(spark: SparkSession, uri: str) -> None:
+    """Remove one file, never a folder with something in it."""
+    fs, hadoop_path = _file_system(spark, uri, encoded=True)
+    fs.delete(hadoop_path, False)
+
+
 def move_path(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; a target that is there already is an error."""
     fs, hadoop_path = _file_system(spark, source)
@@ -49,7 +57,7 @@ def file_listing(spark: SparkSession, path: str) -> DataFrame:
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], "path string, bytes long, modified timestamp")
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("bytes"),
