@@ -34,26 +34,35 @@ def _attempt() -> str:
     return f"a{uuid.uuid4().hex}"
 
 
+def _finished(spark: SparkSession, folder: str) -> list[str]:
+    """Attempts below a folder that were written to their end: one per commit."""
+    return [n for n in list_names(spark, folder) if path_exists(spark, f"{folder}/{n}/_SUCCESS")]
+
+
 def _whole(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Rows of the attempts below a folder that were written to their end, with `attempt`."""
-    typed = f"{schema}, attempt string"
-    names = [n for n in list_names(spark, folder) if path_exists(spark, f"{folder}/{n}/_SUCCESS")]
-    if not names:
-        return spark.createDataFrame([], typed)
-    paths = [f"{folder}/{n}" for n in names]
-    return spark.read.schema(typed).option("basePath", folder).parquet(*paths)
+    """Rows of the finished attempts below a folder."""
+    paths = [f"{folder}/{n}" for n in _finished(spark, folder)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Every attempted user of the finished batches: batch, error, rows per type, run and attempt."""
+    """Every attempted user of the finished batches: batch, error, rows per type and run."""
     return _whole(spark, f"{root.rstrip('/')}/{MANIFEST}", MANIFEST_SCHEMA)
 
 
 def landed(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the finished batches with their file; what a stopped attempt left is not among them."""
-    done = manifest(spark, root).select("attempt", "batch_id").distinct()
-    rows = spark.read.parquet(f"{root.rstrip('/')}/{ROWS}").withColumn("path", F.col("_metadata.file_path"))
-    return rows.join(done, ["attempt", "batch_id"], "left_semi")
+    """Rows of the finished batches with their file (`path`); none at all is an error.
+
+    The folders of stopped attempts are not opened, so they may be removed meanwhile.
+    """
+    root = root.rstrip("/")
+    folders = [f"{root}/{ROWS}/{n}" for n in _finished(spark, f"{root}/{MANIFEST}")]
+    # Users without rows leave an attempt without batch folders.
+    paths = [f for f in folders if any(n.startswith("batch_id=") for n in list_names(spark, f))]
+    if not paths:
+        raise FileNotFoundError(f"no rows landed under {root}")
+    rows = spark.read.option("basePath", f"{root}/{ROWS}").parquet(*paths)
+    return rows.withColumn("path", F.col("_metadata.file_path")).drop("attempt")
 
 
 def land(
@@ -81,7 +90,7 @@ def land(
         numbered = landing_batches(fresh, size, "did").withColumn("batch_id", F.col("batch_id") + last)
         numbered.select("did", "error", "batch_id").write.parquet(f"{root}/{PLAN}/attempt={_attempt()}")
     after("plan")
-    plan = _whole(spark, f"{root}/{PLAN}", PLAN_SCHEMA).drop("attempt")
+    plan = _whole(spark, f"{root}/{PLAN}", PLAN_SCHEMA)
     done = manifest(spark, root).select("batch_id").distinct()
     counts = plan.select("batch_id").distinct().join(done.withColumn("_done", F.lit(True)), "batch_id", "left").agg(
         F.count("*").alias("batches"), F.count("_done").alias("finished"), F.max("batch_id").alias("last")

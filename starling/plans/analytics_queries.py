@@ -361,6 +361,11 @@ def comment_tree(spark, sf):
     return G.comment_tree(VW.comments(spark, sf)).select("submission_id", "comment_id", "path", "depth")
 
 
+@query("G2_display_order", _TREE + "SELECT submission_id, comment_id, row_number() OVER (PARTITION BY submission_id ORDER BY path) AS position, depth FROM t")
+def display_order(spark, sf):
+    return G.display_order(VW.comments(spark, sf)).select("submission_id", "comment_id", "position", "depth")
+
+
 @query(
     "W8_comment_rank",
     _TREE + "SELECT submission_id, comment_id, comment_rank FROM (SELECT t.submission_id, t.comment_id, row_number() OVER (PARTITION BY t.submission_id ORDER BY path) AS comment_rank "

@@ -258,8 +258,7 @@ def landing_zone(spark, sf):
     """A first run that stops before its manifest, one that lands all, and one that finds nothing to do."""
     root, (_, again) = _land_after_stop(spark, sf, "rows")
     rows = LZ.landed(spark, root).groupBy("did", "batch_id").agg(F.count("*").alias("rows_read"))
-    listed = LZ.manifest(spark, root).drop("attempt")
-    return listed.join(rows, ["did", "batch_id"], "left").fillna(0, ["rows_read"]).withColumn(
+    return LZ.manifest(spark, root).join(rows, ["did", "batch_id"], "left").fillna(0, ["rows_read"]).withColumn(
         "written_again", F.lit(again["written"]).cast("bigint")
     )
 

@@ -81,6 +81,8 @@ def test_empty_landing(spark):
     assert land(spark, "", root) == {"batches": 0, "finished": 0, "written": 0}
     assert land(spark, "c", root)["written"] == 1  # a user without rows is listed all the same
     assert [r.error for r in LZ.manifest(spark, root).collect()] == ["gone"]
+    with pytest.raises(FileNotFoundError):
+        LZ.landed(spark, root)
 
 
 def test_orphans_only_after_their_time(spark):

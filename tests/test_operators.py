@@ -269,6 +269,36 @@ def test_deep_comment_chain(spark):
     assert tree[39]["depth"] == 39
 
 
+def walk(rows):
+    """(submission, comment) -> (position, depth) by a plain depth-first walk."""
+    known = {(s, c) for s, c, _, _ in rows}
+    below, out, last = {}, {}, {}
+    for s, c, up, n in rows:
+        below.setdefault((s, up if (s, up) in known else None), []).append((n, c))
+    for s in {r[0] for r in rows}:
+        stack = [(c, 0) for _, c in sorted(below[(s, None)], reverse=True)]
+        while stack:
+            c, depth = stack.pop()
+            last[s] = last.get(s, 0) + 1
+            out[(s, c)] = (last[s], depth)
+            stack += [(d, depth + 1) for _, d in sorted(below.get((s, c), []), reverse=True)]
+    return out
+
+
+def test_display_order_equals_the_walk(spark):
+    rng = random.Random(4)
+    rows = [(1, f"c{i:03}", None if i == 0 else f"c{i - 1:03}", i) for i in range(150)]  # a chain
+    rows += [(2, f"c{i:03}", f"c{rng.randrange(i):03}" if i and rng.random() < 0.9 else None, rng.randrange(5)) for i in range(200)]
+    rows += [(3, "a", "gone", -7), (3, "b", "a", 1), (3, "c", None, 3)]  # a parent that is missing; negative places
+    df = spark.createDataFrame(rows, "submission_id int, comment_id string, parent_id string, ordinal int")
+    got = {(r.submission_id, r.comment_id): (r.position, r.depth) for r in G.display_order(df).collect()}
+    assert got == walk(rows)
+    assert G.display_order(df.limit(0)).count() == 0
+    ring = spark.createDataFrame([(1, "a", "b", 0), (1, "b", "a", 0)], df.schema)
+    with pytest.raises(ValueError, match="cycle"):
+        G.display_order(ring)
+
+
 def fold(times, seconds):
     start, index, out = None, -1, []
     for t in sorted(times):
