@@ -459,6 +459,25 @@ def _window_dedup(spark, sf):
     return kept.select("record_type", "uri", stamp("ingested_at").alias("first_seen"))
 
 
+@query("ST3_dedup_across_windows", duck(f"SELECT record_type, uri, 1 :: BIGINT AS copies FROM ({_STORED})", "collapsing_parsed"))
+def dedup_across_windows(spark, sf):
+    """Most frames land and are flushed; then all of them land under a restarted stream: no uri comes twice."""
+    root = scratch_path(spark, "state")
+    frames = VW.collapsing_frames(spark, sf).select("value")
+    some = F.pmod(F.crc32("value"), F.lit(100)) < 70
+    for part, run_id in ((some, "run-1"), (F.lit(True), "run-2")):
+        job = IN.IngestJob(f"{root}/tables", run_id)
+        frames.filter(part).repartition(4).write.mode("append").text(f"{root}/landed")
+        # The horizon is longer than the given events: none is late.
+        run = IN.start_ingest(IN.file_frames(spark, f"{root}/landed"), job, f"{root}/checkpoint", every=None, horizon="3650 days")
+        run.awaitTermination()
+    out = None
+    for record_type in ("posts", "likes", "reposts", "follows"):
+        rows = _table(spark, job, record_type).groupBy("record_type", "uri").agg(F.count("*").alias("copies"))
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 @query("ST5_resume_cursor", duck("SELECT max(time_us) AS cursor_us FROM v_collapsing_parsed", "collapsing_parsed"))
 def resume_cursor(spark, sf):
     job = IN.IngestJob(scratch_path(spark, "cursor"), "run-1")

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Keeps the state of a stream on disk, not on the heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def get_session(master: str = "local[8]", partitions: int = 8, **conf: str) -> SparkSession:
@@ -22,6 +24,7 @@ def get_session(master: str = "local[8]", partitions: int = 8, **conf: str) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():

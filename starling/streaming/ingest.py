@@ -108,17 +108,22 @@ def _row_size() -> Column:
 
 
 def process_batch(job: IngestJob, frames: DataFrame, batch_id: int) -> None:
-    """Parse one window, commit its four tables, then its flush log and cursor.
+    """Parse one window and commit it."""
+    process_parsed(job, E.parse_envelopes(E.decode(frames)), batch_id)
+
+
+def process_parsed(job: IngestJob, rows: DataFrame, batch_id: int) -> None:
+    """Commit the four tables of one window of parsed rows, then its flush log and cursor.
 
     The window is parsed and deduplicated once and kept for the five writes. Lost blocks are
     recomputed from the batch's files, which the streaming checkpoint pins.
     """
-    spark = frames.sparkSession
+    spark = rows.sparkSession
     flush_id = job.flush_id(batch_id)
     if path_exists(spark, f"{job.root}/_flush_log/flush_id={flush_id}/_SUCCESS"):
         return
     seen = Observation()
-    parsed = E.parse_envelopes(E.decode(frames)).observe(seen, F.max("time_us").alias("time_us"))
+    parsed = rows.observe(seen, F.max("time_us").alias("time_us"))
     window = window_rows(parsed, job.run_id, flush_id).persist()
     try:
         stored_rows = window.count()
@@ -195,12 +200,19 @@ def read_cursor(spark: SparkSession, root: str, name: str = "firehose", rewind_u
 
 
 def start_ingest(
-    frames: DataFrame, job: IngestJob, checkpoint: str, every: str | None = "30 minutes"
+    frames: DataFrame, job: IngestJob, checkpoint: str, every: str | None = "30 minutes", horizon: str | None = None
 ) -> StreamingQuery:
-    """Start the query over streaming frames (`value`); `every` None drains what is there."""
+    """Start the query over streaming frames (`value`); `every` None drains what is there.
+
+    With a `horizon` ("21 days") a uri that an earlier window stored is not stored again
+    (`deduplicated_stream`); without one windows forget each other.
+    """
     job.checkpoint_id = checkpoint_identity(frames.sparkSession, checkpoint)
+    process = process_batch
+    if horizon is not None:
+        frames, process = deduplicated_stream(E.parse_envelopes(E.decode(frames)), horizon), process_parsed
     stream = frames.writeStream.queryName(job.name).option("checkpointLocation", checkpoint)
-    stream = stream.foreachBatch(lambda batch, batch_id: process_batch(job, batch, batch_id))
+    stream = stream.foreachBatch(lambda batch, batch_id: process(job, batch, batch_id))
     stream = stream.trigger(availableNow=True) if every is None else stream.trigger(processingTime=every)
     return stream.start()
 
@@ -285,8 +297,22 @@ def file_frames(spark: SparkSession, path: str, max_bytes: int = C.FLUSH_BYTES)
 
 
 def deduplicated_stream(parsed: DataFrame, horizon: str = "21 days") -> DataFrame:
-    """Alternative to masking later: drop repeats of a uri inside the horizon, in state."""
-    return parsed.withWatermark("ingested_at", horizon).dropDuplicatesWithinWatermark(["uri"])
+    """Stored rows without the repeats of a (record_type, uri) inside the horizon, across windows.
+
+    A key is known from its first row until the newest row of earlier windows is two horizons ahead
+    of it, so repeats somewhat beyond the horizon stay out as well.
+    The state holds one key per uri of the horizon, hashed over the shuffle partitions, and goes with the
+    checkpoint, so a restart forgets nothing. A 21-day state outgrows memory: set
+    `spark.sql.streaming.stateStore.providerClass` to the RocksDB provider, as `get_session` does.
+
+    A row older than the newest one of the windows before by more than the horizon is late and is not
+    stored; the stream's progress counts it (`numRowsDroppedByWatermark`). Which of the rows that a uri
+    has in one window stays is not defined, of those in different windows it is the earliest window's. A
+    window that is replayed after a stop may keep another of its rows, which day upkeep removes. Rows
+    without a time of arrival are compared inside their window only.
+    """
+    stored = parsed.filter(F.col("record_type").isNotNull())
+    return stored.withWatermark("ingested_at", horizon).dropDuplicatesWithinWatermark(["record_type", "uri"])
 
 
 # -- gauges ------------------------------------------------------------------------------

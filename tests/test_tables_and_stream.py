@@ -1,5 +1,6 @@
 """Writes, catalog, upkeep on disk and the ingestion stream."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -178,6 +179,38 @@ def test_stream_commits_resumes_and_moves_the_cursor(spark, tmp_path):
     assert [(r["posts_rows"], r["likes_rows"], r["follows_rows"], r["total_rows"]) for r in log] == [(1, 1, 0, 2), (1, 2, 0, 3)]
 
 
+def test_uris_of_earlier_windows_stay_out_inside_the_horizon(spark, tmp_path):
+    source, job, day = tmp_path / "in", IN.IngestJob(str(tmp_path / "out"), "run-1"), 86_400_000_000
+
+    def later(rkey, days):
+        at = dt.datetime.fromtimestamp((TIME_US + days * day) // 1_000_000, dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+        return frame(
+            commit__collection="app.bsky.feed.like", commit__rkey=rkey, time_us=TIME_US + days * day,
+            commit__record__subject={"uri": "at://x"}, commit__record__createdAt=at,
+        )
+
+    def drained():
+        run = IN.start_ingest(IN.file_frames(spark, str(source)), job, str(tmp_path / "ck"), every=None, horizon="21 days")
+        run.awaitTermination()
+        likes = spark.read.parquet(job.table("likes")).select("uri", F.unix_micros("ingested_at").alias("at"))
+        return sorted((r.uri.rsplit("/", 1)[1], (r.at - TIME_US) // day) for r in likes.collect())
+
+    capture(source, "a.jsonl", [like("l1"), like("l1"), like("l2"), frame(), "broken", frame(kind="identity")])
+    assert drained() == [("l1", 0), ("l2", 0)]
+    # A restart; a repeat, one that is new, and one that moves time on.
+    capture(source, "b.jsonl", [later("l1", 1), later("l3", -20), later("l4", 30)])
+    assert drained() == [("l1", 0), ("l2", 0), ("l3", -20), ("l4", 30)]
+    # Late is what lies over 21 days before the newest.
+    capture(source, "c.jsonl", [later("l5", 8), later("l6", 10), later("l4", 31)])
+    assert drained() == [("l1", 0), ("l2", 0), ("l3", -20), ("l4", 30), ("l6", 10)]
+    # l1 is known until the newest is two horizons ahead of it, and then stored again.
+    capture(source, "d.jsonl", [later("l1", 45), later("l7", 45)])
+    assert ("l1", 45) not in drained()
+    capture(source, "e.jsonl", [later("l1", 46)])
+    assert drained()[:2] == [("l1", 0), ("l1", 46)]
+    assert spark.read.parquet(job.table("posts")).count() == 1
+
+
 def test_replay_replaces_its_own_partitions(spark, tmp_path):
     job = IN.IngestJob(str(tmp_path / "out"), "run-1")
     frames = spark.createDataFrame([(frame(),), (like("l1"),)], "value string")
