@@ -19,17 +19,25 @@ def settle(df: DataFrame, columns: Mapping[str, Column], keep: list[str]) -> Dat
     return df.select(*keep, F.inline(F.array(F.struct(*fields))))
 
 
-#: Tasks that share a hot key in a salted join.
+#: Tasks that share a hot key in a salted join, and the rows that make a key hot.
 SALTS = 32
+HOT = 100_000
 
 
-def salted_semi_join(rows: DataFrame, keys: DataFrame, key: str, by: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """Rows whose `key` is in `keys`; each key's rows are dealt over `salts` tasks by a hash of `by`.
+def salted_semi_join(
+    rows: DataFrame, keys: DataFrame, key: str, by: Sequence[str], salts: int = SALTS, hot: int = HOT
+) -> DataFrame:
+    """Rows whose `key` is in `keys`; rows of a hot key are dealt over `salts` tasks by a hash of `by`.
 
-    The small side is repeated `salts` times. Whatever groups by `key` above needs an exchange of its
-    own, before which Spark adds up by task, so a key with a third of the rows is in no single task.
+    `rows` are read twice, so a table is best. Only keys with over `hot` rows, of which there are few,
+    are repeated among `keys`. Both sides are shuffled: the planner takes the size of `keys` from their
+    compressed files and would pass them all through the driver. Whatever groups by `key` above needs
+    an exchange of its own, before which Spark adds up by task.
     """
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)))
-    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    repeated = keys.select(key).distinct().withColumn("_salt", F.explode(numbers))
-    return dealt.join(repeated, [key, "_salt"], "left_semi").select(*rows.columns)
+    counted = rows.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot)
+    heavy = F.broadcast(counted.select(key, F.lit(salts).cast("bigint").alias("_salts")))
+    share = F.coalesce(F.col("_salts"), F.lit(1).cast("bigint"))
+    dealt = rows.join(heavy, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*by), share))
+    numbers = F.sequence(F.lit(0).cast("bigint"), share - 1)
+    repeated = keys.select(key).distinct().join(heavy, key, "left").select(key, F.explode(numbers).alias("_salt"))
+    return dealt.join(repeated.hint("merge"), [key, "_salt"], "left_semi").select(*rows.columns)

@@ -24,8 +24,9 @@ UNKNOWABLE_LISTS = ("saved_posts", "unfollow_actions")
 
 
 def observed_members(members: DataFrame, bundles: DataFrame) -> DataFrame:
-    """Members whose repo was read."""
-    return members.select("did").join(bundles.filter(F.col("error").isNull()).select("did"), "did", "left_semi")
+    """Members whose repo was read; neither list of accounts passes through the driver."""
+    read = bundles.filter(F.col("error").isNull()).select("did")
+    return members.select("did").join(read.hint("merge"), "did", "left_semi")
 
 
 def activity_items(
@@ -68,12 +69,12 @@ def cohort_followees(edges: DataFrame, members: DataFrame) -> DataFrame:
 
     Repeats go before the join, which deals a much followed account over many tasks.
     """
-    pairs = edges.filter(F.col("followed_did") != "").select("did", "followed_did").distinct()
+    pairs = written(edges.filter(F.col("followed_did") != "").select("did", "followed_did").distinct(), "follow-pairs")
     return salted_semi_join(pairs, members.select(F.col("did").alias("followed_did")), "followed_did", ["did"])
 
 
 def followers_among(pairs: DataFrame, bundles: DataFrame) -> DataFrame:
-    """(did, follower_did) of distinct follow pairs whose source has a readable repo."""
+    """(did, follower_did) of distinct follow pairs (a table) whose source has a readable repo."""
     read = bundles.filter(F.col("error").isNull())
     inside = salted_semi_join(pairs.filter(F.col("did") != F.col("followed_did")), read, "did", ["followed_did"])
     return inside.select(F.col("followed_did").alias("did"), F.col("did").alias("follower_did"))
@@ -81,7 +82,7 @@ def followers_among(pairs: DataFrame, bundles: DataFrame) -> DataFrame:
 
 def cohort_followers(edges: DataFrame, members: DataFrame, bundles: DataFrame) -> DataFrame:
     """Distinct (did, follower_did): cohort members with a readable repo following `did`."""
-    return followers_among(cohort_followees(edges, members), bundles)
+    return followers_among(written(cohort_followees(edges, members), "cohort-pairs"), bundles)
 
 
 def derive_stats(
@@ -121,8 +122,9 @@ def derive_stats(
     incoming = followers_among(pairs, bundles).groupBy("did").agg(F.count("*").alias("cohort_followers"))
     found = bundles.filter(F.col("error").isNull()).select("did", F.lit(True).alias("_seen")).distinct()
     out = members.select("ordinal", "did", F.nullif("handle", F.lit("")).alias("handle"), "followers_count")
+    # One row per account in each: all are shuffled, none passes through the driver.
     for part in (own, outgoing, incoming, found):
-        out = out.join(part, "did", "left")
+        out = out.join(part.hint("merge"), "did", "left")
     zero = F.lit(0).cast("bigint")
     seen = F.col("_seen").isNotNull()
 

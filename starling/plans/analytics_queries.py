@@ -19,7 +19,7 @@ from starling.plans import views as VW
 from starling.plans.ingest_queries import event_log, parsed
 from starling.plans.registry import big, duck_stamp, query, stamp
 from starling.plans.views import duck
-from starling.session import scratch_path
+from starling.session import scratch_path, written
 from starling.sources import envelopes as E
 from starling.streaming import microwindow as MW
 
@@ -255,11 +255,18 @@ def edges(spark, sf):
     return CO.follow_edges(VW.repo_records(spark, sf))
 
 
+def cohort_pairs(spark, sf):
+    return written(CO.cohort_followees(edges(spark, sf), VW.members(spark, sf)), "cohort-pairs")
+
+
+def observed_followees(spark, sf, pairs):
+    observed = CO.observed_members(VW.members(spark, sf), VW.bundles(spark, sf))
+    return salted_semi_join(pairs, observed, "did", ["followed_did"])
+
+
 @query("J7_cohort_followees", duck(_FOLLOWEES, "repo", "members", "bundles"))
 def cohort_followees(spark, sf):
-    members = VW.members(spark, sf)
-    observed = CO.observed_members(members, VW.bundles(spark, sf))
-    return salted_semi_join(CO.cohort_followees(edges(spark, sf), members), observed, "did", ["followed_did"])
+    return observed_followees(spark, sf, cohort_pairs(spark, sf))
 
 
 @query("J8_cohort_followers", duck(_FOLLOWERS, "repo", "members", "bundles"))
@@ -272,8 +279,9 @@ def cohort_followers(spark, sf):
     duck(f"SELECT did, sum(a)::BIGINT AS followees, sum(b)::BIGINT AS followers FROM (SELECT did, 1 AS a, 0 AS b FROM ({_FOLLOWEES}) UNION ALL SELECT did, 0, 1 FROM ({_FOLLOWERS})) GROUP BY did", "repo", "members", "bundles"),
 )
 def cohort_graph(spark, sf):
-    ins = cohort_followers(spark, sf).groupBy("did").agg(F.count("*").alias("followers"))
-    outs = cohort_followees(spark, sf).groupBy("did").agg(F.count("*").alias("followees"))
+    pairs = cohort_pairs(spark, sf)
+    ins = CO.followers_among(pairs, VW.bundles(spark, sf)).groupBy("did").agg(F.count("*").alias("followers"))
+    outs = observed_followees(spark, sf, pairs).groupBy("did").agg(F.count("*").alias("followees"))
     return outs.join(ins, "did", "full").fillna({"followers": 0, "followees": 0})
 
 

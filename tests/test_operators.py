@@ -13,6 +13,7 @@ from starling.functions import keep as KP
 from starling.functions import ranking as RK
 from starling.functions import scalars as S
 from starling.functions import text as X
+from starling.functions.plan import salted_semi_join
 from starling.operators import accounts as A
 from starling.operators import calllog as CL
 from starling.operators import cohort as CO
@@ -515,3 +516,14 @@ def test_latest_posts_leave_replies_out(spark):
     order = [F.desc("at"), F.col("uri")]
     got = A.latest_posts_per_user(posts, "did", order, "reply_parent_uri", 3).collect()
     assert sorted((r.did, r.position, r.uri) for r in got) == [("a", 1, "p6"), ("a", 2, "p4"), ("a", 3, "p2")]
+
+
+def test_salted_semi_join_shuffles_the_keys_and_salts_hot_ones_only(spark):
+    pairs = [(f"f{i}", "hot") for i in range(40)] + [("f1", "cold"), ("f1", "gone"), ("f2", None), (None, "cold")]
+    rows = spark.createDataFrame(pairs, "did string, target string")
+    keys = spark.createDataFrame([("hot",), ("cold",), ("cold",), (None,)], "target string")
+    kept = salted_semi_join(rows, keys, "target", ["did"], salts=4, hot=10)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([p for p in pairs if p[1] in ("hot", "cold")], key=str)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "BroadcastHashJoin [target" in plan
+    assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftSemi" in line]
