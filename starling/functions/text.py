@@ -114,14 +114,21 @@ def alphabetic_words(text: Column) -> Column:
 
 
 def sentence_count(text: Column) -> Column:
-    pieces = F.filter(F.split(text, r"[.!?]+"), lambda piece: ~is_blank(piece))
-    return F.greatest(F.lit(1), F.size(pieces))
+    """Pieces between sentence ends that hold more than white space; at least 1."""
+    return F.greatest(F.lit(1), F.regexp_count(text, F.lit(f"[^.!?{SPACE[1:-1]}][^.!?]*")))
 
 
 def syllable_count(text: Column) -> Column:
-    return F.aggregate(
-        alphabetic_words(text), F.lit(0), lambda total, word: total + syllables(word)
-    )
+    """The sum of `syllables` over the words, from four passes over the whole text.
+
+    Every vowel group counts; words of consonants only count 1; a final e after another group does not.
+    """
+    words = F.regexp_replace(text, r"\P{L}+", " ")
+    letters = F.regexp_replace(F.lower(words), "[^a-z ]+", "")
+    groups = F.regexp_count(letters, F.lit("[aeiouy]+"))
+    bare = F.regexp_count(letters, F.lit("(?<![a-z])[b-df-hj-np-tv-xz]++(?![a-z])"))
+    silent = F.regexp_count(letters, F.lit("[aeiouy][b-df-hj-np-tv-xz]++[aeiouy]*e(?![a-z])"))
+    return groups + bare - silent
 
 
 def readability(words: Column, sentences: Column, syllable_total: Column) -> tuple[Column, Column]:

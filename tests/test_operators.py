@@ -527,3 +527,17 @@ def test_salted_semi_join_shuffles_the_keys_and_salts_hot_ones_only(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan and "BroadcastHashJoin [target" in plan
     assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftSemi" in line]
+
+
+def test_whole_text_counts_equal_those_of_words_and_pieces(spark):
+    pick = random.Random(3)
+    texts = ["".join(pick.choice("aeiouybcdzstEIÉßİKΣ .!?\n'-1") for _ in range(pick.randint(0, 60))) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "The table. a be idee", "", None]], "text string")
+    by_word = F.aggregate(X.alphabetic_words(F.col("text")), F.lit(0), lambda total, word: total + X.syllables(word))
+    pieces = F.greatest(F.lit(1), F.size(F.filter(F.split("text", r"[.!?]+"), lambda p: ~X.is_blank(p))))
+    rows = df.select(
+        by_word.alias("a"), X.syllable_count(F.col("text")).alias("b"), pieces.alias("c"), X.sentence_count(F.col("text")).alias("d")
+    )
+    assert rows.filter("NOT (a <=> b) OR NOT (c <=> d)").count() == 0
+    plan = df.select(X.syllable_count(F.col("text")), X.sentence_count(F.col("text")))._jdf.queryExecution().optimizedPlan()
+    assert "lambdafunction" not in plan.toString()  # no expression runs once per word
