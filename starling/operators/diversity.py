@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starling.functions import text as X
+from starling.functions.plan import settle
 from starling.functions.scalars import hash_text
 from starling.session import written
 from starling.sources.tables import path_exists
@@ -58,61 +59,82 @@ def readability(docs: DataFrame) -> DataFrame:
     return counted.withColumns({"grade_level": grade, "reading_ease": ease})
 
 
+def _terms(docs: DataFrame, *lists: Column) -> DataFrame:
+    """(doc_id, lists, token, tf): texts are dealt by doc_id, and each is cut, sorted and counted in its task.
+
+    A text is shuffled once instead of its tokens, and no hash table of tokens is held.
+    """
+    whole = docs.groupBy("doc_id").agg(F.collect_list(F.lower("text")).alias("texts"), *lists)
+    kept = [c for c in whole.columns if c != "texts"]
+    found = F.flatten(F.transform("texts", lambda t: F.regexp_extract_all(t, F.lit(f"{X.WORD}{{2,}}"), F.lit(0))))
+    cut = settle(whole, {"tokens": F.sort_array(found)}, kept)
+    tokens = F.col("tokens")
+    starts = F.transform("tokens", lambda t, i: F.when((i == 0) | (t != tokens[F.greatest(i - 1, F.lit(0))]), i))
+    runs = settle(cut, {"place": F.array_compact(starts)}, [*kept, "tokens"])
+    after = lambda j: F.coalesce(F.get("place", j + 1), F.size("tokens"))
+    counted = F.transform(
+        "place", lambda p, j: F.struct(tokens[p].alias("token"), (after(j) - p).cast("bigint").alias("tf"))
+    )
+    return runs.select(*kept, F.inline(counted))
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, token, tf); the tokens of one text are counted before they leave its task."""
-    found = F.regexp_extract_all(F.lower("text"), F.lit(f"{X.WORD}{{2,}}"), F.lit(0))
-    tokens = docs.select("doc_id", F.explode(found).alias("token"))
-    return tokens.groupBy("doc_id", "token").agg(F.count("*").alias("tf"))
+    return _terms(docs)
 
 
 def idf(n_docs: Column, df: Column) -> Column:
     return F.log((1 + n_docs) / (1 + df)) + 1
 
 
-def tfidf_raw(docs: DataFrame) -> DataFrame:
-    """(doc_id, token, weight) before normalisation, plus the vocabulary size `v`.
+def tfidf_raw(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """(doc_id, token, weight) before normalisation, and the vocabulary size.
 
     The texts are cut into tokens once; counts and document frequencies are written, so that the
     join reads two tables. A token in most texts is a hot key on the counts' side only, whose
-    partition AQE splits; the other side has one row per token.
+    partition AQE splits; the other side has one row per token and is hashed, so neither is sorted.
     """
     counts = written(term_counts(docs), "term-counts")
     frequency = written(counts.groupBy("token").agg(F.count("*").alias("df")), "term-frequency")
     n_docs = docs.agg(F.count("*")).scalar()
     vocabulary = frequency.agg(F.count("*")).scalar()
-    return counts.join(frequency, "token").select(
-        "doc_id", "token", (F.col("tf") * idf(n_docs, F.col("df"))).alias("weight"), vocabulary.alias("v")
+    weights = counts.join(frequency.hint("shuffle_hash"), "token").select(
+        "doc_id", "token", (F.col("tf") * idf(n_docs, F.col("df"))).alias("weight")
     )
+    return weights, vocabulary
 
 
 def tfidf(docs: DataFrame) -> DataFrame:
     """L2-normalised tf-idf over the vocabulary of all groups together."""
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("doc_id")))
-    return tfidf_raw(docs).withColumn("norm", norm).select(
+    return tfidf_raw(docs)[0].withColumn("norm", norm).select(
         "doc_id", "token", (F.col("weight") / F.col("norm")).alias("weight")
     )
 
 
-def _gini_of(weights: DataFrame, keys: list[str]) -> DataFrame:
-    """Gini over the full vocabulary from non-zero weights (keys, weight, v).
+def _gini_sums(weights: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, s1, s0, k) from non-zero weights (keys, weight), for `_gini_value`."""
+    ranked = weights.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("weight")))
+    return ranked.groupBy(*keys).agg(
+        F.sum(F.col("r") * F.col("weight")).alias("s1"), F.sum("weight").alias("s0"), F.count("*").alias("k")
+    )
+
+
+def _gini_value(v: Column) -> Column:
+    """Gini over the full vocabulary of `v` tokens.
 
     With k non-zeros the zeros take the first v − k places, so only ranks among the
     non-zeros of one text are needed. Scaling a text's weights leaves the value unchanged.
     """
-    ranked = weights.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("weight")))
-    sums = ranked.groupBy(*keys).agg(
-        F.sum(F.col("r") * F.col("weight")).alias("s1"),
-        F.sum("weight").alias("s0"),
-        F.count("*").alias("k"),
-        F.max("v").alias("v"),
-    )
-    value = (2 * F.col("s1") / F.col("s0") + F.col("v") - 2 * F.col("k") - 1) / F.col("v")
-    return sums.select(*keys, value.alias("gini"))
+    return (2 * F.col("s1") / F.col("s0") + v - 2 * F.col("k") - 1) / v
 
 
 def gini(docs: DataFrame) -> DataFrame:
     """(group, doc_id, gini); texts without tokens have 0."""
-    values = _gini_of(tfidf_raw(docs), ["doc_id"])
+    weights, vocabulary = tfidf_raw(docs)
+    # The vocabulary size meets one row per text, not every weight.
+    sums = _gini_sums(weights.select("doc_id", "weight"), ["doc_id"])
+    values = sums.select("doc_id", _gini_value(vocabulary).alias("gini"))
     return docs.select("group", "doc_id").join(values, "doc_id", "left").fillna({"gini": 0.0})
 
 
@@ -134,18 +156,27 @@ def running_gini(docs: DataFrame) -> DataFrame:
     its own document frequencies, so each text counts once for each call it is part of.
     """
     last = docs.agg(F.max("call")).scalar()
-    first = F.coalesce(F.col("call"), F.lit(1).cast("bigint"))
-    member = docs.select("group", "doc_id", F.explode(F.sequence(first, last)).alias("upto"))
-    counts = term_counts(docs).join(member, "doc_id")
-    frequency = counts.groupBy("upto", "token").agg(F.count("*").alias("df"))
+    member = docs.withColumn("first", F.coalesce(F.col("call"), F.lit(1).cast("bigint"))).withColumn("last", last)
+    calls = F.sequence("first", "last")
+    # A text is counted once, with the calls it is part of; its tokens are repeated for them only after
+    # the join, as numbers. Texts without an id have no weights.
+    named = member.filter(F.col("doc_id").isNotNull())
+    counts = written(_terms(named, F.flatten(F.collect_list(calls)).alias("calls")), "running-counts")
+    frequency = written(
+        counts.select("token", F.explode("calls").alias("upto")).groupBy("upto", "token").agg(F.count("*").alias("df")),
+        "running-frequency",
+    )
+    by_token = frequency.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("upto", "df"))).alias("dfs"))
+    member = member.select("group", "doc_id", F.explode(calls).alias("upto"))
+    # One row per call.
     sizes = member.groupBy("upto").agg(F.count("*").alias("n_docs"))
     vocabulary = frequency.groupBy("upto").agg(F.count("*").alias("v"))
-    weights = (
-        counts.join(frequency, ["upto", "token"])
-        .join(sizes.join(vocabulary, "upto"), "upto")
-        .select("upto", "doc_id", "v", (F.col("tf") * idf(F.col("n_docs"), F.col("df"))).alias("weight"))
+    joined = counts.join(by_token.hint("shuffle_hash"), "token").select("doc_id", "tf", "dfs", F.explode("calls").alias("upto"))
+    weights = joined.join(F.broadcast(sizes), "upto").select(
+        "upto", "doc_id", (F.col("tf") * idf(F.col("n_docs"), F.col("dfs")[F.col("upto")])).alias("weight")
     )
-    values = _gini_of(weights, ["upto", "doc_id"])
+    sums = _gini_sums(weights, ["upto", "doc_id"]).join(F.broadcast(vocabulary), "upto")
+    values = sums.select("upto", "doc_id", _gini_value(F.col("v")).alias("gini"))
     every = member.join(values, ["upto", "doc_id"], "left").fillna({"gini": 0.0})
     return every.groupBy("upto", "group").agg(
         F.round(F.avg("gini"), 4).alias("mean_gini"), F.count("*").alias("n_posts")

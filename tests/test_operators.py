@@ -529,6 +529,36 @@ def test_salted_semi_join_shuffles_the_keys_and_salts_hot_ones_only(spark):
     assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftSemi" in line]
 
 
+def test_terms_are_counted_per_text_without_shuffling_tokens(spark):
+    docs = [(1, "b a a"), (1, "B c"), (2, ""), (None, "ab AB"), (3, None), (4, "aa aa bb aa")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    longer = df.withColumn("text", F.regexp_replace("text", r"\b(\w)\b", "$1$1"))
+    got = D.term_counts(longer)
+    want = [(1, "aa", 2), (1, "bb", 1), (1, "BB", 1), (1, "cc", 1), (None, "ab", 2), (4, "aa", 3), (4, "bb", 1)]
+    merged = {}
+    for d, t, n in want:
+        merged[d, t.lower()] = merged.get((d, t.lower()), 0) + n
+    assert {(r.doc_id, r.token): r.tf for r in got.collect()} == merged
+    plan = D.term_counts(longer)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(doc_id" in plan
+
+
+def test_running_gini_repeats_no_token_before_the_join(spark, monkeypatch):
+    docs = [("examples", 1, "cat dog cat", None), ("generated", 2, "cat bird", 1), ("generated", 3, "fish", 2),
+            ("generated", 4, "", 2), ("generated", 4, "cat", 2), ("generated", None, "cat", 1)]
+    df = spark.createDataFrame(docs, "group string, doc_id bigint, text string, call bigint")
+    tables = {}
+
+    def kept(rows, name):
+        tables[name] = rows.count()
+        return rows
+
+    monkeypatch.setattr(D, "written", kept)
+    rows = {(r["upto"], r["group"]): r["n_posts"] for r in D.running_gini(df).collect()}
+    assert rows == {(1, "examples"): 1, (1, "generated"): 2, (2, "examples"): 1, (2, "generated"): 5}
+    assert tables["running-counts"] == 6  # one per text id and token, whatever the number of calls
+
+
 def test_whole_text_counts_equal_those_of_words_and_pieces(spark):
     pick = random.Random(3)
     texts = ["".join(pick.choice("aeiouybcdzstEIÉßİKΣ .!?\n'-1") for _ in range(pick.randint(0, 60))) for _ in range(500)]
