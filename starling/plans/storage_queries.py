@@ -62,11 +62,13 @@ def create_tables(spark, sf):
     first = TB.create_tables(spark, database, root=path)
     again = TB.create_tables(spark, database, root=path)
     TB.require_tables(spark, database, list(first))
-    rows = parsed(spark, sf)
+    # Parsed once for the four tables.
+    stored = parsed(spark, sf).filter(F.col("record_type").isNotNull())
+    rows = written(TB.with_day(stored).withColumn("run_id", F.lit("r")), "parsed")
     out = None
     for name in first:
         table = spark.table(f"{database}.{name}")
-        part = TB.with_day(rows.filter(F.col("record_type") == name).withColumn("run_id", F.lit("r")))
+        part = rows.filter(F.col("record_type") == name)
         part.select(*table.columns).write.insertInto(f"{database}.{name}")
         one = spark.table(f"{database}.{name}").agg(F.count("*").alias("n_rows")).select(
             F.lit(name).alias("record_type"), F.lit(first[name]).alias("created"), F.lit(again[name]).alias("created_again"), "n_rows"
