@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -10,12 +11,10 @@ from pyspark.sql import functions as F
 
 from starling import constants as C
 from starling.functions.keep import keep_last
-from starling.session import scratch_path
 from starling.sources.tables import (
     COMMITTED,
     DAY,
     SWAPS,
-    balanced_by_day,
     create_marker,
     file_stats,
     folder_bytes,
@@ -185,7 +184,7 @@ def _carry_out(spark: SparkSession, path: str, swap: str, after: Callable[[str],
 
 def _replace_days(
     spark: SparkSession, path: str, rows: DataFrame, days: Sequence[str], read: DataFrame, source: DataFrame,
-    target_bytes: int = C.TARGET_FILE_BYTES, after: Callable[[str], None] = _no_stop,
+    target_bytes: int = C.TARGET_FILE_BYTES, after: Callable[[str], None] = _no_stop, share: float = 1.0,
 ) -> None:
     """Write `rows` over what was `read` of the given days of `source`, all days in one commit.
 
@@ -195,21 +194,19 @@ def _replace_days(
     from it on, `read_table` gives the new rows, whatever has been removed or moved so far, and
     `recover` carries out the rest. Merged rows become one new flush of their day, and only
     flushes with a log are merged (`mergeable`), so a replayed batch never finds its rows merged
-    already. The number of files follows from a day's bytes and the target size.
+    already. The number of files follows from the target size and the bytes a day has now, of which
+    about `share` stay, so rows are shuffled and written once.
     """
     name = uuid.uuid4().hex[:12]
     swap = f"{path.rstrip('/')}/{SWAPS}/{name}"
     flushed = has_flushes(rows)
-    copy_path = scratch_path(spark, "maintenance")
-    balanced_by_day(rows).write.partitionBy(DAY).option("compression", C.COMPRESSION).parquet(copy_path)
-    copy = spark.read.schema(rows.schema).parquet(copy_path)
     # One number per calendar day.
-    sizes = {d: folder_bytes(spark, f"{copy_path}/{DAY}={d}") for d in days}
-    files = {d: -(-size // target_bytes) for d, size in sizes.items() if size}
+    sizes = {d: folder_bytes(spark, f"{path.rstrip('/')}/{DAY}={d}") for d in days}
+    files = {d: max(1, math.ceil(size * share / target_bytes)) for d, size in sizes.items() if size}
     if files:
         count = F.create_map(*[F.lit(x) for item in files.items() for x in item])[_day_text()]
         part = F.pmod(F.xxhash64(*[c for c in rows.columns if c != DAY]), count)
-        spread = copy.withColumn("_part", part).repartition(sum(files.values()), DAY, "_part").drop("_part")
+        spread = rows.withColumn("_part", part).repartition(sum(files.values()), DAY, "_part").drop("_part")
         if flushed:
             spread = spread.withColumn(FLUSH, F.lit(f"merged-{name}"))
         writer = spread.write.partitionBy(DAY, *([FLUSH] if flushed else []))
@@ -226,7 +223,6 @@ def _replace_days(
     create_marker(spark, f"{swap}/{COMMITTED}")
     after("committed")
     _carry_out(spark, path, swap, after)
-    remove_path(spark, copy_path)
 
 
 def compact_days(
@@ -328,7 +324,8 @@ def compact_and_collapse(
     stats = collapse_stats(table).first().asDict()
     final = drop_tombstones(collapse_to_latest(table))
     if target is None:
-        _replace_days(spark, path, final, _days_of(table), table, source, after=after)
+        share = stats["rows_after"] / max(stats["rows_before"] or 0, 1)
+        _replace_days(spark, path, final, _days_of(table), table, source, after=after, share=share)
     else:
         write_day_partitioned(final, target, mode="overwrite")
     rows = file_stats(spark.read.schema(table.schema).parquet(target or path)).first().asDict()

@@ -53,3 +53,27 @@ def test_catalog_tables_share_one_parse(spark, monkeypatch):
     got = {r["record_type"]: r["n_rows"] for r in SQ.create_tables(spark, "").collect()}
     assert got == {"posts": 5, "likes": 0, "reposts": 0, "follows": 0}
     assert seen.value == 5
+
+
+def test_upkeep_writes_no_second_copy(spark, tmp_path):
+    path = str(tmp_path / "days")
+    days_table(spark, path)
+    copies = []
+
+    def after(step):
+        copies.extend(n for n in TB.list_names(spark, f"{shared_dir(spark)}/starling") if n.startswith("maintenance"))
+
+    assert len(MT.compact_days(spark, path, "2024-02-01", days=60, min_small=2, after=after)) == 3
+    assert copies == []
+    back = TB.read_table(spark, path)
+    assert back.count() == back.distinct().count() == 400
+    assert TB.file_stats(back).first()["file_count"] == 3
+
+
+def test_upkeep_sizes_its_files_from_the_days(spark, tmp_path):
+    path = str(tmp_path / "days")
+    days_table(spark, path)
+    size = TB.folder_bytes(spark, f"{path}/{TB.DAY}=2024-01-01")
+    MT.compact_days(spark, path, "2024-02-01", days=60, min_small=2, target_bytes=size // 2)
+    back = TB.read_table(spark, path)
+    assert back.count() == 400 and 6 <= TB.file_stats(back).first()["file_count"] <= 9
