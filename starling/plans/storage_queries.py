@@ -384,7 +384,7 @@ def ingest_and_upkeep(spark, sf):
     merging small flushes and masking repeats leaves one row per uri.
     """
     root = scratch_path(spark, "upkeep")
-    frames = VW.collapsing_frames(spark, sf)
+    frames = written(VW.collapsing_frames(spark, sf), "frames")
     first = IN.IngestJob(root, "run-1", checkpoint_id="a")
     for job in (first, first, IN.IngestJob(root, "run-2", checkpoint_id="b")):
         IN.process_batch(job, frames, 0)
