@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from starling.operators.ledger import expire_report, orphan_files, runs_to_expire
 from starling.session import durable
-from starling.sources.tables import file_listing, remove_file, remove_path
+from starling.sources.tables import file_listing, remove_files, remove_path
 
 
 def listed_runs(spark: SparkSession, root: str, group: Sequence[str] = ("dataset_id",)) -> DataFrame:
@@ -63,6 +63,5 @@ def expire_orphans(
     files = file_listing(spark, root).filter(F.col("modified") < F.lit(older_than))
     orphans = durable(orphan_files(files, referenced.select("path").distinct()))
     if delete:
-        for row in orphans.select("path").toLocalIterator():
-            remove_file(spark, row["path"])
+        remove_files(spark, (row["path"] for row in orphans.select("path").toLocalIterator()))
     return orphans

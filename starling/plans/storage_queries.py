@@ -308,7 +308,7 @@ def orphans_removed(spark, sf):
     """Files of a landing run that stopped before its manifest are found by listing, and removed."""
     root, _ = _land_after_stop(spark, sf, "rows")
     files = f"{root}/{LZ.ROWS}"
-    used = LZ.landed(spark, root).select("path")
+    used = written(LZ.landed(spark, root).select("path").distinct(), "used")
     soon = dt.datetime.now() + dt.timedelta(days=1)
     strays = EX.expire_orphans(spark, files, used, soon)
     by = ["batch_id", "record_type"]

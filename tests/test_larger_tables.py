@@ -77,3 +77,15 @@ def test_upkeep_sizes_its_files_from_the_days(spark, tmp_path):
     MT.compact_days(spark, path, "2024-02-01", days=60, min_small=2, target_bytes=size // 2)
     back = TB.read_table(spark, path)
     assert back.count() == 400 and 6 <= TB.file_stats(back).first()["file_count"] <= 9
+
+
+def test_files_go_several_at_a_time_and_failures_are_raised(spark, tmp_path):
+    files = [tmp_path / f"f{i}" for i in range(40)]
+    for file in files:
+        file.write_text("x")
+    TB.remove_files(spark, (f.as_uri() for f in files))
+    assert not any(f.exists() for f in files)
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "folder" / "f").write_text("x")
+    with pytest.raises(Exception, match="folder"):
+        TB.remove_files(spark, [(tmp_path / "folder").as_uri()])
