@@ -60,6 +60,9 @@ _DATE = r"\d{4}-\d{2}-\d{2}|\d{8}"
 ISO_PATTERN = rf"^(?:{_DATE})(?:[\s\S](?:{_CLOCK})(?:{_OFFSET})?)?\z"
 OFFSET_PATTERN = rf"^(?:{_DATE})[\s\S](?:{_CLOCK})(?:{_OFFSET})\z"
 
+#: The spelling that needs no change: none of the steps below finds anything to replace in it.
+PLAIN_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-](?:[01]\d|2[0-3]):[0-5]\d)\z"
+
 _YMD = r"^(\d{4})-?(\d{2})-?(\d{2})"
 _END = r"(?=[Z+-]|\z)"
 # (pattern, replacement) steps that bring every accepted spelling to one:
@@ -89,7 +92,8 @@ def parse_created_at(text: Column) -> Column:
     canonical = text
     for pattern, replacement in _CANONICAL:
         canonical = F.regexp_replace(canonical, pattern, replacement)
-    return F.when(text.rlike(ISO_PATTERN), canonical.try_cast("timestamp"))
+    plain = F.when(text.rlike(PLAIN_PATTERN), text.try_cast("timestamp"))
+    return plain.when(text.rlike(ISO_PATTERN), canonical.try_cast("timestamp"))
 
 
 def parse_ingested_at(micros: Column) -> Column:

@@ -200,7 +200,7 @@ def repo_records(spark: SparkSession, sf: str) -> DataFrame:
     """(did, uri, cid, rev, record): created records by account, and a profile per customer."""
     decoded = E.place(E.decode(frames(spark, sf)))
     event = F.col("event")
-    created = E.parse_common(decoded, ["event"]).filter((F.col("operation") == "create") & F.col("uri").isNotNull())
+    created = E.parse_identity(decoded, ["event"]).filter((F.col("operation") == "create") & F.col("uri").isNotNull())
     commits = created.select("did", "uri", "cid", "rev", F.variant_get(event, "$.commit.record", "variant").alias("record"))
     did = _did(F.col("c_custkey"))
     profile = F.concat(

@@ -27,6 +27,10 @@ FRAME_FIELDS = (
     "struct<did:variant,kind:variant,time_us:variant,commit:struct<rev:variant,cid:variant,"
     f"operation:variant,collection:variant,rkey:variant,record:{RECORD_FIELDS}>>"
 )
+#: What names a record, without the record itself.
+IDENTITY_FIELDS = (
+    "struct<did:variant,commit:struct<rev:variant,cid:variant,operation:variant,collection:variant,rkey:variant>>"
+)
 ROW_SCHEMAS = {
     "posts": "uri string, did string, cid string, rev string, created_at timestamp, "
     "ingested_at timestamp, text string, langs array<string>, reply_root_uri string, "
@@ -170,6 +174,23 @@ def parse_common(placed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def parse_identity(placed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """uri, did, cid, rev and operation as `parse_common` gives them, without reading the record."""
+    raw = settle(
+        placed.withColumn("e", V.shred(F.col("event"), IDENTITY_FIELDS)),
+        {
+            "did": V.as_str(F.col("e.did")),
+            "cid": V.as_str(F.col("e.commit.cid")),
+            "rev": V.as_str(F.col("e.commit.rev")),
+            "operation": V.as_str(F.col("e.commit.operation")),
+            "collection": V.as_str(F.col("e.commit.collection")),
+            "rkey": V.as_str(F.col("e.commit.rkey")),
+        },
+        list(keep),
+    )
+    return raw.withColumn("uri", at_uri(F.col("did"), F.col("collection"), F.col("rkey"))).drop("collection", "rkey")
+
+
 def parse_envelopes(decoded: DataFrame) -> DataFrame:
     """Every placed frame; `record_type` is NULL where there is no row to store.
 

@@ -89,3 +89,30 @@ def test_files_go_several_at_a_time_and_failures_are_raised(spark, tmp_path):
     (tmp_path / "folder" / "f").write_text("x")
     with pytest.raises(Exception, match="folder"):
         TB.remove_files(spark, [(tmp_path / "folder").as_uri()])
+
+
+def test_plain_times_read_as_by_the_steps(spark, text, monkeypatch):
+    at = F.unix_micros(V.parse_created_at(F.col("t")))
+    monkeypatch.setattr(V, "PLAIN_PATTERN", "^never$")
+    slow = F.unix_micros(V.parse_created_at(F.col("t")))
+    row = spark.createDataFrame([(text,)], "t string").select(at.alias("a"), slow.alias("b")).first()
+    assert row["a"] == row["b"]
+
+
+def test_identities_come_without_reading_the_record(spark):
+    frames = spark.createDataFrame([(frame(),), (frame(did=5),), (frame(commit__rkey=""),), ("{",)], "value string")
+    placed = E.place(E.decode(frames))
+    columns = ["uri", "did", "cid", "rev", "operation"]
+    got = E.parse_identity(placed).select(*columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, E.parse_common(placed).select(*columns).collect()))
+    assert "createdAt" not in plan_of(got) and len(got.filter("uri IS NOT NULL").collect()) == 1
+
+
+def test_repo_records_leave_the_payload_unread(spark, tmp_path):
+    events = [(i, dt.datetime(2024, 1, 5), 3, kind) for i, kind in enumerate(["click", "view", "signup", "other", "error"], 1)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    own = [(3, "Customer", "BUILDING")]
+    spark.createDataFrame(own, "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = VW.repo_records(spark, str(tmp_path))
+    assert rows.count() == 5
+    assert "regexp_replace" not in plan_of(rows)
