@@ -152,7 +152,8 @@ def pack_lists(items: DataFrame, size: int = 1000) -> DataFrame:
     Elements keep uri order inside and across chunks; no row holds more than `size`.
     """
     fields = [c for c in items.columns if c not in ("did", "list_name")]
-    chunked = chunk_index(items, size, ["uri"], keys=["did", "list_name"])
+    # Written, as the ranges are found by a first pass over the items, which would parse them twice.
+    chunked = chunk_index(written(items, "list-items"), size, ["uri"], keys=["did", "list_name"])
     element = F.struct("uri", *[c for c in fields if c != "uri"])
     return chunked.groupBy("did", "list_name", "chunk").agg(
         F.sort_array(F.collect_list(element)).alias("items")

@@ -116,3 +116,12 @@ def test_repo_records_leave_the_payload_unread(spark, tmp_path):
     rows = VW.repo_records(spark, str(tmp_path))
     assert rows.count() == 5
     assert "regexp_replace" not in plan_of(rows)
+
+
+def test_lists_are_packed_from_one_reading(spark):
+    items, seen = counted(spark, spark.range(0, 60, 1, 3).select(
+        F.lit("a").alias("did"), F.lit("liked").alias("list_name"), F.format_string("%03d", F.col("id")).alias("uri")
+    ))
+    packed = CO.pack_lists(items, 25).orderBy("chunk").collect()
+    assert [len(r["items"]) for r in packed] == [25, 25, 10]
+    assert seen.value == 60
