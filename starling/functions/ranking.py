@@ -70,7 +70,20 @@ def rank_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str
 ) -> DataFrame:
     """Add `out`: 1, 2, … in `order` inside each key (over everything when no keys)."""
-    return running_total(df, keys, order, F.lit(1).cast("bigint"), out)
+    if keys or not order:
+        return running_total(df, keys, order, F.lit(1).cast("bigint"), out)
+    # Without keys a range partition holds consecutive rows: sorted and numbered where they are, so no
+    # second shuffle brings several partitions into one task.
+    by = [F.col(o) if isinstance(o, str) else o for o in order]
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    laid = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    parts = durable(laid.withColumns({PART: F.spark_partition_id(), "_local": inside}))
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.groupBy(PART).agg(F.count("*").alias("_size"))
+    offsets = sizes.select(PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    # One row per partition.
+    joined = parts.join(F.broadcast(offsets), PART)
+    return joined.select(*df.columns, (F.col("_local") + F.col("_offset")).alias(out))
 
 
 def chunk_index(

@@ -125,3 +125,13 @@ def test_lists_are_packed_from_one_reading(spark):
     packed = CO.pack_lists(items, 25).orderBy("chunk").collect()
     assert [len(r["items"]) for r in packed] == [25, 25, 10]
     assert seen.value == 60
+
+
+def test_overall_ranks_stay_in_their_partition(spark):
+    rows = spark.range(3000).select(F.xxhash64("id").alias("v"), F.lit("wide").alias("text")).repartition(7)
+    ranked = RK.rank_within(rows, [], ["v"], "n")
+    want = {v: i for i, v in enumerate(sorted(r.v for r in rows.collect()), 1)}
+    assert {r.v: r.n for r in ranked.collect()} == want
+    assert not re.search(r"windowspecdefinition\(_part#\d+L?,", plan_of(ranked))
+    down = RK.rank_within(rows, [], [F.desc("v")], "n").collect()
+    assert all(r.n == 3001 - want[r.v] for r in down)
