@@ -27,12 +27,13 @@ def distinct_1(docs: DataFrame) -> DataFrame:
 
 def distinct_2(docs: DataFrame) -> DataFrame:
     """Bigrams never cross texts."""
-    split = docs.select("group", X.split_words(F.col("text")).alias("t"))
-    pairs = F.arrays_zip(
-        F.expr("slice(t, 1, greatest(size(t) - 1, 0))").alias("a"), F.expr("slice(t, 2, greatest(size(t) - 1, 0))").alias("b")
-    )
-    bigrams = split.select("group", F.explode(pairs).alias("p")).select("group", "p.*")
-    return _distinct_ratio(docs, bigrams.toDF("group", "a", "b"), ["a", "b"], "distinct_2")
+    split = settle(docs, {"t": X.split_words(F.col("text"))}, ["group"])
+    # Words hold no space, so two of them joined by one are a pair and no other.
+    before = F.expr("slice(t, 1, greatest(size(t) - 1, 0))")
+    after = F.expr("slice(t, 2, greatest(size(t) - 1, 0))")
+    pairs = F.zip_with(before, after, lambda a, b: F.concat_ws(" ", a, b))
+    bigrams = split.select("group", F.explode(pairs).alias("pair"))
+    return _distinct_ratio(docs, bigrams, ["pair"], "distinct_2")
 
 
 def _distinct_ratio(docs: DataFrame, items: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -135,3 +135,10 @@ def test_overall_ranks_stay_in_their_partition(spark):
     assert not re.search(r"windowspecdefinition\(_part#\d+L?,", plan_of(ranked))
     down = RK.rank_within(rows, [], [F.desc("v")], "n").collect()
     assert all(r.n == 3001 - want[r.v] for r in down)
+
+
+def test_bigrams_are_one_string(spark):
+    docs = spark.createDataFrame([("g", 1, "a b a b"), ("g", 2, "a  b"), ("h", 3, "x"), (None, 4, None)], "group string, doc_id long, text string")
+    got = D.distinct_2(docs)
+    assert "arrays_zip" not in plan_of(got)
+    assert {r["group"]: r["distinct_2"] for r in got.collect()}["g"] == 0.5
