@@ -35,6 +35,8 @@ SPARSITY = 1e-3
 #: N-grams seen fewer times than this (once per distinct word of a text) are not used.
 MIN_WORDS = 4
 THRESHOLD = 0.7
+#: N-grams numbered at once.
+NUMBERED = 1 << 18
 
 
 def word_grams(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,15 +118,21 @@ class Vocabulary:
                     grams.append(gram[often])
                 else:
                     counts += np.bincount(bucket, texts[a + word], len(counts)).astype(np.int32)
-        return np.concatenate(words), np.concatenate(grams)
+        # The parts of one go before those of the other are laid together.
+        every = np.concatenate(words)
+        words.clear()
+        return every, np.concatenate(grams)
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> ToxicityModel:
     vocabulary = Vocabulary(texts)
     text, word = vocabulary.text, vocabulary.word
     gram_word, grams = vocabulary.grams(MIN_WORDS)
-    keys, gram = np.unique(grams, return_inverse=True)
-    gram = gram.astype(np.int32)
+    # Numbered piece by piece: `return_inverse` would hold several arrays as long as `grams` at once.
+    keys = np.unique(grams)
+    gram = np.empty(len(grams), np.int32)
+    for a in range(0, len(grams), NUMBERED):
+        gram[a : a + NUMBERED] = np.searchsorted(keys, grams[a : a + NUMBERED])
     del grams
     texts_n, words_n, grams_n = len(texts), vocabulary.words, len(keys)
 

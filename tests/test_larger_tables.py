@@ -142,3 +142,17 @@ def test_bigrams_are_one_string(spark):
     got = D.distinct_2(docs)
     assert "arrays_zip" not in plan_of(got)
     assert {r["group"]: r["distinct_2"] for r in got.collect()}["g"] == 0.5
+
+
+def test_fit_holds_few_arrays_of_all_ngrams(monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(40_000)]
+    texts = [" ".join(words[i : i + 100]) for i in range(0, 40_000, 100)] * 4
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    vocabulary = toxicity.Vocabulary(texts)
+    ngrams = len(vocabulary.grams(toxicity.MIN_WORDS)[1])
+    tracemalloc.start()
+    toxicity.fit(texts, toxicity.np.arange(len(texts)) % 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * ngrams
