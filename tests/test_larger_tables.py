@@ -46,15 +46,6 @@ def days_table(spark, path):
     rows.repartition(4).write.partitionBy(TB.DAY).parquet(path)
 
 
-def test_catalog_tables_share_one_parse(spark, monkeypatch):
-    frames = spark.createDataFrame([(json.dumps({**json.loads(frame()), "time_us": TIME_US + i}),) for i in range(5)], "value string")
-    rows, seen = counted(spark, E.parse_envelopes(E.decode(frames)))
-    monkeypatch.setattr(SQ, "parsed", lambda spark, sf: rows)
-    got = {r["record_type"]: r["n_rows"] for r in SQ.create_tables(spark, "").collect()}
-    assert got == {"posts": 5, "likes": 0, "reposts": 0, "follows": 0}
-    assert seen.value == 5
-
-
 def test_upkeep_writes_no_second_copy(spark, tmp_path):
     path = str(tmp_path / "days")
     days_table(spark, path)
@@ -79,18 +70,10 @@ def test_upkeep_sizes_its_files_from_the_days(spark, tmp_path):
     assert back.count() == 400 and 6 <= TB.file_stats(back).first()["file_count"] <= 9
 
 
-def test_files_go_several_at_a_time_and_failures_are_raised(spark, tmp_path):
-    files = [tmp_path / f"f{i}" for i in range(40)]
-    for file in files:
-        file.write_text("x")
-    TB.remove_files(spark, (f.as_uri() for f in files))
-    assert not any(f.exists() for f in files)
-    (tmp_path / "folder").mkdir()
-    (tmp_path / "folder" / "f").write_text("x")
-    with pytest.raises(Exception, match="folder"):
-        TB.remove_files(spark, [(tmp_path / "folder").as_uri()])
-
-
+@pytest.mark.parametrize(
+    "text", ["2024-01-02T03:04:05Z", "2024-01-02T03:04:05.123456+02:00", "2024-13-02T03:04:05Z", "0000-01-02T03:04:05Z",
+             "2024-01-02T03:04:05+23:59", "2024-01-02T25:04:05Z", "2024-01-02T03:04:05.1-00:00", "2024-01-02", "2024-01-02T03:04:05"],
+)
 def test_plain_times_read_as_by_the_steps(spark, text, monkeypatch):
     at = F.unix_micros(V.parse_created_at(F.col("t")))
     monkeypatch.setattr(V, "PLAIN_PATTERN", "^never$")
@@ -118,15 +101,6 @@ def test_repo_records_leave_the_payload_unread(spark, tmp_path):
     assert "regexp_replace" not in plan_of(rows)
 
 
-def test_lists_are_packed_from_one_reading(spark):
-    items, seen = counted(spark, spark.range(0, 60, 1, 3).select(
-        F.lit("a").alias("did"), F.lit("liked").alias("list_name"), F.format_string("%03d", F.col("id")).alias("uri")
-    ))
-    packed = CO.pack_lists(items, 25).orderBy("chunk").collect()
-    assert [len(r["items"]) for r in packed] == [25, 25, 10]
-    assert seen.value == 60
-
-
 def test_overall_ranks_stay_in_their_partition(spark):
     rows = spark.range(3000).select(F.xxhash64("id").alias("v"), F.lit("wide").alias("text")).repartition(7)
     ranked = RK.rank_within(rows, [], ["v"], "n")
@@ -137,6 +111,15 @@ def test_overall_ranks_stay_in_their_partition(spark):
     assert all(r.n == 3001 - want[r.v] for r in down)
 
 
+def test_lists_are_packed_from_one_reading(spark):
+    items, seen = counted(spark, spark.range(0, 60, 1, 3).select(
+        F.lit("a").alias("did"), F.lit("liked").alias("list_name"), F.format_string("%03d", F.col("id")).alias("uri")
+    ))
+    packed = CO.pack_lists(items, 25).orderBy("chunk").collect()
+    assert [len(r["items"]) for r in packed] == [25, 25, 10]
+    assert seen.value == 60
+
+
 def test_bigrams_are_one_string(spark):
     docs = spark.createDataFrame([("g", 1, "a b a b"), ("g", 2, "a  b"), ("h", 3, "x"), (None, 4, None)], "group string, doc_id long, text string")
     got = D.distinct_2(docs)
@@ -144,6 +127,27 @@ def test_bigrams_are_one_string(spark):
     assert {r["group"]: r["distinct_2"] for r in got.collect()}["g"] == 0.5
 
 
+def test_catalog_tables_share_one_parse(spark, monkeypatch):
+    frames = spark.createDataFrame([(json.dumps({**json.loads(frame()), "time_us": TIME_US + i}),) for i in range(5)], "value string")
+    rows, seen = counted(spark, E.parse_envelopes(E.decode(frames)))
+    monkeypatch.setattr(SQ, "parsed", lambda spark, sf: rows)
+    got = {r["record_type"]: r["n_rows"] for r in SQ.create_tables(spark, "").collect()}
+    assert got == {"posts": 5, "likes": 0, "reposts": 0, "follows": 0}
+    assert seen.value == 5
+
+
+def test_files_go_several_at_a_time_and_failures_are_raised(spark, tmp_path):
+    files = [tmp_path / f"f{i}" for i in range(40)]
+    for file in files:
+        file.write_text("x")
+    TB.remove_files(spark, (f.as_uri() for f in files))
+    assert not any(f.exists() for f in files)
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "folder" / "f").write_text("x")
+    with pytest.raises(Exception, match="folder"):
+        TB.remove_files(spark, [(tmp_path / "folder").as_uri()])
+
+
 def test_fit_holds_few_arrays_of_all_ngrams(monkeypatch):
     rng = random.Random(3)
     words = ["".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(40_000)]
