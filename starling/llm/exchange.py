@@ -11,7 +11,7 @@ No table of all keys goes to one place or to every executor.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from starling.llm.common import text_bytes
 from starling.llm.words import U64
@@ -36,9 +37,10 @@ class Layout:
     words: int  # an upper estimate
 
     @classmethod
-    def of(cls, docs: DataFrame) -> Layout:
+    def of(cls, docs: DataFrame, times: float = 1) -> Layout:
+        """Bundles of `times` BUNDLE_BYTES."""
         size = text_bytes(docs)
-        return cls(max(1, math.ceil(size / BUNDLE_BYTES)), max(1024, size // 4))
+        return cls(max(1, math.ceil(size / (times * BUNDLE_BYTES))), max(1024, size // 4))
 
     def slices(self, entries: int) -> int:
         return max(1, math.ceil(entries / SLICE_ENTRIES))
@@ -49,6 +51,39 @@ def bundled(docs: DataFrame, layout: Layout) -> DataFrame:
     return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(layout.bundles)).cast("int").alias("bundle"), "*")
 
 
+def packed(rows: DataFrame, level: int) -> DataFrame:
+    """(bundle, texts): the rows (bundle, doc_id, text) of a bundle in one batch, compressed.
+
+    The shuffle then moves less than the texts; `unpacked` gives the rows back.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            own = batch.select(["doc_id", "text"])
+            order = np.argsort(numbers, kind="stable")
+            cuts = np.flatnonzero(np.diff(numbers[order])) + 1
+            parts = np.split(order, cuts) if len(order) else []
+            blobs = [zstandard.compress(own.take(pa.array(part)).serialize(), level) for part in parts]
+            found = [int(numbers[part[0]]) for part in parts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["bundle", "texts"]
+            )
+
+    return rows.mapInArrow(run, "bundle int, texts binary")
+
+
+def unpacked(table: pa.Table, schema: pa.Schema) -> pa.Table:
+    """(doc_id, text) of the rows behind `packed` rows, in one table."""
+    blobs = map(zstandard.decompress, table.column("texts").to_pylist())
+    return pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(blob), schema) for blob in blobs], schema)
+
+
+def text_schema(docs: DataFrame) -> pa.Schema:
+    """The Arrow form of (doc_id, text), as Spark hands it to Python."""
+    return to_arrow_schema(docs.select("doc_id", "text").schema)
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Byte planes from the lowest up; upper ones are mostly zero and vanish in compression."""
     planes = values.astype(U64).view(np.uint8).reshape(-1, 8).T

@@ -33,8 +33,11 @@ from starling.llm.exchange import (
     bundled,
     ordered,
     pack_counts,
+    packed,
     replies_of,
+    text_schema,
     unpack_counts,
+    unpacked,
 )
 from starling.llm.registry import query
 from starling.llm.words import LOWER, NOT_SPACE, U64, gram_hashes, hash_spans, pieces, run_starts, spans
@@ -44,6 +47,9 @@ BACKOFF = 0.4
 MIN_COUNT = 2
 #: Hash bits of a key, at every size of the input.
 BITS = 64
+#: Bundles larger than others (n-grams that repeat inside one are sent once), compression of their texts.
+BUNDLE_TIMES = 1.5
+TEXT_LEVEL = 9
 
 
 def _words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -87,18 +93,19 @@ def lm_scores(
     docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_count: int = MIN_COUNT
 ) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score, perplexity) of every row."""
-    layout = Layout.of(docs)
+    layout = Layout.of(docs, BUNDLE_TIMES)
     slices = layout.slices(layout.words // 2 * order)
-    rows = bundled(docs.select("doc_id", "text"), layout)
+    rows = packed(bundled(docs.select("doc_id", "text"), layout), TEXT_LEVEL)
+    schema = text_schema(docs)
     kind = dict(docs.dtypes)["doc_id"]
 
     def ask(table: pa.Table) -> pa.Table:
-        words, bounds = _words(ordered(table))
+        words, bounds = _words(ordered(unpacked(table, schema)))
         keys, counts = np.unique(_grams(words, bounds, order)[1], return_counts=True)
         return ask_table(ask_rows(table.column("bundle")[0].as_py(), keys, counts, slices, BITS))
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = ordered(texts)
+        texts = ordered(unpacked(texts, schema))
         words, bounds = _words(texts)
         places, keys = _grams(words, bounds, order)
         _, back = np.unique(keys, return_inverse=True)

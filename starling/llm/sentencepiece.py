@@ -38,13 +38,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.llm.common import text_bytes
-from starling.llm.exchange import pack_counts, unpack_counts
+from starling.llm.exchange import pack_counts, packed, text_schema, unpack_counts, unpacked
 from starling.llm.registry import query
 
 #: Characters of a unit that the relational lattice takes; its rows carry their unit.
 LONG = 1024
-#: UTF-8 bytes of a bundle, distinct units of a slice.
+#: UTF-8 bytes of a bundle, compression of its texts, distinct units of a slice.
 BUNDLE_BYTES = 6 << 20
+TEXT_LEVEL = 3
 SLICE_UNITS = 100_000
 LATTICE_UNITS = 30_000
 MARK = "▁"
@@ -272,6 +273,7 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
     )
     split = unit_pattern(table).findall
     kind = dict(docs.dtypes)["doc_id"]
+    schema_of_texts = text_schema(docs)
     slices = layout.slices
     number = "<u2" if len(stands_for) <= 1 << 16 else "<u4"
 
@@ -280,7 +282,7 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
 
     def ask(table: pa.Table) -> pa.Table:
         found: set[str] = set()
-        for text in unpacked(table).column("text").to_pylist():
+        for text in unpacked(table, schema_of_texts).column("text").to_pylist():
             found.update(_units(text, split, joined))
         names, order, begins = _dealt(found, slices)
         used = np.flatnonzero(np.diff(begins)).tolist()
@@ -335,7 +337,7 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
         )
 
     def apply(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = ordered(unpacked(texts))
+        texts = ordered(unpacked(texts, schema_of_texts))
         place: dict[str, int] = defaultdict(count().__next__)  # by first sight
         find = place.__getitem__
         seen = []
@@ -365,30 +367,7 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
             columns[decoded] = _texts(ids, _meaning_array(meaning.value))
         return pa.table(columns)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of a batch by bundle, compressed, so that the shuffle moves less than the texts."""
-        for batch in batches:
-            numbers = batch.column(0).to_numpy()
-            own = batch.select(["doc_id", "text"])
-            order = np.argsort(numbers, kind="stable")
-            cuts = np.flatnonzero(np.diff(numbers[order])) + 1
-            found, blobs = [], []
-            for part in np.split(order, cuts) if len(order) else []:
-                sink = pa.BufferOutputStream()
-                options = pa.ipc.IpcWriteOptions(compression="zstd")
-                with pa.ipc.new_stream(sink, own.schema, options=options) as writer:
-                    writer.write_batch(own.take(pa.array(part)))
-                found.append(int(numbers[part[0]]))
-                blobs.append(sink.getvalue().to_pybytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["bundle", "texts"]
-            )
-
-    def unpacked(table: pa.Table) -> pa.Table:
-        parts = [pa.ipc.open_stream(blob.as_buffer()).read_all() for blob in table.column("texts").combine_chunks()]
-        return pa.concat_tables(parts)
-
-    rows = rows.mapInArrow(pack, "bundle int, texts binary")
+    rows = packed(rows, TEXT_LEVEL)
     asked = rows.groupBy("bundle").applyInArrow(ask, "slice int, bundle int, units binary")
     units = asked.groupBy("slice").applyInArrow(distinct, "number long, unit string")
     paths = best_paths(units.repartition(layout.parts, "number"), pieces, longest, byte_zero, worst)

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,6 +280,19 @@ def test_lm_keys_are_whole_hashes(spark):
     assert all(r.log_score == pytest.approx(np.log(0.5)) for r in got) and len(got) == 2
 
 
+def test_texts_are_shuffled_compressed(spark, corpus):
+    """A bundle's rows travel as blobs, smaller than the texts, and come back whole."""
+    docs = frame(spark, corpus, extra=False)
+    bundles = exchange.packed(exchange.bundled(docs, exchange.Layout(3, 1)), lm_score.TEXT_LEVEL).collect()
+    got = [
+        (r["doc_id"], r["text"])
+        for b in bundles
+        for r in exchange.unpacked(pa.table({"texts": [bytes(b.texts)]}), exchange.text_schema(docs)).to_pylist()
+    ]
+    assert sorted(got, key=str) == sorted(corpus, key=str)
+    assert sum(len(b.texts) for b in bundles) < 0.7 * sum(len((t or "").encode()) for _, t in corpus)
+
+
 def test_token_files(spark, corpus, tmp_path, monkeypatch):
     tokenizers = pytest.importorskip("tokenizers")
     public = pytest.importorskip("public_tokenizers")
