@@ -98,7 +98,7 @@ class _Tally:
         self.keys, self.counts = [keys], [np.bincount(place, np.concatenate(self.counts)).astype(np.int64)]
 
     def rows(self, lang: str) -> Iterator[pa.RecordBatch]:
-        """(lang, node, next, words, f) of everything counted, which is then forgotten."""
+        """(lang, words, f, gram) of everything counted, which is then forgotten."""
         if not self.keys:
             return
         self._merge()
@@ -109,11 +109,11 @@ class _Tally:
             key, mask = keys[at : at + 100_000], (1 << self.bits) - 1
             codes = [key >> self.bits * (self.longest - 1 - k) & mask for k in range(self.longest)]
             parts = [names.take(pa.array(c)) for c in codes]
-            node = pc.binary_join_element_wise(*parts[:-1], " ", null_handling="skip") if len(parts) > 2 else parts[0]
+            gram = pc.binary_join_element_wise(*parts, " ", null_handling="skip")
             words = sum((c > 0).astype(np.int32) for c in codes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(key)), node, parts[-1], pa.array(words), pa.array(counts[at : at + 100_000])],
-                ["lang", "node", "next", "words", "f"],
+                [pa.array([lang] * len(key)), pa.array(words), pa.array(counts[at : at + 100_000]), gram],
+                ["lang", "words", "f", "gram"],
             )
 
 
@@ -121,7 +121,7 @@ def longest_grams(docs: DataFrame, longest: int = 3, text: str = "text") -> Data
     """(lang, node, next, words, f): every `longest`-gram as its first words and its last, and of every
     piece the shorter suffixes, which have no `next`; counted by task.
 
-    The rows of a node are in one partition.
+    The rows of a node are in one partition. A gram goes there as one string, which is smaller than its parts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +149,10 @@ def longest_grams(docs: DataFrame, longest: int = 3, text: str = "text") -> Data
             yield from tally.rows(lang)
 
     texts = docs.select(F.coalesce(F.col(LANG).cast("string"), F.lit("und")).alias(LANG), F.col(f"`{text}`").alias("text"))
-    counted = texts.mapInArrow(run, "lang string, node string, next string, words int, f long")
-    return counted.repartition(F.col(LANG), F.col("node"))
+    counted = texts.mapInArrow(run, "lang string, words int, f long, gram string")
+    node = _first(GRAM, longest - 1)
+    after = F.when(F.col("words") == longest, _last(GRAM, 1))
+    return counted.repartition(F.col(LANG), node).select(LANG, node.alias("node"), after.alias("next"), "words", "f")
 
 
 def gram_counts(grams: DataFrame, longest: int = 3, min_count: int = 1) -> dict[int, DataFrame]:
@@ -162,10 +164,8 @@ def gram_counts(grams: DataFrame, longest: int = 3, min_count: int = 1) -> dict[
     # Conditions on the sums stay above the exchange, so both branches read the same one.
     kept = F.when(F.col("words") == longest, F.col("f") >= min_count).otherwise((F.col("words") < longest - 1) & (F.col("f") > 0))
     edges = whole.filter(kept).select(LANG, F.concat_ws(" ", "node", "next").alias(GRAM), "words", "f")
-    # The flow needs no sums by `next`; counting it keeps the column, and so the exchange, the same.
     leaving = F.sum(F.when(F.col("words") >= longest - 1, F.col("f"))).alias("f")
-    flow = grams.groupBy(LANG, "node").agg(leaving, F.count("next").alias("_edges"))
-    flow = flow.filter(F.col("f").isNotNull() & (F.col("_edges") >= 0))
+    flow = grams.groupBy(LANG, "node").agg(leaving).filter(F.col("f").isNotNull())
     flow = flow.select(LANG, F.col("node").alias(GRAM), F.lit(longest - 1).alias("words"), "f")
     table = saved(edges.unionByName(flow), "phrases-longest")
     counts = {n: table.filter(F.col("words") == n).drop("words") for n in (longest, longest - 1)}

@@ -118,3 +118,14 @@ def test_unary_paths(spark, rows):
             assert follows[1] == path  # a path that returns to its own start
     longest = paths.orderBy(F.desc("edges")).first()
     assert longest.edges == 288 and longest.f == 14
+
+
+def test_grams_are_shuffled_as_one_string(spark):
+    """What the exchange carries: no gram in two parts."""
+    grams = phrases.longest_grams(frame(spark, [("a b c d", "en")]))
+    plan = grams._jdf.queryExecution().optimizedPlan().toString()
+    sent = next(line for line in plan.splitlines() if "MapInArrow" in line)
+    assert "gram#" in sent and "node#" not in sent and "next#" not in sent
+    assert sorted((r.node, r.next, r.words, r.f) for r in grams.collect()) == [
+        ("a b", "c", 3, 1), ("b c", "d", 3, 1), ("c d", None, 2, 1), ("d", None, 1, 1),
+    ]
