@@ -187,6 +187,26 @@ def _bucket(pairs: np.ndarray) -> np.ndarray:
     return (pairs * 0x9E3779B1 ^ pairs >> 29) & ((1 << 18) - 1)
 
 
+def _found(pairs: np.ndarray, inside: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the places `inside` whose pair is one of the sorted `kinds`, which one).
+
+    A table of hashes names one kind a bucket; only pairs of buckets that hold several are searched.
+    """
+    home = _bucket(kinds)
+    table = np.full(1 << 18, -1, np.int32)
+    table[home] = np.arange(len(kinds), dtype=np.int32)
+    shared = np.zeros(1 << 18, bool)
+    shared[home[table[home] != np.arange(len(kinds))]] = True
+    bucket = _bucket(pairs)
+    at = table[bucket]
+    maybe = np.flatnonzero((at >= 0) & inside)
+    at, own = at[maybe], pairs[maybe]
+    again = np.flatnonzero(shared[bucket[maybe]])
+    at[again] = np.minimum(np.searchsorted(kinds, own[again]), len(kinds) - 1)
+    real = kinds[at] == own
+    return maybe[real], at[real]
+
+
 def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: (symbols, rules, starts of the documents among the symbols).
 
@@ -209,13 +229,8 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
         best = often[np.lexsort((kinds[often], -times[often]))][:ROUND_RULES]
         order = np.argsort(kinds[best])
         sorted_kinds = kinds[best][order]
-        # Most pairs are ruled out by a small table of hashes before the exact search.
-        table = np.zeros(1 << 18, bool)
-        table[_bucket(sorted_kinds)] = True
-        maybe = np.flatnonzero(table[_bucket(pairs)] & inside)
-        at = np.minimum(np.searchsorted(sorted_kinds, pairs[maybe]), len(best) - 1)
-        real = sorted_kinds[at] == pairs[maybe]
-        chosen = _free(maybe[real], order[at[real]])
+        places, at = _found(pairs, inside, sorted_kinds)
+        chosen = _free(places, order[at])
         replaced = pairs[chosen]
         used = np.unique(replaced)
         rules.append(np.stack([used >> 32, used & 0xFFFFFFFF], axis=1))
