@@ -123,37 +123,28 @@ def best_paths(units: DataFrame, pieces: DataFrame, longest: int, byte_zero: int
             F.collect_list(F.struct("end", "start", cost.alias("score"), "id", spelled.alias("spelled")))
         ).alias("edges")
     )
-    # The best way to every place: its score, where its last edge starts, and what that edge stands for.
-    nothing = [F.lit(None).cast("int").alias("id"), F.lit(None).cast("string").alias("spelled")]
-    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), *nothing))
+    # The best way to every place: its score and its last edge, which a step only points at.
+    kind = "struct<end:int,start:int,score:double,id:int,spelled:string>"
+    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(None).cast(kind).alias("edge")))
 
     def step(best, edge):
-        way = F.struct(
-            (F.element_at(best, edge["start"] + 1)["score"] + edge["score"]).alias("score"),
-            edge["start"].alias("start"),
-            edge["id"].alias("id"),
-            edge["spelled"].alias("spelled"),
-        )
+        score = F.get(best, edge["start"])["score"] + edge["score"]
+        way = F.array(F.struct(score.alias("score"), edge.alias("edge")))
         first = F.size(best) == edge["end"]
-        better = way["score"] > F.element_at(best, -1)["score"]
+        better = score > F.element_at(best, -1)["score"]
         rest = F.slice(best, F.lit(1), F.size(best) - 1)
-        return (
-            F.when(first, F.concat(best, F.array(way))).when(better, F.concat(rest, F.array(way))).otherwise(best)
-        )
+        return F.when(first, F.concat(best, way)).when(better, F.concat(rest, way)).otherwise(best)
 
     folded = grouped.select("number", F.aggregate("edges", origin, step).alias("back"))
     # Back from the end along the best edges.
     walk = F.aggregate(
         F.reverse(F.sequence(F.lit(1), F.size("back") - 1)),
-        F.struct(
-            (F.size("back") - 1).alias("at"),
-            F.array().cast("array<struct<score:double,start:int,id:int,spelled:string>>").alias("path"),
-        ),
+        F.struct((F.size("back") - 1).alias("at"), F.array().cast(f"array<{kind}>").alias("path")),
         lambda acc, place: F.when(
             acc["at"] == place,
             F.struct(
-                F.element_at("back", place + 1)["start"].alias("at"),
-                F.concat(F.array(F.element_at("back", place + 1)), acc["path"]).alias("path"),
+                F.get("back", place)["edge"]["start"].alias("at"),
+                F.concat(F.array(F.get("back", place)["edge"]), acc["path"]).alias("path"),
             ),
         ).otherwise(acc),
         lambda acc: acc["path"],

@@ -330,6 +330,18 @@ def test_token_chunks_equal_whole_texts():
         assert own.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_pairs_found_by_table():
+    """Kinds that share a bucket are told apart."""
+    rng = np.random.default_rng(5)
+    pairs = rng.choice(rng.integers(0, 1 << 20, 30_000) << 32 | rng.integers(0, 1 << 20, 30_000), 200_000)
+    kinds = np.unique(pairs)[::3][:8192]
+    assert len(np.unique(token_files._bucket(kinds))) < len(kinds)
+    inside = rng.random(len(pairs)) < 0.9
+    places, which = token_files._found(pairs, inside, kinds)
+    assert places.tolist() == np.flatnonzero(np.isin(pairs, kinds) & inside).tolist()
+    assert (kinds[which] == pairs[places]).all()
+
+
 def test_grammar_round_trip(monkeypatch):
     monkeypatch.setattr(token_files, "MIN_PAIRS", 2)
     rng = np.random.default_rng(1)
@@ -373,6 +385,15 @@ def test_sentencepiece(spark, corpus, small_bundles):
     assert sentencepiece.encode(frame(spark, []), model).count() == 0
 
 
+def test_lattice_ways_point_at_their_edges(spark):
+    """A place's best way is its score and one edge; a step copies no fields of it."""
+    pieces = spark.createDataFrame([("a", 1, -1.0), ("b", 2, -5.0), ("ab", 3, -2.0)], "piece string, id int, score double")
+    units = spark.createDataFrame([(7, "ab"), (8, "bab"), (9, "aé")], "number long, unit string")
+    paths = sentencepiece.best_paths(units, pieces, 2, 100, -5.0)
+    assert ".edge" in paths._jdf.queryExecution().analyzed().toString()
+    assert {r.number: r.ids for r in paths.collect()} == {7: [3], 8: [2, 3], 9: [1, 295, 269]}
+
+
 def test_sentencepiece_long_runs(spark, small_bundles):
     """Runs without spaces, and of spaces, of any length have the best path too."""
     model = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
