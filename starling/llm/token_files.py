@@ -93,13 +93,15 @@ class Places(dict):
 
 
 class Encoder:
-    """Ids of texts; chunks between white space are encoded once and remembered.
+    """Ids of texts; what a text is cut into is encoded once and remembered.
 
-    A chunk is cut as the tokenizer cuts texts, and the library's BPE model merges each part.
+    Plain texts are cut as the tokenizer cuts them, and the library's BPE model merges each part. Others
+    are cut into chunks between white space; a part of a text is a chunk of one part.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        self.merge = self.tokenizer.model.tokenize
         special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         # Chunks that could hold a special token are not plain.
         self.plain = PLAIN.fullmatch if all(t[0] == "<" for t in special) else (lambda chunk: None)
@@ -115,15 +117,24 @@ class Encoder:
     def _chunk_ids(self, chunk: str) -> list[int]:
         if not self.plain(chunk):
             return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        cut = PRETOKENS.findall(chunk)
+        if len(cut) == 1:
+            return self._part_ids(chunk)
         found: list[int] = []
-        for part in PRETOKENS.findall(chunk):
+        for part in cut:
             ids = self.parts.get(part)
             if ids is None:
-                written = part.encode().decode("latin-1").translate(self.letters)
-                ids = self.parts[part] = [token.id for token in self.tokenizer.model.tokenize(written)]
+                ids = self.parts[part] = self._part_ids(part)
             found += ids
         return found
 
+    def _part_ids(self, part: str) -> list[int]:
+        if part.isascii() and part.isprintable():
+            written = part.replace(" ", self.letters[32])
+        else:
+            written = part.encode().decode("latin-1").translate(self.letters)
+        return [token.id for token in self.merge(written)]
+
     def _learn(self) -> None:
         # A hundred thousand small lists live for a moment; none is part of a cycle.
         gc.disable()
@@ -145,7 +156,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.places) > CACHE_CHUNKS:
             self.clear()
-        split = [CHUNK.findall(text or "") for text in texts]
+        split = [(PRETOKENS if self.plain(text) else CHUNK).findall(text) for text in (t or "" for t in texts)]
         counts = np.fromiter(map(len, split), np.int64, len(split))
         at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(split)), np.int64, counts.sum())
         if self.places.waiting:
@@ -231,10 +242,13 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
         sorted_kinds = kinds[best][order]
         places, at = _found(pairs, inside, sorted_kinds)
         chosen = _free(places, order[at])
-        replaced = pairs[chosen]
-        used = np.unique(replaced)
+        which = np.zeros(len(pairs), np.int32)
+        which[places] = at
+        own = which[chosen]
+        seen = np.bincount(own, minlength=len(sorted_kinds)) > 0
+        used = sorted_kinds[seen]
         rules.append(np.stack([used >> 32, used & 0xFFFFFFFF], axis=1))
-        symbols[chosen] = base + count + np.searchsorted(used, replaced)
+        symbols[chosen] = base + count + (np.cumsum(seen) - 1)[own]
         count += len(used)
         keep = np.ones(len(symbols), bool)
         keep[chosen + 1] = False
@@ -253,19 +267,33 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that the symbols stand for; any stretch of symbols can be expanded alone."""
+    """The ids that the symbols stand for; any stretch of symbols can be expanded alone.
+
+    Each kind of symbol in it is expanded once; its places copy what it stands for.
+    """
     symbols = symbols.astype(np.int64)
-    while True:
-        at = symbols >= base
-        if not at.any():
-            return symbols.astype(np.uint32)
-        sizes = 1 + at
+    asked = np.zeros(len(rules), bool)
+    asked[symbols[symbols >= base] - base] = True
+    kinds = np.flatnonzero(asked)
+    owner, flat = np.arange(len(kinds)), kinds + base
+    while (deep := flat >= base).any():
+        sizes = 1 + deep
         begin = np.cumsum(sizes) - sizes
-        out = np.empty(int(sizes.sum()), np.int64)
-        out[begin[~at]] = symbols[~at]
-        out[begin[at]] = rules[symbols[at] - base, 0]
-        out[begin[at] + 1] = rules[symbols[at] - base, 1]
-        symbols = out
+        out = np.repeat(flat, sizes)
+        pair = rules[flat[deep] - base]
+        out[begin[deep]], out[begin[deep] + 1] = pair[:, 0], pair[:, 1]
+        owner, flat = np.repeat(owner, sizes), out
+    lengths = np.ones(len(symbols), np.int64)
+    home = np.zeros(len(symbols), np.int64)
+    high = np.flatnonzero(symbols >= base)
+    number = (np.cumsum(asked) - 1)[symbols[high] - base]
+    own = np.bincount(owner, minlength=len(kinds))
+    lengths[high], home[high] = own[number], (np.cumsum(own) - own)[number]
+    ends = np.cumsum(lengths)
+    out = np.repeat(symbols, lengths)
+    places = np.flatnonzero(out >= base)
+    out[places] = flat[(places + np.repeat(home - (ends - lengths), lengths)[places])]
+    return out.astype(np.uint32)
 
 
 SHARD = (
