@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,3 +94,33 @@ def smallest_hashes(ids: DataFrame, group: str, rows: Column, most: int) -> Data
     near = hashed.join(with_broadcast(sizes), group).filter(F.col("_h") <= share * float(1 << 40))
     ranked = top_n(near.drop("_n"), [group], [F.col("_h"), F.col("doc_id")], most, "_rank")
     return ranked.filter(F.col("_rank") <= rows).drop("_h")
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system; an idle Python worker keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """`run` for groups, giving back what a group has freed before the next one comes."""
+
+    def one(table: pa.Table) -> pa.Table:
+        out = run(table)
+        give_back()
+        return out
+
+    return one
+
+
+def tidy_pair(run: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """As `tidy`, for pairs of groups."""
+
+    def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        give_back()
+        return out
+
+    return both

@@ -7,7 +7,7 @@ of over LONG characters are cut between all neighbours that stand together insid
 reaches over such cuts, so the best path of a text is the best paths of its units.
 Distinct units are numbered, exploded into substrings no longer than the longest piece and
 joined with the piece table; the edges of a unit are grouped by its number, sorted by their ends, and
-a Viterbi fold keeps the best score and edge for every place. A character without a piece is spelled
+a Viterbi fold keeps the best score and its ids for every place. A character without a piece is spelled
 in UTF-8 bytes. What is still longer than LONG (one letter or spaces over and over) is folded place by
 place where its slice answers. The unit's ids then go back to the bundles of documents that asked.
 
@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm.common import text_bytes
+from starling.llm.common import text_bytes, tidy, tidy_pair
 from starling.llm.exchange import pack_counts, packed, text_schema, unpack_counts, unpacked
 from starling.llm.registry import query
 
@@ -117,49 +117,34 @@ def best_paths(units: DataFrame, pieces: DataFrame, longest: int, byte_zero: int
     )
     # A character without a piece costs more than any piece, byte by byte.
     cost = F.coalesce("score", F.octet_length("piece") * F.lit(worst - 10.0))
-    spelled = F.when(F.col("id").isNull(), F.col("piece"))
+    code = F.hex(F.encode("piece", "UTF-8"))
+    as_bytes = F.transform(
+        F.sequence(F.lit(1), F.length(code), F.lit(2)),
+        lambda k: F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int") + byte_zero,
+    )
+    spelled = F.when(F.col("id").isNull(), as_bytes)
     grouped = edges.groupBy("number").agg(
         F.sort_array(
             F.collect_list(F.struct("end", "start", cost.alias("score"), "id", spelled.alias("spelled")))
         ).alias("edges")
     )
-    # The best way to every place: its score and its last edge, which a step only points at.
-    kind = "struct<end:int,start:int,score:double,id:int,spelled:string>"
-    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(None).cast(kind).alias("edge")))
+    # The best way to every place: its score and its ids.
+    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
     def step(best, edge):
-        score = F.get(best, edge["start"])["score"] + edge["score"]
-        way = F.array(F.struct(score.alias("score"), edge.alias("edge")))
+        before = F.get(best, edge["start"])
+        score = before["score"] + edge["score"]
+        own = F.when(edge["id"].isNotNull(), F.array(edge["id"])).otherwise(edge["spelled"])
+        way = F.array(F.struct(score.alias("score"), F.concat(before["ids"], own).alias("ids")))
         first = F.size(best) == edge["end"]
         better = score > F.element_at(best, -1)["score"]
         rest = F.slice(best, F.lit(1), F.size(best) - 1)
         return F.when(first, F.concat(best, way)).when(better, F.concat(rest, way)).otherwise(best)
 
-    folded = grouped.select("number", F.aggregate("edges", origin, step).alias("back"))
-    # Back from the end along the best edges.
-    walk = F.aggregate(
-        F.reverse(F.sequence(F.lit(1), F.size("back") - 1)),
-        F.struct((F.size("back") - 1).alias("at"), F.array().cast(f"array<{kind}>").alias("path")),
-        lambda acc, place: F.when(
-            acc["at"] == place,
-            F.struct(
-                F.get("back", place)["edge"]["start"].alias("at"),
-                F.concat(F.array(F.get("back", place)["edge"]), acc["path"]).alias("path"),
-            ),
-        ).otherwise(acc),
-        lambda acc: acc["path"],
+    return grouped.select(
+        "number", F.aggregate("edges", origin, step, lambda best: F.element_at(best, -1)["ids"]).alias("ids")
     )
 
-    def ids(edge):
-        code = F.hex(F.encode(edge["spelled"], "UTF-8"))
-        as_bytes = F.transform(
-            F.sequence(F.lit(1), F.length(code), F.lit(2)),
-            lambda k: F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int") + byte_zero,
-        )
-        return F.when(edge["id"].isNotNull(), F.array(edge["id"])).otherwise(as_bytes)
-
-    return folded.select("number", walk.alias("path")).select("number", F.flatten(F.transform("path", ids)).alias("ids"))
-
 
 def _pack_units(units: list[bytes]) -> bytes:
     sizes = np.array([len(u) for u in units], "<u4").tobytes()
@@ -359,17 +344,17 @@ def encode(docs: DataFrame, model: str, decoded: str | None = None) -> DataFrame
         return pa.table(columns)
 
     rows = packed(rows, TEXT_LEVEL)
-    asked = rows.groupBy("bundle").applyInArrow(ask, "slice int, bundle int, units binary")
-    units = asked.groupBy("slice").applyInArrow(distinct, "number long, unit string")
+    asked = rows.groupBy("bundle").applyInArrow(tidy(ask), "slice int, bundle int, units binary")
+    units = asked.groupBy("slice").applyInArrow(tidy(distinct), "number long, unit string")
     paths = best_paths(units.repartition(layout.parts, "number"), pieces, longest, byte_zero, worst)
     known = paths.withColumn("slice", F.shiftright("number", 32).cast("int"))
     answers = (
         asked.groupBy("slice")
         .cogroup(known.groupBy("slice"))
-        .applyInArrow(reply, "bundle int, slice int, ids binary")
+        .applyInArrow(tidy_pair(reply), "bundle int, slice int, ids binary")
     )
     schema = f"doc_id {kind}, text string, ids array<int>" + (f", `{decoded}` string" if decoded else "")
-    return rows.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(apply, schema)
+    return rows.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(tidy_pair(apply), schema)
 
 
 def decode(encoded: DataFrame, model: str, out: str = "decoded") -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+import os
+
 import numpy as np
+import psutil
+import pyarrow as pa
 
-from starling.llm import token_files
+from starling.llm import common, sentencepiece, token_files
 
 
 def byte_tokenizer() -> str:
@@ -47,3 +52,34 @@ def test_symbols_that_repeat_are_expanded_once():
     assert sum(seen) < len(symbols)
     assert token_files.expand(symbols[:0], given, 100).tolist() == []
     assert token_files.expand(np.array([5, 6]), given[:0], 100).tolist() == [5, 6]
+
+
+def test_a_path_is_one_fold(spark, capsys):
+    units = spark.createDataFrame([(0, "abé"), (1, "c")], "number long, unit string")
+    pieces = spark.createDataFrame([("a", 1, -1.0), ("ab", 2, -1.5), ("b", 3, -1.0)], "piece string, id int, score double")
+    paths = sentencepiece.best_paths(units, pieces, 2, 100, -5.0)
+    assert {r.number: list(r.ids) for r in paths.collect()} == {0: [2, 100 + 0xC3, 100 + 0xA9], 1: [100 + 0x63]}
+    paths.explain(extended=True)
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.count(" aggregate(") == 1 and "reverse(" not in plan
+
+
+def test_freed_memory_leaves_the_worker():
+    def resident() -> int:
+        return psutil.Process(os.getpid()).memory_info().rss >> 20
+
+    def run(table: pa.Table) -> pa.Table:
+        held = [np.ones(8000, np.uint8) for _ in range(20_000)]  # 160 MB in blocks that malloc keeps
+        kept.extend(held[::400])
+        return table
+
+    kept: list[np.ndarray] = []
+    table = pa.table({"a": [1]})
+    common.give_back()
+    gc.collect()
+    before = resident()
+    run(table)
+    held = resident()
+    assert common.tidy(run)(table) is table
+    assert held - before > 80 and resident() - before < 60
+    assert common.tidy_pair(lambda left, right: right)(None, table) is table
