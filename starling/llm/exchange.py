@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from starling.llm.common import text_bytes
+from starling.llm.common import text_bytes, tidy
 from starling.llm.words import U64
 
 #: UTF-8 bytes of the texts of a bundle, and entries that a slice receives, on average.
@@ -165,7 +165,7 @@ def answer(
             }
         )
 
-    return asked.groupBy("slice").applyInArrow(run, ANSWER)
+    return asked.groupBy("slice").applyInArrow(tidy(run), ANSWER)
 
 
 def replies_of(table: pa.Table) -> list[tuple[int, bytes, bytes]]:

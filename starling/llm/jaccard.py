@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.keep import keep_first
 from starling.functions.ranking import top_n
-from starling.llm.common import discard, saved, with_broadcast
+from starling.llm.common import discard, give_back, saved, tidy, tidy_pair, with_broadcast
 from starling.llm.components import components
 from starling.llm.exchange import (
     ASK,
@@ -177,6 +177,7 @@ def profiles(docs: DataFrame, n: int, threshold: Threshold) -> DataFrame:
                     ],
                     ["doc_id", "n_shingles", "sig_a", "sig_b", "anchors"],
                 )
+        give_back()
 
     schema = f"doc_id {kind}, n_shingles long, sig_a long, sig_b long, anchors array<long>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -194,6 +195,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                     [batch.column(0).slice(piece.first, len(piece)), lists(signed(hashes), bounds)],
                     ["rep", "grams"],
                 )
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"rep {kind}, grams array<long>")
 
@@ -276,11 +278,11 @@ def pivot_regions(classes: DataFrame) -> DataFrame:
         return pa.table({"pivot": pa.array(pairs[:, 0]).cast(types[kind]), "rep": pa.array(pairs[:, 1]).cast(types[kind])})
 
     types = {"bigint": pa.int64(), "int": pa.int32()}
-    answers = answer(rows.groupBy("bundle").applyInArrow(ask, ASK), _pivots)
+    answers = answer(rows.groupBy("bundle").applyInArrow(tidy(ask), ASK), _pivots)
     return (
         rows.groupBy("bundle")
         .cogroup(answers.groupBy("bundle"))
-        .applyInArrow(place, f"pivot {kind}, rep {kind}")
+        .applyInArrow(tidy_pair(place), f"pivot {kind}, rep {kind}")
     )
 
 
@@ -456,7 +458,7 @@ def _split(large: DataFrame, sets: DataFrame, level: int, reach: float) -> DataF
     return (
         members.groupBy("region", "chunk")
         .cogroup(pivots.groupBy("region", "chunk"))
-        .applyInArrow(assign, f"region long, rep {kind}, copies long, weight long")
+        .applyInArrow(tidy_pair(assign), f"region long, rep {kind}, copies long, weight long")
         .dropDuplicates(["region", "rep"])
     )
 
@@ -563,6 +565,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
                 [pa.array(reps, table.schema.field("rep").type), pa.array(links), pa.array(star, table.schema.field("rep").type)],
                 ["rep", "links", "star"],
             )
+        give_back()
 
     joined = saved(
         ready.select(*columns)

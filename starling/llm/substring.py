@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starling.llm.common import SPACES, names
+from starling.llm.common import SPACES, names, tidy, tidy_pair
 from starling.llm.exchange import (
     ASK,
     Layout,
@@ -225,9 +225,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             }
         )
 
-    asked = rows.groupBy("bundle").applyInArrow(sketch, ASK)
+    asked = rows.groupBy("bundle").applyInArrow(tidy(sketch), ASK)
     sketches = answer(asked, _merge_sketches)
-    repeated = rows.groupBy("bundle").cogroup(sketches.groupBy("bundle")).applyInArrow(candidates, ASK)
+    repeated = rows.groupBy("bundle").cogroup(sketches.groupBy("bundle")).applyInArrow(tidy_pair(candidates), ASK)
     exact = answer(repeated, _first_holders, with_keys=True)
     schema = T.StructType(
         [
@@ -238,7 +238,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             T.StructField("rest", kinds["rest"]),
         ]
     )
-    done = rows.groupBy("bundle").cogroup(exact.groupBy("bundle")).applyInArrow(remove, schema)
+    done = rows.groupBy("bundle").cogroup(exact.groupBy("bundle")).applyInArrow(tidy_pair(remove), schema)
     given = [
         F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c)
         for c in docs.columns
