@@ -16,13 +16,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starling import constants as C
 from starling.operators.ledger import landing_batches, landing_manifest
-from starling.sources.tables import list_names, path_exists
+from starling.sources.tables import list_names, many_folders, name_starting, path_exists
 
 STEPS = ("plan", "rows", "manifest")
 ROWS, PLAN, MANIFEST = "rows", "_plan", "_manifest"
+#: Batches that are dealt to one part of the shuffle before the write.
+PART_BATCHES = 32
 PLAN_SCHEMA = "did string, error string, batch_id long"
 MANIFEST_SCHEMA = (
     "did string, batch_id long, error string, " + ", ".join(f"{t} long" for t in C.RECORD_TYPES) + ", run_id string"
@@ -50,6 +53,22 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     return _whole(spark, f"{root.rstrip('/')}/{MANIFEST}", MANIFEST_SCHEMA)
 
 
+def placed(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """(batch_id, record_type, path) of each row of the attempts that `files` (path) are of, finished or not.
+
+    Only the names of the attempts pass through the driver.
+    """
+    folder = f"{root.rstrip('/')}/{ROWS}"
+    named = files.select(F.regexp_extract("path", "/attempt=([^/]+)/batch_id=[^/]+/[^/]+/[^/]+$", 1).alias("attempt"))
+    paths = [f"{folder}/attempt={r['attempt']}" for r in named.distinct().collect() if r["attempt"]]
+    schema = "attempt string, batch_id long, record_type string"
+    if not paths:
+        return spark.createDataFrame([], "batch_id long, record_type string, path string")
+    with many_folders(spark):
+        rows = spark.read.schema(schema).option("basePath", folder).parquet(*paths)
+    return rows.select("batch_id", "record_type", F.col("_metadata.file_path").alias("path"))
+
+
 def landed(spark: SparkSession, root: str) -> DataFrame:
     """Rows of the finished batches with their file (`path`); none at all is an error.
 
@@ -58,10 +77,15 @@ def landed(spark: SparkSession, root: str) -> DataFrame:
     root = root.rstrip("/")
     folders = [f"{root}/{ROWS}/{n}" for n in _finished(spark, f"{root}/{MANIFEST}")]
     # Users without rows leave an attempt without batch folders.
-    paths = [f for f in folders if any(n.startswith("batch_id=") for n in list_names(spark, f))]
+    some = {f: name_starting(spark, f, "batch_id=") for f in folders}
+    paths = [f for f, batch in some.items() if batch]
     if not paths:
         raise FileNotFoundError(f"no rows landed under {root}")
-    rows = spark.read.option("basePath", f"{root}/{ROWS}").parquet(*paths)
+    # Columns from one batch, and the types of the folders' values: Spark would guess them from every path.
+    columns = [c for c in spark.read.parquet(f"{paths[0]}/{some[paths[0]]}").schema if c.name != "record_type"]
+    schema = StructType(columns).add("attempt", "string").add("batch_id", "long").add("record_type", "string")
+    with many_folders(spark):
+        rows = spark.read.schema(schema).option("basePath", f"{root}/{ROWS}").parquet(*paths)
     return rows.withColumn("path", F.col("_metadata.file_path")).drop("attempt")
 
 
@@ -117,14 +141,18 @@ def _land_some(
     attempt = _attempt()
     stamped = records.drop("run_id").join(todo.select("did", "batch_id"), "did").withColumn("run_id", F.lit(run_id))
     written = f"{root}/{ROWS}/attempt={attempt}"
-    # A batch with many rows is split over tasks and files, small ones share a task.
-    stamped.hint("rebalance", "batch_id", "record_type").write.partitionBy("batch_id", "record_type").option(
-        "compression", C.COMPRESSION
-    ).parquet(written)
+    # A batch with many rows is split over tasks and files, small ones share a task. A part is split when it is large,
+    # and each piece then has a file of each of its folders, so parts are not to be large by their number of batches.
+    # A task has whole batches, so the commit, one move after another, moves a folder per batch.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // PART_BATCHES))
+    writer = stamped.hint("rebalance", parts, "batch_id").write.partitionBy("batch_id", "record_type")
+    with many_folders(spark):
+        writer.option("compression", C.COMPRESSION).parquet(written)
     after("rows")
     # Counted from the files, so the manifest cannot say more than was written.
     types = "did string, batch_id long, record_type string"
-    there = spark.read.schema(types).parquet(written).select("did", "record_type")
+    with many_folders(spark):
+        there = spark.read.schema(types).parquet(written).select("did", "record_type")
     listed = landing_manifest(todo.select("did", "batch_id", "error"), there).withColumn("run_id", F.lit(run_id))
     listed.write.parquet(f"{root}/{MANIFEST}/attempt={attempt}")
     after("manifest")

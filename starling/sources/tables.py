@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from itertools import batched
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +35,21 @@ def remove_path(spark: SparkSession, path: str, encoded: bool = False) -> None:
     fs.delete(hadoop_path, True)
 
 
-def remove_file(spark: SparkSession, uri: str) -> None:
-    """Remove one file, never a folder with something in it."""
-    fs, hadoop_path = _file_system(spark, uri, encoded=True)
-    fs.delete(hadoop_path, False)
+def file_remover(spark: SparkSession) -> Callable[[str], None]:
+    """Removes the file of a URI, never a folder with something in it.
+
+    Classes and file systems are looked up once: a lookup costs several calls to the JVM, a removal three.
+    """
+    jvm = spark.sparkContext._jvm
+    path_of, uri_of, systems = jvm.org.apache.hadoop.fs.Path, jvm.java.net.URI, {}
+
+    def remove(uri: str) -> None:
+        store = urlsplit(uri)[:2]
+        if store not in systems:
+            systems[store] = _file_system(spark, uri, encoded=True)[0]
+        systems[store].delete(path_of(uri_of(uri)), False)
+
+    return remove
 
 
 #: Removals that the driver has under way at a time, and the names it holds for them.
@@ -44,10 +57,11 @@ REMOVERS, NAMES = 16, 4096
 
 
 def remove_files(spark: SparkSession, uris: Iterable[str]) -> None:
-    """`remove_file` of each, several at a time; the first failure is raised."""
+    """Remove files, several at a time; the first failure is raised."""
+    remove = file_remover(spark)
     with ThreadPoolExecutor(REMOVERS) as pool:
         for names in batched(uris, NAMES):
-            for _ in pool.map(lambda uri: remove_file(spark, uri), names):
+            for _ in pool.map(remove, names):
                 pass
 
 
@@ -64,15 +78,53 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
 
 
+def name_starting(spark: SparkSession, path: str, prefix: str) -> str | None:
+    """Some name inside a folder that starts so; for folders of any size, as it stops at the first."""
+    fs, hadoop_path = _file_system(spark, path)
+    entries = fs.listStatusIterator(hadoop_path)
+    while entries.hasNext():
+        name = entries.next().getPath().getName()
+        if name.startswith(prefix):
+            return name
+    return None
+
+
+#: Tasks per core that list the folders of a table, or write them.
+FOLDER_TASKS = 4
+LISTING_CONF = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+PARTS_CONF = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+
+
+@contextmanager
+def many_folders(spark: SparkSession) -> Iterator[int]:
+    """Tables of many folders opened or written inside take a few tasks per core, as the folders are the work.
+
+    Spark lists by one task per folder, up to 10,000, and joins small parts of a shuffle by their bytes
+    down to one task per core, the last of which may start when the others end.
+    """
+    tasks = FOLDER_TASKS * spark.sparkContext.defaultParallelism
+    before = {name: spark.conf.get(name, None) for name in (LISTING_CONF, PARTS_CONF)}
+    for name, value in before.items():
+        if value is None:
+            spark.conf.set(name, str(tasks))
+    try:
+        yield tasks
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+
+
 def file_listing(spark: SparkSession, path: str) -> DataFrame:
     """(path, bytes, modified) of the files below a folder, listed by Spark; none when it is missing.
 
-    Hidden files are left out. No file is opened.
+    Hidden files are left out. No file is opened, so a few tasks per core take them all.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], "path string, bytes long, modified timestamp")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(
+    with many_folders(spark) as tasks:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.coalesce(tasks).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("bytes"),
         F.col("_metadata.file_modification_time").alias("modified"),

@@ -102,6 +102,68 @@ def test_orphans_only_after_their_time(spark):
     assert uris(spark, root) == rows
 
 
+def test_many_batches_have_a_file_per_folder(spark):
+    """A part of the shuffle that is large by its number of batches was split, each piece with files of its own."""
+    root = scratch_path(spark, "land")
+    users = spark.range(400).select(F.format_string("u%03d", "id").alias("did"), F.lit(None).cast("string").alias("error"))
+    records = spark.range(0, 4000, 1, 8).select(
+        F.format_string("u%03d", F.col("id") % 400).alias("did"), F.lit("posts").alias("record_type"), F.sha1(F.col("id").cast("string")).alias("uri")
+    )
+    confs = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    before = {name: spark.conf.get(name) for name in confs}
+    try:
+        for name, value in confs.items():
+            spark.conf.set(name, value)
+        assert LZ.land(users, records, root, "r", 2)["written"] == 200
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    files = LZ.landed(spark, root).groupBy("batch_id").agg(F.count_distinct("path").alias("files"), F.count("*").alias("n"))
+    assert [(r.batch_id, r.files, r.n) for r in files.orderBy("batch_id").collect()] == [(i, 1, 20) for i in range(1, 201)]
+
+
+def test_folders_are_listed_by_a_few_tasks(spark):
+    root = scratch_path(spark, "land")
+    users = spark.range(100).select(F.format_string("u%03d", "id").alias("did"), F.lit(None).cast("string").alias("error"))
+    # Types that look like numbers stay texts.
+    LZ.land(users, users.select("did", F.lit("07").alias("record_type")), root, "r", 1)
+    context = spark.sparkContext
+    most = 4 * context.defaultParallelism
+    confs = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.adaptive.coalescePartitions.minPartitionNum")
+    before = [spark.conf.get(name, None) for name in confs]
+    for name, read in (("files", lambda: file_listing(spark, f"{root}/{LZ.ROWS}")), ("rows", lambda: LZ.landed(spark, root))):
+        context.setJobGroup(f"{root}-{name}", name)
+        try:
+            found = read()
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        tracker = context.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup(f"{root}-{name}") for s in tracker.getJobInfo(job).stageIds]
+        tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+        assert tasks and max(tasks) <= most
+        assert found.count() == 100
+    assert file_listing(spark, f"{root}/{LZ.ROWS}").rdd.getNumPartitions() <= most
+    row = LZ.landed(spark, root).orderBy("batch_id").first()
+    assert (row.batch_id, row.record_type) == (1, "07")
+    assert dict(LZ.landed(spark, root).dtypes)["batch_id"] == "bigint"
+    assert [spark.conf.get(name, None) for name in confs] == before
+
+
+def test_rows_of_strays_are_read_from_their_attempts(spark):
+    root = scratch_path(spark, "land")
+    for _ in range(2):
+        with pytest.raises(Stopped):
+            land(spark, "abcde", root, after=stop_after("rows"))
+    land(spark, "abcde", root)
+    files, late = f"{root}/{LZ.ROWS}", dt.datetime.now() + dt.timedelta(days=1)
+    strays = EX.expire_orphans(spark, files, LZ.landed(spark, root).select("path"), late)
+    rows = LZ.placed(spark, root, strays)
+    assert rows.join(strays, "path", "left_anti").count() == 0  # the finished attempt is not opened
+    want = {tuple(r): n for *r, n in LZ.landed(spark, root).groupBy("batch_id", "record_type").count().collect()}
+    assert {tuple(r): n for *r, n in rows.groupBy("batch_id", "record_type").count().collect()} == {k: 2 * n for k, n in want.items()}
+    assert LZ.placed(spark, root, strays.limit(0)).count() == 0
+
+
 def test_runs_with_odd_names_expire(spark):
     root = scratch_path(spark, "runs")
     rows = [("a b+c", "2024_01_01-00:00"), ("a b+c", "2024_02_01-00:00"), ("x%3A/y", "2024_01_01-00:00")]

@@ -148,6 +148,17 @@ def test_files_go_several_at_a_time_and_failures_are_raised(spark, tmp_path):
         TB.remove_files(spark, [(tmp_path / "folder").as_uri()])
 
 
+def test_file_systems_are_looked_up_once(spark, tmp_path, monkeypatch):
+    files = [tmp_path / f"a b{i}%" for i in range(60)]
+    for file in files:
+        file.write_text("x")
+    found, seen = TB._file_system, []
+    monkeypatch.setattr(TB, "_file_system", lambda *a, **k: seen.append(a) or found(*a, **k))
+    TB.remove_files(spark, [f.as_uri() for f in files])
+    assert not any(f.exists() for f in files)
+    assert len(seen) <= TB.REMOVERS
+
+
 def test_fit_holds_few_arrays_of_all_ngrams(monkeypatch):
     rng = random.Random(3)
     words = ["".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(40_000)]
