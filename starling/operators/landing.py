@@ -14,7 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -53,20 +53,43 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     return _whole(spark, f"{root.rstrip('/')}/{MANIFEST}", MANIFEST_SCHEMA)
 
 
-def placed(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
-    """(batch_id, record_type, path) of each row of the attempts that `files` (path) are of, finished or not.
+def _below(spark: SparkSession, schema: str | StructType, folders: list[str]) -> DataFrame:
+    """`schema` of all rows below folders, and their file (`path`).
+
+    The values of folders are not discovered, as that takes Spark the square of the number of folders on the
+    driver. A filter on what `_with_folders` gives still leaves out files before they are opened.
+    """
+    with many_folders(spark):
+        rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
+    return rows.withColumn("path", F.col("_metadata.file_path"))
+
+
+def _with_folders(rows: DataFrame) -> DataFrame:
+    """Add the batch_id and record_type that the folders of `path` say."""
+
+    def value(name: str) -> Column:
+        return F.substring_index(F.substring_index("path", f"/{name}=", -1), "/", 1)
+
+    # Escaped once as a folder's name, once more as a URI.
+    kind = value("record_type")
+    plain = kind
+    for _ in range(2):
+        plain = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+    named = F.nullif(F.when(kind.contains("%"), plain).otherwise(kind), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return rows.withColumns({"batch_id": value("batch_id").cast("bigint"), "record_type": named})
+
+
+def file_rows(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """(path, n_rows, batch_id, record_type) of each file of the attempts that `files` (path) are of, finished or not.
 
     Only the names of the attempts pass through the driver.
     """
-    folder = f"{root.rstrip('/')}/{ROWS}"
     named = files.select(F.regexp_extract("path", "/attempt=([^/]+)/batch_id=[^/]+/[^/]+/[^/]+$", 1).alias("attempt"))
-    paths = [f"{folder}/attempt={r['attempt']}" for r in named.distinct().collect() if r["attempt"]]
-    schema = "attempt string, batch_id long, record_type string"
-    if not paths:
-        return spark.createDataFrame([], "batch_id long, record_type string, path string")
-    with many_folders(spark):
-        rows = spark.read.schema(schema).option("basePath", folder).parquet(*paths)
-    return rows.select("batch_id", "record_type", F.col("_metadata.file_path").alias("path"))
+    attempts = [r["attempt"] for r in named.distinct().collect() if r["attempt"]]
+    if not attempts:
+        return spark.createDataFrame([], "path string, n_rows long, batch_id long, record_type string")
+    rows = _below(spark, "did string", [f"{root.rstrip('/')}/{ROWS}/attempt={name}" for name in attempts])
+    return _with_folders(rows.groupBy("path").agg(F.count("*").alias("n_rows")))
 
 
 def landed(spark: SparkSession, root: str) -> DataFrame:
@@ -81,12 +104,10 @@ def landed(spark: SparkSession, root: str) -> DataFrame:
     paths = [f for f, batch in some.items() if batch]
     if not paths:
         raise FileNotFoundError(f"no rows landed under {root}")
-    # Columns from one batch, and the types of the folders' values: Spark would guess them from every path.
+    # The columns are those of one batch.
     columns = [c for c in spark.read.parquet(f"{paths[0]}/{some[paths[0]]}").schema if c.name != "record_type"]
-    schema = StructType(columns).add("attempt", "string").add("batch_id", "long").add("record_type", "string")
-    with many_folders(spark):
-        rows = spark.read.schema(schema).option("basePath", f"{root}/{ROWS}").parquet(*paths)
-    return rows.withColumn("path", F.col("_metadata.file_path")).drop("attempt")
+    rows = _with_folders(_below(spark, StructType(columns), paths))
+    return rows.select(*[c.name for c in columns], "batch_id", "record_type", "path")
 
 
 def land(
@@ -150,9 +171,7 @@ def _land_some(
         writer.option("compression", C.COMPRESSION).parquet(written)
     after("rows")
     # Counted from the files, so the manifest cannot say more than was written.
-    types = "did string, batch_id long, record_type string"
-    with many_folders(spark):
-        there = spark.read.schema(types).parquet(written).select("did", "record_type")
+    there = _with_folders(_below(spark, "did string", [written])).select("did", "record_type")
     listed = landing_manifest(todo.select("did", "batch_id", "error"), there).withColumn("run_id", F.lit(run_id))
     listed.write.parquet(f"{root}/{MANIFEST}/attempt={attempt}")
     after("manifest")

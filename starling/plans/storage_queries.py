@@ -313,8 +313,7 @@ def orphans_removed(spark, sf):
     strays = EX.expire_orphans(spark, files, used, soon)
     by = ["batch_id", "record_type"]
     # Counted by file before the join, which then has one row per file.
-    sizes = LZ.placed(spark, root, strays).groupBy("path", *by).agg(F.count("*").alias("n_rows"))
-    inside = durable(sizes.join(strays, "path", "left_semi").groupBy(*by).agg(F.sum("n_rows").alias("stray_rows")))
+    inside = durable(LZ.file_rows(spark, root, strays).join(strays, "path", "left_semi").groupBy(*by).agg(F.sum("n_rows").alias("stray_rows")))
     EX.expire_orphans(spark, files, used, soon, delete=True)
     left = EX.expire_orphans(spark, files, used, soon).count()
     rows = LZ.landed(spark, root).groupBy(*by).agg(F.count("*").alias("n_rows"))
